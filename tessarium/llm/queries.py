@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curriculum, packing
+from . import additive, curriculum, minhash_odd, mtree, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_odd_sketch": minhash_odd.op1,
+    "op2_mtree_top_k": mtree.op2,
     "op5_curriculum_mix": curriculum.op5,
+    "op6_additive_quantisation": additive.op6,
     "op10_grouping_ga_packing": packing.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_odd_sketch": minhash_odd.OP1_SQL,
+    "op2_mtree_top_k": mtree.OP2_SQL,
     "op5_curriculum_mix": curriculum.OP5_SQL,
 }
