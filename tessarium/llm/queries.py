@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import additive, curriculum, minhash_odd, mtree, packing
+from . import additive, curriculum, linkgraph, minhash_odd, mtree, packing, quotes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_odd_sketch": minhash_odd.op1,
     "op2_mtree_top_k": mtree.op2,
+    "op3_quotation_linking": quotes.op3,
     "op5_curriculum_mix": curriculum.op5,
     "op6_additive_quantisation": additive.op6,
+    "op9_link_graph_filter": linkgraph.op9,
     "op10_grouping_ga_packing": packing.op10,
 }
 
@@ -20,4 +22,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_minhash_odd_sketch": minhash_odd.OP1_SQL,
     "op2_mtree_top_k": mtree.OP2_SQL,
     "op5_curriculum_mix": curriculum.OP5_SQL,
+    "op9_link_graph_filter": linkgraph.OP9_SQL,
 }
