@@ -2,18 +2,24 @@
 
 A message's lines are parsed into quote levels (leading '>' marks, with blanks between them) and
 unquoted lines. Quoted passages (runs of lines of one level) are normalised (marks and outer
-blanks off, A-Z lower-cased, runs of white space to one blank, empty lines dropped) and hashed. The
-same hash of every message's own text and of each of its own lines is the index that passages are
-joined to: a passage is linked to an earlier message of its conversation (the latest such turn) or,
-failing that, to the first message of another one. A message replies to the message that its
-outermost linked quote names, else to the turn before it. Conversations come back in reply order
-(a message after what it replies to, siblings by turn) without quotes.
-
-Hot passages do not meet all their copies: the index is pre-aggregated to one row a hash and
-conversation (turns in one array) and one row a hash, so each quoted passage joins one row of each.
+blanks off, A-Z lower-cased, runs of white space to one blank) and hashed. The same hash of every
+message's own text and of each of its own lines is the index that passages are joined to: a passage
+is linked to an earlier message of its conversation (the latest such turn) or, failing that, to the
+first message of another one. A message replies to the message that its outermost linked quote
+names, else to the turn before it.
+
+Replies form a tree. Runs of messages that reply to the turn before make threads; a message that
+quotes an older one opens a thread there. Conversations come back in the tree's preorder, without
+quotes: a thread's messages, then the threads that leave it, those from its later messages first.
+Only threads carry paths, built by one join a level.
+
+Nothing needs all rows of a conversation in one task: places and threads come from windows over
+blocks of BLOCK turns and over one row a block, and the final order is a range sort. The index is
+pre-aggregated to one row a hash and conversation and one row a hash, so a passage that many
+messages share or quote joins one row of each.
 
 Defined cases: null text is empty; a null turn sorts first and replies to nothing; a repeated
-(conv_id, turn) keeps both rows, the smaller text first; a message of quotes alone has empty text;
+(conv_id, turn) keeps both rows, ordered by role and text; a message of quotes alone has empty text;
 blank passages link to nothing; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -25,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLOCK = 4096
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
 
 
@@ -38,9 +45,10 @@ def digest(text: Column) -> Column:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, n (place in the conversation), own (unquoted text), passages (level, body)."""
+    """conv_id, turn, role, block, r (place in its block of turns), own (unquoted text), passages (level, body)."""
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n?", "\n")
-    place = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    block = F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK)
+    place = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     lines = F.transform(
         F.split(text, "\n"),
         lambda x: F.struct(
@@ -70,10 +78,11 @@ def parse(messages: DataFrame) -> DataFrame:
             F.col("turn").cast("long").alias("turn"),
             "role",
             "text",
-            F.row_number().over(place).alias("n"),
+            block.alias("block"),
             lines.alias("lines"),
         )
-        .select("conv_id", "turn", "role", "n", F.trim(own).alias("own"), passages.alias("passages"))
+        .withColumn("r", F.row_number().over(place))
+        .select("conv_id", "turn", "role", "block", "r", F.trim(own).alias("own"), passages.alias("passages"))
     )
 
 
@@ -109,38 +118,81 @@ def link(parsed: DataFrame) -> DataFrame:
     ).filter("to_n IS NOT NULL")
 
 
+def _before(rows: DataFrame, value: Column, how) -> DataFrame:
+    """conv_id, block, before: how(value) over the blocks of the conversation that precede each block."""
+    blocks = rows.groupBy("conv_id", "block").agg(how(value).alias("x"))
+    past = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), how("x").over(past).alias("before"))
+
+
+def _carry(rows: DataFrame, value: Column, how) -> DataFrame:
+    past = _before(rows, value, how)
+    return rows.join(past, rows["conv_id"].eqNullSafe(past["c"]) & (rows["block"] == past["b"]), "left").drop("c", "b")
+
+
+def _threads(joined: DataFrame, scratch: Scratch) -> DataFrame:
+    """conv_id, thread (place of its first message), path: one row a thread that leaves another one."""
+    opened = scratch.write(joined.filter("opens AND n > 1").select("conv_id", "n", "reply_to"))
+    at = joined.select("conv_id", F.col("n").alias("reply_to"), F.col("thread").alias("parent"))
+    step = F.struct((-F.col("reply_to")).alias("at"), F.col("n").alias("first"))
+    todo = scratch.write(opened.join(at, ["conv_id", "reply_to"]).select("conv_id", F.col("n").alias("thread"), "parent", step.alias("step")))
+    heads = todo.select("conv_id", F.col("thread").alias("parent"))
+    # threads that leave a first thread have a path of one step; each round adds the next level
+    level = scratch.write(
+        todo.join(heads, ["conv_id", "parent"], "left_anti").select("conv_id", "thread", F.array("step").alias("path"))
+    )
+    done = level
+    while not level.isEmpty():
+        level = scratch.write(
+            todo.join(
+                level.select("conv_id", F.col("thread").alias("parent"), F.col("path").alias("up")), ["conv_id", "parent"]
+            ).select("conv_id", "thread", F.concat("up", F.array("step")).alias("path"))
+        )
+        done = done.unionByName(level)
+    return done
+
+
 def conversations(messages: DataFrame, scratch: Scratch) -> DataFrame:
-    """Every message in reply order: conv_id, position, turn, role, reply_to, n_quotes, n_linked, text.
+    """Every message, range-sorted in reply order.
 
-    reply_to is the place (from 1, by turn) of the message replied to in the same conversation.
+    conv_id, n (place by turn), turn, role, reply_to (the place replied to), thread (place of the
+    thread's first message), depth (of the thread), n_quotes, n_linked, text.
     """
-    parsed = scratch.write(parse(messages))
-    links = link(parsed).groupBy("conv_id", "n").agg(
-        F.min(F.when(F.col("to_conv") == F.col("conv_id"), F.struct("level", "k", "to_n")))["to_n"].alias("to"),
-        F.count("*").alias("n_linked"),
+    ranked = parse(messages)
+    counts = _carry(ranked, F.lit(1), F.sum)
+    parsed = scratch.write(
+        counts.withColumn("n", (F.col("r") + F.coalesce("before", F.lit(0))).cast("int")).drop("before", "r")
+    )
+    links = (
+        link(parsed)
+        .groupBy("conv_id", "n")
+        .agg(
+            F.min(F.when(F.col("to_conv") == F.col("conv_id"), F.struct("level", "k", "to_n")))["to_n"].alias("to"),
+            F.count("*").alias("n_linked"),
+        )
     )
     joined = parsed.join(links, ["conv_id", "n"], "left").withColumn(
         "reply_to", F.coalesce("to", F.when(F.col("n") > 1, F.col("n") - 1)).cast("int")
     )
-    # a message's path from the root is its parent's path and its own place; parents come earlier
-    one = F.collect_list(F.struct("n", "reply_to")).over(Window.partitionBy("conv_id").orderBy("n").rowsBetween(Window.unboundedPreceding, 0))
-    up = F.aggregate(
-        F.reverse(one),
-        F.struct(F.col("n").alias("at"), F.expr("CAST(array() AS array<int>)").alias("path")),
-        lambda s, x: F.when(
-            x["n"] == s["at"],
-            F.struct(x["reply_to"].alias("at"), F.concat(F.array(x["n"]), s["path"]).alias("path")),
-        ).otherwise(s),
-        lambda s: s["path"],
+    joined = joined.withColumn("block", F.floor(F.col("n") / BLOCK)).withColumn(
+        "opens", (F.col("n") == 1) | (F.col("reply_to") < F.col("n") - 1)
     )
-    placed = joined.withColumn("path", up)
-    order = Window.partitionBy("conv_id").orderBy("path")
-    return placed.select(
+    first = F.when(F.col("opens"), F.col("n"))
+    here = Window.partitionBy("conv_id", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    joined = scratch.write(
+        _carry(joined, first, F.max).withColumn("thread", F.coalesce(F.max(first).over(here), "before")).drop("before")
+    )
+    out = joined.join(_threads(joined, scratch), ["conv_id", "thread"], "left").withColumn(
+        "path", F.coalesce("path", F.expr("CAST(array() AS array<struct<at:int,first:int>>)"))
+    )
+    return out.orderBy("conv_id", "path", "n").select(
         "conv_id",
-        F.row_number().over(order).alias("position"),
+        "n",
         "turn",
         "role",
         "reply_to",
+        "thread",
+        F.size("path").alias("depth"),
         F.size("passages").cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         F.col("own").alias("text"),
