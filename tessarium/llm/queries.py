@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import additive, curriculum, linkgraph, minhash_odd, mtree, packing, quotes
+from . import additive, curriculum, hmm, kneser_ney, linkgraph, minhash_odd, mtree, packing, quotes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_odd_sketch": minhash_odd.op1,
     "op2_mtree_top_k": mtree.op2,
     "op3_quotation_linking": quotes.op3,
+    "op4_kneser_ney_quality": kneser_ney.op4,
     "op5_curriculum_mix": curriculum.op5,
     "op6_additive_quantisation": additive.op6,
+    "op7_hidden_markov_lm": hmm.op7,
     "op9_link_graph_filter": linkgraph.op9,
     "op10_grouping_ga_packing": packing.op10,
 }
