@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import additive, curriculum, hmm, kneser_ney, linkgraph, minhash_odd, mtree, packing, quotes
+from . import additive, curriculum, hmm, kneser_ney, linkgraph, minhash_odd, mtree, packing, quotes, suffix_levels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_odd_sketch": minhash_odd.op1,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_curriculum_mix": curriculum.op5,
     "op6_additive_quantisation": additive.op6,
     "op7_hidden_markov_lm": hmm.op7,
+    "op8_suffix_levels": suffix_levels.op8,
     "op9_link_graph_filter": linkgraph.op9,
     "op10_grouping_ga_packing": packing.op10,
 }
