@@ -8,9 +8,11 @@
 3. In each bucket every node is paired with the bucket's smallest node (a star, never all pairs).
    Pairs whose sketches agree well enough are verified on full sets: 100 * |A & B| >= 80 * |A | B|.
 4. Verified links give components. Only buckets that still hold several components are searched
-   further, in blocks of a bounded number of nodes: pairs of different components whose sketches
-   agree are verified, first the few closest of each node, then all that remain. Links inside a
-   component could not change it, and no link between components is left out.
+   further, in blocks of a bounded number of nodes. First each node's few closest sketches in other
+   components are verified. What then remains is settled inside the blocks: every pair of
+   different components whose sketches agree is compared on full sets, and one link a pair of
+   components leaves the block. Links inside a component could not change it, and no link between
+   components is left out; no pairs of a group are ever written out.
 
 Sets are compared by 64-bit shingle hashes. The sketch bound lies five standard deviations of the
 sample estimate and four of the parity count below the threshold.
@@ -147,60 +149,118 @@ def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep)], names=["a", "b", "ok"])
 
 
-def _cells(batches: Iterator[pa.RecordBatch], bound: int, closest: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components whose sketches agree, cell by cell; rows come sorted by cell."""
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def pairs(cols: list[np.ndarray], sketch: np.ndarray) -> np.ndarray:
-        node, comp, lead, block = cols
-        # a row once, however many of a node's texts or hashes led here
-        differ = comp[:, None] != comp[None, :]
-        differ &= (node[:, None] < node[None, :]) & (lead[:, None] != node[:, None])
-        if block.min() != block.max():
-            differ &= block[:, None] != block[None, :]
-        if not differ.any():
-            return np.zeros((0, 2), np.int64)
-        i, j = np.nonzero(differ)
-        bits = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1)
-        fine = bits <= bound
-        i, j, bits = i[fine], j[fine], bits[fine]
-        if closest and len(i) > closest:
-            keep = np.zeros(len(i), bool)
-            for end, other in ((i, j), (j, i)):
-                order = np.lexsort((bits, comp[other], end))
-                e, c = end[order], comp[other][order]
-                first = np.flatnonzero(np.r_[True, (e[1:] != e[:-1]) | (c[1:] != c[:-1])])
-                rank = np.arange(len(e)) - np.repeat(first, np.diff(np.r_[first, len(e)]))
-                keep[order[rank < closest]] = True
-            i, j = i[keep], j[keep]
-        return np.stack([node[i], node[j]], axis=1)
-
-    held: list[list] = []
+def _by_cell(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of one cell after another; rows come sorted by cell."""
+    held: list[pa.RecordBatch] = []
     key = None
-    names = ("node", "component", "leader", "block")
-
-    def flush() -> pa.RecordBatch | None:
-        if not held:
-            return None
-        found = pairs([np.concatenate([h[k] for h in held]) for k in range(4)], np.concatenate([h[4] for h in held]))
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=kind) if len(found) else None
-
     for batch in batches:
         if not batch.num_rows:
             continue
-        cell = np.stack([batch.column(c).to_numpy() for c in ("bh", "ci", "cj")], axis=1)
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
-        sketch = batch.column("sketch").flatten().to_numpy().reshape(-1, BITS // 64)
+        cell = np.stack([batch.column(c).to_numpy() for c in keys], axis=1)
         edge = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(axis=1), True])
         for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             now = tuple(cell[lo].tolist())
-            if now != key:
-                if (out := flush()) is not None:
-                    yield out
-                held, key = [], now
-            held.append([c[lo:hi] for c in cols] + [sketch[lo:hi]])
-    if (out := flush()) is not None:
-        yield out
+            if now != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = now
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy().reshape(-1, width)
+
+
+def _candidates(cell: pa.Table, bound: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of a cell that belong to different components and whose sketches agree."""
+    node, comp, lead, side = (cell.column(c).to_numpy() for c in ("node", "component", "leader", "side"))
+    sketch = _matrix(cell.column("sketch"), BITS // 64)
+    left = np.flatnonzero(side == 0)
+    right = left if cell.column("ci")[0].as_py() == cell.column("cj")[0].as_py() else np.flatnonzero(side == 1)
+    differ = comp[left][:, None] != comp[right][None, :]
+    # pairs with the bucket's leader have been compared; inside one block each pair counts once
+    differ &= (lead[left] != node[left])[:, None] & (lead[right] != node[right])[None, :]
+    if right is left:
+        differ &= node[left][:, None] < node[left][None, :]
+    i, j = np.nonzero(differ)
+    i, j = left[i], right[j]
+    bits = np.zeros(len(i), np.int64)
+    for at in range(0, len(i), 65536):
+        part = slice(at, at + 65536)
+        bits[part] = np.bitwise_count(sketch[i[part]] ^ sketch[j[part]]).sum(axis=1)
+    fine = bits <= bound
+    return i[fine], j[fine], bits[fine], node
+
+
+def _closest(batches: Iterator[pa.RecordBatch], bound: int, closest: int) -> Iterator[pa.RecordBatch]:
+    """Of each node of a cell the pairs with the few closest nodes of other components."""
+    for cell in _by_cell(batches, ("bh", "ci", "cj")):
+        i, j, bits, node = _candidates(cell, bound)
+        keep = np.zeros(len(i), bool)
+        for end in (i, j):
+            order = np.lexsort((bits, end))
+            e = end[order]
+            first = np.flatnonzero(np.r_[True, e[1:] != e[:-1]]) if len(e) else np.zeros(0, np.int64)
+            rank = np.arange(len(e)) - np.repeat(first, np.diff(np.r_[first, len(e)]))
+            keep[order[rank < closest]] = True
+        if keep.any():
+            a, b = node[i[keep]], node[j[keep]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+
+def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of many pairs among few sets."""
+    rows = np.unique(np.r_[i, j])
+    size = sum(len(sets[r]) for r in rows.tolist())
+    if len(i) * (size / max(1, len(rows)) * 2e-8 + 2e-5) < size * len(rows) * 2e-10 + 1e-3:
+        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(i.tolist(), j.tolist(), strict=True)])
+    at = np.full(len(sets), -1)
+    at[rows] = np.arange(len(rows))
+    _, column = np.unique(np.concatenate([sets[r] for r in rows.tolist()]), return_inverse=True)
+    row = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows.tolist()])
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(rows), len(rows)), np.float32)
+    width = 4096
+    for c in range(0, int(column[-1]) + 1, width):
+        lo, hi = np.searchsorted(column, [c, c + width])
+        m = np.zeros((len(rows), width), np.float32)
+        m[row[lo:hi], column[lo:hi] - c] = 1
+        total += m @ m.T
+    return total[at[i], at[j]].astype(np.int64)
+
+
+def _links(batches: Iterator[pa.RecordBatch], bound: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """One link for each two components of a cell that have any; sets are compared in full."""
+    for cell in _by_cell(batches, ("bh", "ci", "cj")):
+        i, j, _, node = _candidates(cell, bound)
+        if not len(i):
+            continue
+        # a pair is compared in the first band that it shares
+        bands, comp = _matrix(cell.column("bands"), BANDS), cell.column("component").to_numpy()
+        here = cell.column("bh")[0].as_py()
+        same = np.concatenate([bands[i[k : k + 65536]] == bands[j[k : k + 65536]] for k in range(0, len(i), 65536)])
+        fine = bands[i, same.argmax(axis=1)] == here
+        i, j = i[fine], j[fine]
+        if not len(i):
+            continue
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in cell.column("items")]
+        n = np.array([len(x) for x in sets])
+        both = _shared(sets, i, j)
+        ok = den * both >= num * (n[i] + n[j] - both)
+        if ok.any():
+            a, b = node[i[ok]], node[j[ok]]
+            ends = np.sort(np.stack([comp[i[ok]], comp[j[ok]]], axis=1), axis=1)
+            _, one = np.unique(ends, axis=0, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a[one]), pa.array(b[one])], names=["a", "b"])
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_chunks(batches):
+        sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "items"])
 
 
 def _agree(bound: int):
@@ -269,30 +329,58 @@ class _Search:
         self.verify(pairs)
         label = self.labels()
         rows = rows.filter("n > 2")
-        for closest in (CLOSEST, 0):
-            named = rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            split = named.groupBy("bh").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-            rows = self.scratch.write(named.join(split.select("bh"), "bh", "left_semi"))
-            grid = F.ceil(F.col("n") / BLOCK).cast("int")
-            cells = (
-                rows.join(sketch, "node")
-                .withColumn("block", F.pmod(F.xxhash64("node"), grid).cast("long"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), grid - 1)))
-                .select(
-                    "bh",
-                    F.least("block", "other").cast("long").alias("ci"),
-                    F.greatest("block", "other").cast("long").alias("cj"),
-                    "node", "component", "leader", "block", "sketch",
-                )
-                .repartition("bh", "ci", "cj")
-                .sortWithinPartitions("bh", "ci", "cj")
-            )
-            found = cells.mapInArrow(partial(_cells, bound=self.bound, closest=closest), "a long, b long").distinct()
-            if self.verify(found.join(self.checked, ["a", "b"], "left_anti")):
-                label = self.labels()
-            rows = rows.drop("component")
+        cells = self.cells(rows, label)
+        found = cells.join(sketch, "node")
+        found = self.spread(found).mapInArrow(partial(_closest, bound=self.bound, closest=CLOSEST), "a long, b long")
+        if self.verify(found.distinct().join(self.checked, ["a", "b"], "left_anti")):
+            label = self.labels()
+            cells = self.cells(rows, label)
+        text = self.texts.select(F.col("doc_id").alias("node"), "text").join(
+            cells.select("node").distinct(), "node", "left_semi"
+        )
+        # a node's texts differ only where rows share a doc_id; each brings its own set
+        items = text.mapInArrow(_items, "node long, items binary")
+        full = cells.join(self.nodes.select("node", "sketch", "bands"), "node").join(self.scratch.write(items), "node")
+        links = self.scratch.write(
+            self.spread(full).mapInArrow(partial(_links, bound=self.bound, num=self.num, den=self.den), "a long, b long")
+        )
+        if not links.isEmpty():
+            self.edges.append(links)
+            label = self.labels()
         return label
 
+    def cells(self, rows: DataFrame, label: DataFrame) -> DataFrame:
+        """Buckets with several components as cells of two blocks: bh, ci, cj, side, node, component, leader.
+
+        The nodes of the leader's component (blocks 0, 1, ...) meet only the others' blocks (-1, -2, ...),
+        which also meet each other. A block holds about BLOCK nodes.
+        """
+        named = rows.select("bh", "node", "leader").join(label, "node", "left")
+        named = self.scratch.write(named.withColumn("component", F.coalesce("component", "node")))
+        split = (
+            named.groupBy("bh", "component").agg(F.count("*").alias("n"))
+            .groupBy("bh").agg(F.min("component").alias("major"), F.min_by("n", "component").alias("n_major"), F.sum("n").alias("n"))
+            .filter("n > n_major")
+        )
+        some = named.join(split, "bh").withColumn("minor", F.col("component") != F.col("major"))
+        majors = F.ceil(F.col("n_major") / BLOCK).cast("long")
+        minors = F.ceil((F.col("n") - F.col("n_major")) / BLOCK).cast("long")
+        block = F.when(F.col("minor"), -1 - F.pmod(F.xxhash64("node"), minors)).otherwise(F.pmod(F.xxhash64("node"), majors))
+        others = F.when(F.col("minor"), F.sequence(-minors, majors - 1)).otherwise(F.sequence(-minors, F.lit(-1).cast("long")))
+        some = some.withColumn("block", block).withColumn("other", F.explode(others))
+        ci, cj = F.least("block", "other"), F.greatest("block", "other")
+        return self.scratch.write(
+            some.select(
+                "bh", ci.alias("ci"), cj.alias("cj"),
+                F.when(F.col("block") == ci, 0).otherwise(1).alias("side"),
+                "node", "component", "leader",
+            )
+        )
+
+    @staticmethod
+    def spread(cells: DataFrame) -> DataFrame:
+        return cells.repartition("bh", "ci", "cj").sortWithinPartitions("bh", "ci", "cj")
+
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; linked where den * |A & B| >= num * |A | B|."""
