@@ -42,21 +42,27 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
-        #: Shuffle files of a written step have no further use, so Spark removes them with the query.
-        self.cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        self.settings = {
+            # shuffle files of a written step have no further use, so Spark removes them with the query
+            "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            # whole texts and sets travel in these batches: fewer rows bound the workers' memory
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        }
 
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        before = self.spark.conf.get(self.cleanup, None)
+        before = {k: self.spark.conf.get(k, None) for k in self.settings}
         try:
-            self.spark.conf.set(self.cleanup, "true")
+            for k, v in self.settings.items():
+                self.spark.conf.set(k, v)
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(self.cleanup)
-            else:
-                self.spark.conf.set(self.cleanup, before)
+            for k, v in before.items():
+                if v is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, v)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

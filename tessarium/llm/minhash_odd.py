@@ -8,8 +8,8 @@
 3. In each bucket every node is paired with the bucket's smallest node (a star, never all pairs).
    Pairs whose sketches agree well enough are verified on full sets: 100 * |A & B| >= 80 * |A | B|.
 4. Verified links give components. Only buckets that still hold several components are searched
-   further, in blocks of a bounded number of nodes. First each node's few closest sketches in other
-   components are verified. What then remains is settled inside the blocks: every pair of
+   further, in blocks of a bounded number of nodes. First each node's closest sketch in another
+   component is verified. What then remains is settled inside the blocks: every pair of
    different components whose sketches agree is compared on full sets, and one link a pair of
    components leaves the block. Links inside a component could not change it, and no link between
    components is left out; no pairs of a group are ever written out.
@@ -40,7 +40,7 @@ from .components import components
 
 SHINGLE, BANDS, ROWS, BITS = 4, 32, 4, 512
 NUM, DEN = 80, 100
-BLOCK, CLOSEST = 256, 4
+BLOCK = 256
 _RNG = np.random.default_rng(20240229)
 _SAMPLES = BANDS * ROWS
 _MUL = (_RNG.integers(0, 1 << 31, _SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -194,20 +194,17 @@ def _candidates(cell: pa.Table, bound: int) -> tuple[np.ndarray, np.ndarray, np.
     return i[fine], j[fine], bits[fine], node
 
 
-def _closest(batches: Iterator[pa.RecordBatch], bound: int, closest: int) -> Iterator[pa.RecordBatch]:
-    """Of each node of a cell the pairs with the few closest nodes of other components."""
+def _closest(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
+    """Of each node outside the leader's component the pair with the closest node of another component, by cell."""
     for cell in _by_cell(batches, ("bh", "ci", "cj")):
         i, j, bits, node = _candidates(cell, bound)
-        keep = np.zeros(len(i), bool)
-        for end in (i, j):
-            order = np.lexsort((bits, end))
-            e = end[order]
-            first = np.flatnonzero(np.r_[True, e[1:] != e[:-1]]) if len(e) else np.zeros(0, np.int64)
-            rank = np.arange(len(e)) - np.repeat(first, np.diff(np.r_[first, len(e)]))
-            keep[order[rank < closest]] = True
-        if keep.any():
-            a, b = node[i[keep]], node[j[keep]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+        if not len(i):
+            continue
+        order = np.lexsort((bits, i))
+        i, j = i[order], j[order]
+        first = np.r_[True, i[1:] != i[:-1]]
+        a, b = node[i[first]], node[j[first]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
 
 def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -331,7 +328,7 @@ class _Search:
         rows = rows.filter("n > 2")
         cells = self.cells(rows, label)
         found = cells.join(sketch, "node")
-        found = self.spread(found).mapInArrow(partial(_closest, bound=self.bound, closest=CLOSEST), "a long, b long")
+        found = self.spread(found).mapInArrow(partial(_closest, bound=self.bound), "a long, b long")
         if self.verify(found.distinct().join(self.checked, ["a", "b"], "left_anti")):
             label = self.labels()
             cells = self.cells(rows, label)
