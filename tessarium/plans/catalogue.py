@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import corpus, deliberation, linking, relational, retrieval, streams, training  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -207,10 +207,16 @@ def key_passage(spark, sf_dir):
 
 
 _FLAT = r"array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, E' \n\t\r\f\v')), lambda x: x <> ''), ' ')"
-_SHING = "CASE WHEN length(f) >= 5 THEN list_distinct(list_transform(range(1, length(f) - 3), lambda i: substring(f, i, 5))) ELSE [f] END"
+#: k-grams by windows over unnested characters; shorter texts are one gram.
+_SHING = """c AS (SELECT d, f, unnest(string_split(f, '')) AS ch, generate_subscripts(string_split(f, ''), 1) AS i FROM a WHERE length(f) >= 5),
+    w AS (SELECT d, ch || lead(ch, 1) OVER k || lead(ch, 2) OVER k || lead(ch, 3) OVER k || lead(ch, 4) OVER k AS g FROM c WINDOW k AS (PARTITION BY d ORDER BY i)),
+    s AS (SELECT DISTINCT d, g FROM w WHERE g IS NOT NULL UNION ALL SELECT d, f FROM a WHERE length(f) < 5)"""
 
 
-@query("shingle_stats", f"WITH a AS (SELECT doc_id, {_FLAT} AS f FROM documents) SELECT doc_id, CAST(len({_SHING}) AS BIGINT) AS n_shingles FROM a")
+@query(
+    "shingle_stats",
+    f"WITH a AS (SELECT doc_id AS d, {_FLAT} AS f FROM documents), {_SHING} SELECT d AS doc_id, count(*) AS n_shingles FROM s GROUP BY d",
+)
 def shingle_stats(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.size(T.char_shingles(F.col("text"))).cast("long").alias("n_shingles"))
 
@@ -273,10 +279,10 @@ def resolve_dups(spark, sf_dir):
 
 @query(
     "near_dup_pairs",
-    f"""WITH a AS (SELECT min(doc_id) AS c, any_value({_FLAT}) AS f FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)),
-    s AS (SELECT c, unnest({_SHING}) AS g FROM a), n AS (SELECT c, count(*) AS n FROM s GROUP BY c),
-    p AS (SELECT x.c AS a, y.c AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.c < y.c GROUP BY 1, 2)
-    SELECT a, b, round(i / (u.n + v.n - i), 6) AS jaccard FROM p JOIN n u ON u.c = a JOIN n v ON v.c = b WHERE i / (u.n + v.n - i) >= 0.9""",
+    f"""WITH a AS (SELECT min(doc_id) AS d, any_value({_FLAT}) AS f FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)),
+    {_SHING}, n AS (SELECT d, count(*) AS n FROM s GROUP BY d),
+    p AS (SELECT x.d AS a, y.d AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.d < y.d GROUP BY 1, 2)
+    SELECT a, b, round(i / (u.n + v.n - i), 6) AS jaccard FROM p JOIN n u ON u.d = a JOIN n v ON v.d = b WHERE i / (u.n + v.n - i) >= 0.9""",
 )
 def near_dup_pairs(spark, sf_dir):
     return op.near_pairs(docs(spark, sf_dir)).withColumn("jaccard", F.round("jaccard", 6))
