@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Elements without readable text.
 SKIPPED = ("script", "style", "noscript", "template")
@@ -44,7 +45,7 @@ def page_text(page: str | None, skipped: tuple[str, ...] = SKIPPED) -> str | Non
     return f"{title}\n{body}" if title and title not in body[:500] else body
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_text(page: pd.Series) -> pd.Series:
     return page.map(page_text)
 

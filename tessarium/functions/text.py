@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Words in every script, with inner apostrophes and hyphens; written so that Java and RE2 agree.
 TOKEN = r"[\p{L}\p{N}_]+(?:['-]+[\p{L}\p{N}_]+)*"
@@ -77,7 +78,7 @@ def quality_score(text: Column, minimum: int = 20) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
