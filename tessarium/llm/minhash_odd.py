@@ -78,10 +78,21 @@ def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
 
 
 def signature(sets: np.ndarray) -> np.ndarray:
+    """The least of each sample's hashes over the set.
+
+    Each sample has a multiplier and an offset of its own, then mixes all bits into the top ones: linear hashes
+    alone have minima that depend on each other, so that samples would agree or differ together.
+    """
     x = (sets >> np.uint64(32)).astype(np.uint32)
     out = np.full(_SAMPLES, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 1024):
-        np.minimum(out, (_MUL * x[at : at + 1024] + _ADD).min(axis=1), out=out)
+        h = _MUL * x[at : at + 1024]
+        h += _ADD
+        h ^= h >> np.uint32(16)
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        h *= np.uint32(0xC2B2AE35)
+        np.minimum(out, h.min(axis=1), out=out)
     return out
 
 
