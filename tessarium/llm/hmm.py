@@ -357,7 +357,9 @@ def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int =
         per[r.n] = r["count"]
     above = np.cumsum(per[::-1])[::-1]
     cut = int(np.flatnonzero(above <= known)[0])
-    top = counts.filter(F.col("n") >= cut) if cut <= 4096 else counts.orderBy(F.desc("n"), "h").limit(known)
+    end = F.col("h") == F.lit(int(_END.view(np.int64)))  # always known, however few words are
+    head = (F.col("n") >= cut) | end
+    top = counts.filter(head) if cut <= 4096 else counts.orderBy(F.desc("n"), "h").limit(known)
     got = top.toArrow()
     h, cls, n = (got.column(c).to_numpy() for c in ("h", "cls", "n"))
     class_n, class_v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
@@ -378,7 +380,7 @@ def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int =
     )
     rare = (
         encoded.select("uid", F.explode("rare").alias("h"))
-        .join(counts.filter(F.col("n") < cut).select("h", "n"), "h")
+        .join(counts.filter((F.col("n") < cut) & ~end).select("h", "n"), "h")
         .groupBy("uid")
         .agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("more"))
     )
