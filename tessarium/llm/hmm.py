@@ -350,16 +350,15 @@ def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int =
         docs.filter("NOT held_out").select("text").mapInArrow(_count, "h long, cls int, n long")
         .groupBy("h").agg(F.first("cls").alias("cls"), F.sum("n").alias("n"))
     )
-    # the count from which on at most `known` words are left
-    hist = counts.select(F.least("n", F.lit(4096)).alias("n")).groupBy("n").count().collect()
-    per = np.zeros(4098, np.int64)
-    for r in hist:
-        per[r.n] = r["count"]
-    above = np.cumsum(per[::-1])[::-1]
-    cut = int(np.flatnonzero(above <= known)[0])
+    # words by size class of their counts; the classes from `cut` on hold at most `known` words
+    size = F.floor(F.log2("n") * 8).cast("int")
+    per = np.zeros(8 * 64 + 2, np.int64)
+    for r in counts.groupBy(size.alias("b")).count().collect():
+        per[r.b] = r["count"]
+    cut = int(np.flatnonzero(np.cumsum(per[::-1])[::-1] <= known)[0])
     end = F.col("h") == F.lit(int(_END.view(np.int64)))  # always known, however few words are
-    head = (F.col("n") >= cut) | end
-    top = counts.filter(head) if cut <= 4096 else counts.orderBy(F.desc("n"), "h").limit(known)
+    head = (size >= cut) | end
+    top = counts.filter(head)
     got = top.toArrow()
     h, cls, n = (got.column(c).to_numpy() for c in ("h", "cls", "n"))
     class_n, class_v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
@@ -380,7 +379,7 @@ def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int =
     )
     rare = (
         encoded.select("uid", F.explode("rare").alias("h"))
-        .join(counts.filter((F.col("n") < cut) & ~end).select("h", "n"), "h")
+        .join(counts.filter(~head).select("h", "n"), "h")
         .groupBy("uid")
         .agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("more"))
     )
