@@ -142,7 +142,7 @@ def merge_preferred(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFram
 def clean_reasoning(text: Column) -> Column:
     """evidence_summary, policy_analysis and justification from private reasoning; other texts stay as analysis."""
     low = lambda x: F.lower(x)
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: (x != "") & ~has_any(low(x), SKIP_LINE))
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: (x != "") & ~has_any(low(x), SKIP_LINE))
     is_ev = lambda x: has_any(low(x), EVIDENCE_LINE)
     is_end = lambda x: ~is_ev(x) & has_any(low(x), CONCLUSION_LINE)
     # analysis: other lines after the first evidence line, or longer than 40 characters

@@ -89,9 +89,9 @@ def artifacts(spark: SparkSession, path: str) -> DataFrame:
 def discovered_links(kind: str, text: F.Column) -> F.Column:
     """The links of a sitemap (<loc>), a feed (<item><link>) or a page (<a href>, without fragments)."""
     if kind == "sitemap":
-        return F.transform(F.regexp_extract_all(text, F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1)), F.trim)
+        return F.transform(F.regexp_extract_all(text, F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1)), lambda x: F.trim(x))
     if kind == "feed":
         items = F.regexp_extract_all(text, F.lit(r"(?s)<item\b.*?</item>"), F.lit(0))
         return F.transform(items, lambda i: F.trim(F.regexp_extract(i, r"(?s)<link>(.*?)</link>", 1)))
     found = F.regexp_extract_all(text, F.lit(r"""<a [^>]*href="([^"#][^"]*)\""""), F.lit(1))
-    return F.transform(found, F.trim)
+    return F.transform(found, lambda x: F.trim(x))
