@@ -75,7 +75,7 @@ class Scratch:
 
 
 def text_chunks(
-    batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20, text: str = "text"
+    batches: Iterator[pa.RecordBatch], max_bytes: int = 2 << 20, text: str = "text"
 ) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that the texts of each piece take about max_bytes at most (one row at least)."""
     for batch in batches:

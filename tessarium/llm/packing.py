@@ -38,7 +38,7 @@ CAPACITY = 2048
 SHARD_PIECES, ISLANDS, POPULATION, CHILDREN, EPOCHS, SEED = 6000, 2, 4, 6, 2, 11
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 #: Words whose ids a worker keeps at most, between two chunks of texts.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 250_000
 
 
 def default_tokenizer() -> str:
@@ -117,7 +117,7 @@ def _word_ids(path: str) -> WordIds:
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     enc, end, salt = _word_ids(path), struct.pack("<I", end_id), 0
-    for batch in text_chunks(batches, 4 << 20):
+    for batch in text_chunks(batches):
         out: list[tuple] = []
         doc_ids = batch.column("doc_id").to_pylist()
         enc.trim()
