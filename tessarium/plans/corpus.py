@@ -48,8 +48,8 @@ def invalid_reasons(spark, sf_dir):
 
 
 _QUALITY = r"""
-SELECT doc_id, CASE WHEN length(trim(text, E' \n\t\r\f\v')) < 20 THEN 'failed' ELSE 'passed' END AS status,
-  CASE WHEN length(trim(text, E' \n\t\r\f\v')) = 0 THEN 0.0
+SELECT doc_id, CASE WHEN length(trim(text, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) < 20 THEN 'failed' ELSE 'passed' END AS status,
+  CASE WHEN length(trim(text, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) = 0 THEN 0.0
        ELSE round(greatest(0.0, least(length(text) / 200.0::DOUBLE, 1.0)
             - least(100.0 * (length(text) - length(replace(text, chr(65533), ''))) / greatest(length(text), 1), 0.5)), 4) END AS score
 FROM documents"""
@@ -63,7 +63,7 @@ def quality_score(spark, sf_dir):
 
 @query(
     "ingest_gate",
-    r"""SELECT doc_id, CASE WHEN length(trim(coalesce(text, ''), E' \n\t\r\f\v')) < 20 THEN 'rejected'
+    r"""SELECT doc_id, CASE WHEN length(trim(coalesce(text, ''), (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) < 20 THEN 'rejected'
         WHEN octet_length(encode(coalesce(text, ''))) < 1 THEN 'rejected' ELSE 'accepted' END AS decision FROM documents""",
 )
 def ingest_gate(spark, sf_dir):
@@ -168,13 +168,13 @@ def corpus_ready(spark, sf_dir):
     "normalize_text",
     r"""WITH a AS (SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS t FROM documents),
     b AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g') AS t FROM a)
-    SELECT doc_id, sha256(trim(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), E' \n\t\r\f\v')) AS sha256 FROM b""",
+    SELECT doc_id, sha256(trim(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) AS sha256 FROM b""",
 )
 def normalize_text(spark, sf_dir):
     return op.normalized(docs(spark, sf_dir)).select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
-_SENT = r"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, E' \n\t\r\f\v')), lambda x: x <> '')"
+_SENT = r"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))), lambda x: x <> '')"
 
 
 @query("sentence_split", f"SELECT doc_id, CAST(len({_SENT}) AS BIGINT) AS n, sha256(array_to_string({_SENT}, '|')) AS sha256 FROM documents")
@@ -193,7 +193,7 @@ def reading_time(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", T.reading_minutes(F.col("text")).alias("minutes"))
 
 
-_LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, E' \n\t\r\f\v')), lambda x: length(x) > 40)"
+_LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))), lambda x: length(x) > 40)"
 
 
 @query(
@@ -206,7 +206,7 @@ def key_passage(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", T.key_passage(F.col("text")).alias("passage"))
 
 
-_FLAT = r"array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, E' \n\t\r\f\v')), lambda x: x <> ''), ' ')"
+_FLAT = r"array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))), lambda x: x <> ''), ' ')"
 #: k-grams by windows over unnested characters; shorter texts are one gram.
 _SHING = """c AS (SELECT d, f, unnest(string_split(f, '')) AS ch, generate_subscripts(string_split(f, ''), 1) AS i FROM a WHERE length(f) >= 5),
     w AS (SELECT d, ch || lead(ch, 1) OVER k || lead(ch, 2) OVER k || lead(ch, 3) OVER k || lead(ch, 4) OVER k AS g FROM c WINDOW k AS (PARTITION BY d ORDER BY i)),
@@ -329,7 +329,7 @@ def report_cube(spark, sf_dir):
 
 
 @query("corpus_manifest", r"""SELECT doc_id AS document_id, source, lang AS language, sha256(text) AS artifact_sha256, CAST(length(text) AS BIGINT) AS text_length,
-    substring(string_split(trim(text, E' \n\t\r\f\v'), chr(10))[1], 1, 120) AS title FROM documents WHERE length(text) >= 200""")
+    substring(string_split(trim(text, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), chr(10))[1], 1, 120) AS title FROM documents WHERE length(text) >= 200""")
 def corpus_manifest(spark, sf_dir):
     return valid_documents(docs(spark, sf_dir), 200).select(
         F.col("doc_id").alias("document_id"),
@@ -342,8 +342,8 @@ def corpus_manifest(spark, sf_dir):
 
 
 @query("hf_projection", r"""SELECT CAST(doc_id AS VARCHAR) AS id,
-    coalesce(nullif(substring(string_split(trim(text, E' \n\t\r\f\v'), chr(10))[1], 1, 120), ''), 'Untitled') AS title, source,
-    substring(coalesce(nullif(lang, ''), 'und'), 1, 10) AS language, trim(substring(text, 1, 500), E' \n\t\r\f\v') AS summary FROM documents""")
+    coalesce(nullif(substring(string_split(trim(text, (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), chr(10))[1], 1, 120), ''), 'Untitled') AS title, source,
+    substring(coalesce(nullif(lang, ''), 'und'), 1, 10) AS language, trim(substring(text, 1, 500), (' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS summary FROM documents""")
 def hf_projection(spark, sf_dir):
     first = F.substring(F.split_part(T.strip(F.col("text")), F.lit("\n"), F.lit(1)), 1, 120)
     return docs(spark, sf_dir).select(
