@@ -40,7 +40,7 @@ from .components import components
 
 SHINGLE, BANDS, ROWS, BITS = 4, 32, 4, 512
 NUM, DEN = 80, 100
-BLOCK = 256
+BLOCK = 512
 _RNG = np.random.default_rng(20240229)
 _SAMPLES = BANDS * ROWS
 _MUL = (_RNG.integers(0, 1 << 31, _SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
