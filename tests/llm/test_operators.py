@@ -214,6 +214,30 @@ def test_kneser_ney_is_a_distribution_and_rejects_junk(spark, none):
     assert kneser_ney.filter_documents(df, labels.limit(0), Scratch(spark, "t")).count() == df.count()
 
 
+def test_kneser_ney_rejects_foreign_words_and_bad_windows(spark):
+    """An insult that trusted text never holds, and junk inside a long fluent text, are rejected; copies and names are not."""
+    rng = np.random.default_rng(6)
+    vocab = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    name = lambda: "N" + "".join(chr(97 + int(x)) for x in rng.integers(0, 26, 6))
+    make = lambda k: [*(str(w) for w in rng.choice(vocab, k // 2)), name(), *(str(w) for w in rng.choice(vocab, k - k // 2 - 1))]
+    rows = [(i, " ".join(make(80))) for i in range(300)]
+    rude = make(80)
+    for i in range(300, 340):
+        text = make(80)
+        text[40] = "Scoundrel,"
+        rows.append((i, " ".join(text)))
+    rude[40] = "Nickname"  # in one text and its copies: no evidence
+    rows += [(i, " ".join(rude)) for i in range(340, 380)]
+    junk = make(900)
+    junk[450:466] = ["QX##Z%%"] * 16
+    rows.append((400, " ".join(junk)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(250)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in kneser_ney.filter_documents(df, labels, Scratch(spark, "t")).collect()}
+    assert not kept & {*range(300, 340), 400} and set(range(340, 380)) <= kept
+    assert len(kept & set(range(300))) >= 290
+
+
 def test_curriculum(spark, docs, none):
     rows = corpus()
     size = {r[0]: len(words(r[1])) for r in rows}
