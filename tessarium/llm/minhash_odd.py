@@ -1,6 +1,7 @@
 """Near-duplicate detection: MinHash bands for candidates, odd sketches to check them, exact links.
 
-1. Each whole text becomes its set of distinct 4-word shingles (64-bit hashes), 128 MinHash samples in
+1. Each whole text becomes its set of distinct word shingles (64-bit hashes; of
+   4 words unless `width` says otherwise), 128 MinHash samples in
    32 bands of 4, and an odd sketch: the samples, each with its number, are folded into 512 parity
    bits. The XOR of two sketches is the sketch of the samples that differ, and its population count
    estimates how many do. A pair at similarity 0.8 shares no band with probability 5e-8.
@@ -18,7 +19,7 @@ Sets are compared by 64-bit shingle hashes. The sketch bound lies five standard
 sample estimate and four of the parity count below the threshold.
 
 Defined cases: null, empty and white-space texts have an empty set (n_shingles 0) and are linked
-with nothing; fewer than four words make one shingle of all; equal texts are linked; rows that
+with nothing; fewer words than a shingle's make one shingle of all; equal texts are linked; rows that
 share a doc_id are one node that links where any of its texts does; an empty table gives an empty
 result; extra columns are ignored by `near_duplicates`.
 """
@@ -116,11 +117,11 @@ def _lists(x: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * w + 1, w, dtype=np.int32)), pa.array(x.ravel()))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches):
         sizes, marks, sigs = [], [], []
         for text in batch.column("text").to_pylist():
-            s = shingles(text)
+            s = shingles(text, width)
             sizes.append(len(s))
             marks.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8"))
             sigs.append(signature(s))
@@ -146,7 +147,7 @@ def linked(a: np.ndarray, b: np.ndarray, num: int = NUM, den: int = DEN) -> bool
     return den * both >= num * (len(a) + len(b) - both)
 
 
-def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int, width: int) -> Iterator[pa.RecordBatch]:
     last_id, last = None, None
     for batch in batches:
         ids = [batch.column(c).to_pylist() for c in ("a", "b")]
@@ -155,8 +156,8 @@ def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
         for i in range(batch.num_rows):
             text_b = bt[i].as_py()
             if (ids[1][i], text_b) != last_id:
-                last_id, last = (ids[1][i], text_b), shingles(text_b)
-            keep.append(linked(shingles(at[i].as_py()), last, num, den))
+                last_id, last = (ids[1][i], text_b), shingles(text_b, width)
+            keep.append(linked(shingles(at[i].as_py(), width), last, num, den))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep)], names=["a", "b", "ok"])
 
 
@@ -265,9 +266,9 @@ def _links(batches: Iterator[pa.RecordBatch], bound: int, num: int, den: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(a[one]), pa.array(b[one])], names=["a", "b"])
 
 
-def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _items(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches):
-        sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+        sets = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "items"])
 
 
@@ -281,11 +282,11 @@ def _agree(bound: int):
 
 
 class _Search:
-    def __init__(self, docs: DataFrame, scratch: Scratch, num: int, den: int):
-        self.scratch, self.num, self.den = scratch, num, den
+    def __init__(self, docs: DataFrame, scratch: Scratch, num: int, den: int, width: int):
+        self.scratch, self.num, self.den, self.width = scratch, num, den, width
         self.bound = sketch_bound(num / den)
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        self.rows = scratch.write(self.texts.filter("doc_id IS NOT NULL").mapInArrow(_sketch, SKETCHED))
+        self.rows = scratch.write(self.texts.filter("doc_id IS NOT NULL").mapInArrow(partial(_sketch, width=width), SKETCHED))
         full = self.rows.filter("n_shingles > 0")
         self.nodes = scratch.write(
             full.groupBy("hi", "lo").agg(
@@ -305,7 +306,7 @@ class _Search:
             .join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b")
         )
-        done = self.scratch.write(both.mapInArrow(partial(_verify, num=self.num, den=self.den), "a long, b long, ok boolean"))
+        done = self.scratch.write(both.mapInArrow(partial(_verify, num=self.num, den=self.den, width=self.width), "a long, b long, ok boolean"))
         links = done.filter("ok").select("a", "b")
         found = not links.isEmpty()
         if found or not self.edges:
@@ -347,7 +348,7 @@ class _Search:
             cells.select("node").distinct(), "node", "left_semi"
         )
         # a node's texts differ only where rows share a doc_id; each brings its own set
-        items = text.mapInArrow(_items, "node long, items binary")
+        items = text.mapInArrow(partial(_items, width=self.width), "node long, items binary")
         full = cells.join(self.nodes.select("node", "sketch", "bands"), "node").join(self.scratch.write(items), "node")
         links = self.scratch.write(
             self.spread(full).mapInArrow(partial(_links, bound=self.bound, num=self.num, den=self.den), "a long, b long")
@@ -390,9 +391,9 @@ class _Search:
         return cells.repartition("bh", "ci", "cj").sortWithinPartitions("bh", "ci", "cj")
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN) -> DataFrame:
+def near_duplicates(docs: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; linked where den * |A & B| >= num * |A | B|."""
-    search = _Search(docs, scratch, num, den)
+    search = _Search(docs, scratch, num, den, width)
     label = search.run()
     classes = search.nodes.select("hi", "lo", "node")
     member = search.rows.filter("n_shingles > 0").join(classes, ["hi", "lo"]).select("doc_id", "n_shingles", "node")
@@ -439,7 +440,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
 
 
-def deduplicate(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def deduplicate(docs: DataFrame, scratch: Scratch, width: int = SHINGLE) -> DataFrame:
     """The documents without all but one of each group."""
-    groups = near_duplicates(docs, scratch).filter("kept").select("doc_id").distinct()
+    groups = near_duplicates(docs, scratch, width=width).filter("kept").select("doc_id").distinct()
     return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)

@@ -71,6 +71,25 @@ def test_near_duplicates(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == sum(v[2] for v in got.values())
 
 
+def test_deduplicate_takes_the_width_of_shingles(spark):
+    """Five words against brute force on five-word sets, with pairs that only four words link."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(40):
+        base = [f"v{i}-{k}" for k in range(66)]
+        rows.append((2 * i, " ".join(base)))
+        for k in rng.choice(range(8, 58), 1 + i % 3, replace=False):
+            base[k] = f"e{i}-{k}"
+        rows.append((2 * i + 1, " ".join(base)))
+    five = lambda t: {tuple(t.split()[k : k + 5]) for k in range(62)}
+    jaccard = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    apart = {2 * i for i in range(40) if not jaccard(five(rows[2 * i][1]), five(rows[2 * i + 1][1]))}
+    only_four = {i for i in apart if jaccard(shingle_set(rows[i][1]), shingle_set(rows[i + 1][1]))}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in minhash_odd.deduplicate(df, Scratch(spark, "t"), width=5).collect()}
+    assert kept == set(range(0, 80, 2)) | {i + 1 for i in apart} and only_four
+
+
 def test_near_duplicates_in_large_groups(spark):
     """Many edited copies of one text: components are those of all pairs, though no bucket pairs all of its nodes."""
     rng = np.random.default_rng(4)
