@@ -3,14 +3,15 @@
 A vector is coded as a sum of M codewords, one of each full-dimensional codebook. The codebooks are
 fitted on a bounded sample: residual k-means first, then rounds of beam-search encoding and a joint
 least-squares fit. Every row is encoded by beam search (the `beam` best partial sums survive each
-codebook; norms of partial sums make the comparison a table lookup). The index keeps, per shard,
-codes, the norm of each decoded vector, and the original vectors. A query scores a shard by its
-lookup tables (and, for Euclidean nearness, the stored norms), and the `rerank` best of each shard
-are scored again exactly in double precision on the original vectors.
+codebook; norms of partial sums make the comparison a table lookup). Equal vectors are indexed once, with
+their k + 1 smallest ids, which is all that any query can need of them. The index keeps, per shard,
+codes, the norm of each decoded vector, its distance from the original (the code error), and the original
+vectors. A query scores a shard by its lookup tables (and, for Euclidean nearness, the stored norms), and
+the `rerank` best of each shard are scored again exactly in double precision on the original vectors. The
+k-th of these is the cut: every other vector that the code error may lift to it is scored exactly
+too, so codes only rule out what cannot be among the k, and no answer is lost to them.
 
-The sample bound is SAMPLE rows (those with the smallest hashes); everything else covers all rows.
-The rerank depth is per shard of at most SHARD_ROWS rows, so the share of rows that is scored exactly,
-and with it recall, stays as it is at any size.
+The sample bound is SAMPLE vectors (those with the smallest hashes); everything else covers all rows.
 
 Defined cases: see vectors.clean; fewer than k candidates give all; ties go to the smaller
 vec_id; an empty table gives an empty result; extra columns are ignored.
@@ -29,6 +30,8 @@ from .vectors import clean, meet, packed, ranked, searched, unpack
 K, EVERY = 20, 20
 BOOKS, WORDS, BEAM, ROUNDS, SAMPLE, SEED = 12, 128, 4, 1, 6000, 5
 SHARD_ROWS, BLOCK_ROWS, RERANK = 8192, 512, 640
+SALT = 1024
+DISTINCT = "shard int, ids binary, vectors binary, dim int, members binary, counts binary"
 
 
 class Codebooks:
@@ -109,27 +112,68 @@ def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = ROU
     return out
 
 
-def _index(books: Codebooks, norms: bool):
+def distinct(base: DataFrame, k: int) -> DataFrame:
+    """vec_id (the smallest), v, members (the k + 1 smallest ids, in order) of each distinct vector."""
+    least = lambda ids: F.slice(F.array_sort(ids), 1, k + 1)
+    # ids of a common vector are cut in many groups first, so that no task holds them all
+    parts = base.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(SALT)).alias("salt")).agg(least(F.collect_list("vec_id")).alias("members"))
+    whole = parts.groupBy("v").agg(least(F.flatten(F.collect_list("members"))).alias("members"))
+    return whole.select(F.col("members")[0].alias("vec_id"), "v", "members")
+
+
+def _shards(rows: DataFrame, shards: int) -> DataFrame:
+    """One row a shard with its distinct vectors and their members, in the order of ids."""
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec_id")
+        x = np.stack(pdf["v"].to_numpy()).astype("f8")
+        members = [np.asarray(m, "<i8") for m in pdf["members"]]
+        return pd.DataFrame(
+            {
+                "shard": [int(pdf["shard"].iloc[0])],
+                "ids": [pdf["vec_id"].to_numpy().astype("<i8").tobytes()],
+                "vectors": [x.tobytes()],
+                "dim": [x.shape[1]],
+                "members": [np.concatenate(members).tobytes()],
+                "counts": [np.array([len(m) for m in members], "<i4").tobytes()],
+            }
+        )
+
+    return (
+        rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+        .groupBy("shard")
+        .applyInPandas(pack, DISTINCT)
+    )
+
+
+def _index(books: Codebooks):
     def build(batches):
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 _, x = unpack(row.ids, row.vectors, row.dim)
                 codes = books.encode(x)
                 decoded = books.decode(codes)
+                error = np.sqrt(np.square(x - decoded).sum(axis=1))
                 yield pd.DataFrame(
                     {
-                        "shard": [row.shard],
-                        "ids": [row.ids],
-                        "vectors": [row.vectors],
-                        "dim": [row.dim],
+                        **{c: [getattr(row, c)] for c in ("shard", "ids", "vectors", "dim", "members", "counts")},
                         "codes": [codes.tobytes()],
                         "norms": [np.einsum("ij,ij->i", decoded, decoded).tobytes()],
+                        "errors": [error.tobytes()],
                     }
                 )
 
     return build
 
 
+def _exact(x: np.ndarray, q: np.ndarray, at: np.ndarray, measure: str) -> np.ndarray:
+    if measure == "ip":
+        # most of a shard costs less read in place than gathered
+        return (x @ q)[at] if 4 * len(at) > len(x) else x[at] @ q
+    gap = x[at] - q
+    return -np.einsum("ij,ij->i", gap, gap)
+
+
 def nearest(
     rows: DataFrame,
     scratch: Scratch,
@@ -142,37 +186,57 @@ def nearest(
     """The k nearest found of each row whose id is divisible by `every`; measure ip or l2 (score: -distance^2)."""
     assert measure in ("ip", "l2")
     base = scratch.write(clean(rows, nonzero=True))
-    n = base.count()
-    sample = base.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    own = scratch.write(distinct(base, k))
+    n, n_rows = own.count(), base.count()
+    sample = own.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     if not sample:
         return scratch.spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books = fit(np.array([r.v for r in sample]))
-    shards, blocks = -(-n // shard_rows), -(-n // (every * BLOCK_ROWS))
-    index = packed(base, shards).mapInPandas(
-        _index(books, measure == "l2"), "shard int, ids binary, vectors binary, dim int, codes binary, norms binary"
+    shards, blocks = -(-n // shard_rows), -(-n_rows // (every * BLOCK_ROWS))
+    index = scratch.write(
+        _shards(own, shards).mapInPandas(_index(books), DISTINCT + ", codes binary, norms binary, errors binary")
     )
-    index = scratch.write(index)
     queries = packed(base.filter(F.col("vec_id") % every == 0), blocks)
 
     def search(row) -> pd.DataFrame:
         ids, x = unpack(row.ids, row.vectors, row.dim)
         q_ids, q = unpack(row.q_ids, row.q_vectors, row.dim)
         codes = np.frombuffer(row.codes, np.uint8).reshape(len(ids), -1)
+        members, counts = np.frombuffer(row.members, "<i8"), np.frombuffer(row.counts, "<i4").astype(np.int64)
+        start = np.cumsum(counts) - counts
+        errors, norms = np.frombuffer(row.errors, "<f8"), np.frombuffer(row.norms, np.float32)
         rough = books.lookup(q, codes)
-        if measure == "l2":
-            rough = 2 * rough - np.frombuffer(row.norms, np.float32)
-        rough[q_ids[:, None] == ids[None, :]] = -np.inf
-        depth = min(rerank, len(ids))
+        length = np.sqrt(np.einsum("ij,ij->i", q, q))
+        # of single precision in tables and norms
+        slack = 1e-4 * (1 + length * (np.sqrt(norms.max(initial=0)) + errors.max(initial=0) + length))
+        if measure == "ip":
+            most = rough + length[:, None] * errors + slack[:, None]
+        else:
+            rough = 2 * rough - norms
+            apart = np.sqrt(np.maximum(length[:, None] ** 2 - rough - slack[:, None], 0))
+            most = -np.square(np.maximum(apart - errors, 0)) + slack[:, None]
+        # one more than k, since the query's own vector may have no other member
+        depth = min(max(rerank, k + 1), len(ids))
         best = np.argpartition(-rough, depth - 1, axis=1)[:, :depth]
         out = []
         for i in range(len(q_ids)):
             of = best[i]
-            of = of[ids[of] != q_ids[i]]
-            s = x[of] @ q[i]
-            if measure == "l2":
-                s = -np.einsum("ij,ij->i", x[of] - q[i], x[of] - q[i])
-            first = np.lexsort((ids[of], -s))[:k]
-            out.append((np.full(len(first), q_ids[i]), ids[of[first]], s[first]))
+            s = _exact(x, q[i], of, measure)
+            if depth < len(ids):
+                cut = np.partition(s, depth - k - 1)[depth - k - 1]
+                more = most[i] >= cut
+                more[of] = False
+                more = np.flatnonzero(more)
+                of, s = np.r_[of, more], np.r_[s, _exact(x, q[i], more, measure)]
+            if len(of) > k + 1:
+                # what ties with the k + 1 best vectors, with their members
+                fine = s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1]
+                of, s = of[fine], s[fine]
+            at = np.repeat(start[of] - (np.cumsum(counts[of]) - counts[of]), counts[of]) + np.arange(counts[of].sum())
+            v, s = members[at], np.repeat(s, counts[of])
+            v, s = v[v != q_ids[i]], s[v != q_ids[i]]
+            first = np.lexsort((v, -s))[:k]
+            out.append((np.full(len(first), q_ids[i]), v[first], s[first]))
         a, b, c = (np.concatenate(z) for z in zip(*out, strict=True))
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
 

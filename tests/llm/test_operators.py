@@ -190,6 +190,25 @@ def test_additive_quantisation_recall(spark):
     assert additive.nearest(df.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_additive_quantisation_of_copies(spark):
+    """A group of copies and one of near copies larger than the rerank depth: ids and ties as in brute force."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 16)).astype(np.float32)
+    x[rng.permutation(1500)[:500]] = x[0]
+    near = rng.permutation(1500)[:400]
+    x[near] = x[1] + rng.normal(size=(400, 16)).astype(np.float32) * np.float32(1e-3)
+    df = spark.createDataFrame([(i, [float(v) for v in r], 0) for i, r in enumerate(x)], EMB)
+    y = x.astype(float)
+    for measure in ("ip", "l2"):
+        got = {}
+        for r in additive.nearest(df, Scratch(spark, "t"), measure=measure, rerank=40, shard_rows=2000).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        for q in range(0, 1500, 20):
+            s = (y * y[q]).sum(1) if measure == "ip" else -np.square(y - y[q]).sum(1)
+            want = sorted((-round(v, 9), i) for i, v in enumerate(s.tolist()) if i != q)[:20]
+            assert [v for _, v in sorted(got[q])] == [i for _, i in want], (measure, q)
+
+
 def test_quotation_linking(spark):
     data = [
         (1, 1, "user", "Hello there\nI like  Cats", 0), (1, 2, "assistant", "> hello THERE\nHi!", 0), (1, 3, "user", "nope", 0),
