@@ -3,9 +3,10 @@
 A message's lines are parsed into quote levels (leading '>' marks, with blanks between them) and
 unquoted lines. Quoted passages (runs of lines of one level) are normalised (marks and outer
 blanks off, A-Z lower-cased, runs of white space to one blank) and hashed. The same hash of every
-message's own text and of each of its own lines is the index that passages are joined to: a passage
+message's own text, of each of its own lines, and of those runs of its lines that start like a passage of
+several lines and are as long (blank lines left out) is the index that passages are joined to: a passage
 is linked to an earlier message of its conversation (the latest such turn) or, failing that, to the
-first message of another one. A message replies to the message that its outermost linked quote
+first message of the first other one. A message replies to the message that its outermost linked quote
 names, else to the turn before it.
 
 Replies form a tree. Runs of messages that reply to the turn before make threads; a message that
@@ -15,12 +16,12 @@ Only threads carry paths, built by one join a level.
 
 Nothing needs all rows of a conversation in one task: places and threads come from windows over
 blocks of BLOCK turns and over one row a block, and the final order is a range sort. The index is
-pre-aggregated to one row a hash and conversation and one row a hash, so a passage that many
-messages share or quote joins one row of each.
+pre-aggregated to one row a hash and conversation and one row a hash (with the first two conversations, one of
+which is another than the quoting one), so a passage that many messages share or quote joins one row of each.
 
 Defined cases: null text is empty; a null turn sorts first and replies to nothing; a repeated
 (conv_id, turn) keeps both rows, ordered by role and text; a message of quotes alone has empty text;
-blank passages link to nothing; an empty table gives an empty result; extra columns are ignored.
+null conv_ids are one conversation, before all others; blank passages link to nothing; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -86,28 +87,62 @@ def parse(messages: DataFrame) -> DataFrame:
     )
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which a null conv_id equals a null one."""
+    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) if k == "conv_id" else F.col(k) == F.col(f"_{k}") for k in keys]
+    return left.join(right, same, how).drop(*(f"_{k}" for k in keys))
+
+
+def _lines(text: Column) -> Column:
+    """The normalised lines that are not blank."""
+    return F.filter(F.transform(F.split(text, "\n"), normal), lambda x: x != "")
+
+
+def _runs(parsed: DataFrame, quoted: DataFrame) -> DataFrame:
+    """conv_id, n, hash of the runs of own lines that start with the first line of a longer passage and are as long."""
+    # one row a first line, with the lengths of the passages that start with it
+    heads = quoted.filter(F.size("lines") > 1).groupBy(digest(F.col("lines")[0]).alias("head")).agg(
+        F.collect_set(F.size("lines")).alias("sizes")
+    )
+    own = parsed.select("conv_id", "n", _lines(F.col("own")).alias("lines")).filter(F.size("lines") > 1)
+    starts = own.select("conv_id", "n", F.posexplode("lines").alias("at", "line")).select("conv_id", "n", "at", digest(F.col("line")).alias("head"))
+    runs = starts.join(heads, "head").select("conv_id", "n", "at", F.explode("sizes").alias("size"))
+    # one row a message meets its lines again
+    places = runs.groupBy("conv_id", "n").agg(F.collect_set(F.struct("at", "size")).alias("places"))
+    fits = F.filter("places", lambda x: x["at"] + x["size"] <= F.size("lines"))
+    text = F.transform(fits, lambda x: digest(F.array_join(F.slice("lines", x["at"] + 1, x["size"]), " ")))
+    return _join(own, places, ["conv_id", "n"]).select("conv_id", "n", F.explode(F.array_distinct(text)).alias("hash"))
+
+
 def link(parsed: DataFrame) -> DataFrame:
     """conv_id, n, level, to_conv, to_n: the original of each quoted passage that has one."""
     whole = F.array(digest(normal(F.col("own"))))
     each = F.transform(F.split("own", "\n"), lambda x: digest(normal(x)))
-    originals = parsed.select("conv_id", "n", F.explode(F.array_distinct(F.concat(whole, each))).alias("hash")).filter(
-        "hash IS NOT NULL"
-    )
     quoted = parsed.select("conv_id", "n", F.posexplode("passages").alias("k", "p")).select(
-        "conv_id", "n", "k", F.col("p.level").alias("level"), digest(normal(F.col("p.body"))).alias("hash")
+        "conv_id", "n", "k", F.col("p.level").alias("level"), digest(normal(F.col("p.body"))).alias("hash"), _lines(F.col("p.body")).alias("lines")
     ).filter("hash IS NOT NULL")
+    originals = parsed.select("conv_id", "n", F.explode(F.array_distinct(F.concat(whole, each))).alias("hash")).filter(
+        "hash IS NOT NULL"
+    ).unionByName(_runs(parsed, quoted))
+    quoted = quoted.drop("lines")
     # only hashes that anyone quotes; one row a hash and conversation, then one row a hash
     wanted = quoted.select("hash").distinct()
     index = originals.join(wanted, "hash", "left_semi")
     here = index.groupBy("hash", "conv_id").agg(F.sort_array(F.collect_set("n")).alias("at"))
-    there = index.groupBy("hash").agg(F.min(F.struct("conv_id", "n")).alias("first"))
+    order = Window.partitionBy("hash").orderBy(F.col("conv_id").asc_nulls_first())
+    there = (
+        index.groupBy("hash", "conv_id").agg(F.min("n").alias("n"))
+        .withColumn("rank", F.row_number().over(order)).filter("rank <= 2")
+        .groupBy("hash").agg(F.sort_array(F.collect_list(F.struct("rank", "conv_id", "n"))).alias("firsts"))
+    )
     earlier = F.element_at(F.filter("at", lambda i: i < F.col("n")), -1)
     found = (
-        quoted.join(here, ["hash", "conv_id"], "left")
+        _join(quoted, here, ["hash", "conv_id"], "left")
         .join(there, "hash", "left")
         .withColumn("to_here", F.when(F.size(F.filter("at", lambda i: i < F.col("n"))) > 0, earlier))
     )
-    other = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first"))
+    other = F.get(F.filter("firsts", lambda x: ~x["conv_id"].eqNullSafe(F.col("conv_id"))), F.lit(0))
     return found.select(
         "conv_id",
         "n",
@@ -135,17 +170,17 @@ def _threads(joined: DataFrame, scratch: Scratch) -> DataFrame:
     opened = scratch.write(joined.filter("opens AND n > 1").select("conv_id", "n", "reply_to"))
     at = joined.select("conv_id", F.col("n").alias("reply_to"), F.col("thread").alias("parent"))
     step = F.struct((-F.col("reply_to")).alias("at"), F.col("n").alias("first"))
-    todo = scratch.write(opened.join(at, ["conv_id", "reply_to"]).select("conv_id", F.col("n").alias("thread"), "parent", step.alias("step")))
+    todo = scratch.write(_join(opened, at, ["conv_id", "reply_to"]).select("conv_id", F.col("n").alias("thread"), "parent", step.alias("step")))
     heads = todo.select("conv_id", F.col("thread").alias("parent"))
     # threads that leave a first thread have a path of one step; each round adds the next level
     level = scratch.write(
-        todo.join(heads, ["conv_id", "parent"], "left_anti").select("conv_id", "thread", F.array("step").alias("path"))
+        _join(todo, heads, ["conv_id", "parent"], "left_anti").select("conv_id", "thread", F.array("step").alias("path"))
     )
     done = level
     while not level.isEmpty():
         level = scratch.write(
-            todo.join(
-                level.select("conv_id", F.col("thread").alias("parent"), F.col("path").alias("up")), ["conv_id", "parent"]
+            _join(
+                todo, level.select("conv_id", F.col("thread").alias("parent"), F.col("path").alias("up")), ["conv_id", "parent"]
             ).select("conv_id", "thread", F.concat("up", F.array("step")).alias("path"))
         )
         done = done.unionByName(level)
@@ -167,11 +202,11 @@ def conversations(messages: DataFrame, scratch: Scratch) -> DataFrame:
         link(parsed)
         .groupBy("conv_id", "n")
         .agg(
-            F.min(F.when(F.col("to_conv") == F.col("conv_id"), F.struct("level", "k", "to_n")))["to_n"].alias("to"),
+            F.min(F.when(F.col("to_conv").eqNullSafe(F.col("conv_id")), F.struct("level", "k", "to_n")))["to_n"].alias("to"),
             F.count("*").alias("n_linked"),
         )
     )
-    joined = parsed.join(links, ["conv_id", "n"], "left").withColumn(
+    joined = _join(parsed, links, ["conv_id", "n"], "left").withColumn(
         "reply_to", F.coalesce("to", F.when(F.col("n") > 1, F.col("n") - 1)).cast("int")
     )
     joined = joined.withColumn("block", F.floor(F.col("n") / BLOCK)).withColumn(
@@ -182,7 +217,7 @@ def conversations(messages: DataFrame, scratch: Scratch) -> DataFrame:
     joined = scratch.write(
         _carry(joined, first, F.max).withColumn("thread", F.coalesce(F.max(first).over(here), "before")).drop("before")
     )
-    out = joined.join(_threads(joined, scratch), ["conv_id", "thread"], "left").withColumn(
+    out = _join(joined, _threads(joined, scratch), ["conv_id", "thread"], "left").withColumn(
         "path", F.coalesce("path", F.expr("CAST(array() AS array<struct<at:int,first:int>>)"))
     )
     return out.orderBy("conv_id", "path", "n").select(

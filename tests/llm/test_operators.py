@@ -227,6 +227,24 @@ def test_quotation_linking(spark):
     assert len(out) == len(data) and quotes.conversations(df.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_quotation_linking_of_runs_and_other_conversations(spark):
+    text = "First line\nsecond  line\n\nthird line\nfourth"
+    data = [
+        (1, 1, "user", text), (1, 2, "user", "between"), (1, 3, "user", "> second line\n> Third line\nyes"), (1, 4, "user", "> second line\n> fourth\nno"),
+        # the first occurrence is a later turn of the quoting conversation; another conversation holds it too
+        (2, 1, "user", "> later words\nquoted first"), (2, 2, "user", "later words"), (3, 1, "user", "later words"),
+        # a null conversation holds it, and another one
+        (None, 1, "user", "> shared words\nx"), (None, 2, "user", "shared words"), (4, 1, "user", "shared words"), (5, 1, "user", "> shared words\ny"),
+        (None, 3, "user", "between"), (None, 4, "user", "> shared words\nback"),
+    ]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.n): (r.reply_to, r.n_linked) for r in quotes.conversations(df, Scratch(spark, "t")).collect()}
+    assert len(out) == len(data)
+    assert out[1, 3] == (1, 1) and out[1, 4] == (3, 0)
+    assert out[2, 1] == (None, 1) and out[5, 1] == (None, 1)
+    assert out[None, 1] == (None, 1) and out[None, 4] == (2, 1)
+
+
 def test_kneser_ney_is_a_distribution_and_rejects_junk(spark, none):
     texts = [b"a b a c", b"a b b", b"c a b a", b"b a"]
     ids = kneser_ney.Ids([b"a", b"b", b"c"])
