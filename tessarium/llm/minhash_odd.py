@@ -20,8 +20,10 @@ sample estimate and four of the parity count below the threshold.
 
 Defined cases: null, empty and white-space texts have an empty set (n_shingles 0) and are linked
 with nothing; fewer words than a shingle's make one shingle of all; equal texts are linked; rows that
-share a doc_id are one node that links where any of its texts does; an empty table gives an empty
-result; extra columns are ignored by `near_duplicates`.
+share a doc_id are one node that links where any of its texts does; rows with a null doc_id are left out of
+`near_duplicates`, as in its SQL; an empty table gives an empty result; extra columns are ignored by
+`near_duplicates`. `deduplicate` covers every row: different texts of one doc_id are different documents, equal
+rows of an id and text (null ids too) count once, and documents without an id give way to those with one.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, Scratch, table, text_chunks
@@ -392,7 +394,7 @@ class _Search:
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row; linked where den * |A & B| >= num * |A | B|."""
+    """doc_id, n_shingles, component_id, kept of every row with a doc_id; linked where den * |A & B| >= num * |A | B|."""
     search = _Search(docs, scratch, num, den, width)
     label = search.run()
     classes = search.nodes.select("hi", "lo", "node")
@@ -441,6 +443,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, scratch: Scratch, width: int = SHINGLE) -> DataFrame:
-    """The documents without all but one of each group."""
-    groups = near_duplicates(docs, scratch, width=width).filter("kept").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group, with its columns.
+
+    A key of its own stands for each doc_id and text: the doc_id for the text with the smallest hash, a number
+    from 2**62 up, made of both, for its other texts and for null ids.
+    """
+    mark, id_ = F.xxhash64("text"), F.col("doc_id").cast("long")
+    # ids with several texts and keys of several rows are written, so that Spark knows how few they are
+    several = (
+        docs.filter("doc_id IS NOT NULL").select(id_.alias("_id"), mark.alias("mark")).groupBy("_id")
+        .agg(F.min("mark").alias("_first"), F.max("mark").alias("last")).filter("_first <> last").select("_id", "_first")
+    )
+    several = scratch.write(several)
+    stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", mark), F.lit(1 << 61))
+    own = F.col("doc_id").isNotNull() & (F.col("_first").isNull() | (F.col("_first") == mark))
+    keyed = docs.join(several, id_ == F.col("_id"), "left").withColumn("_key", F.when(own, id_).otherwise(stand_in)).drop("_id", "_first")
+    kept = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), scratch, width=width).filter("kept")
+    keyed = keyed.join(scratch.write(kept.select(F.col("doc_id").alias("_key")).distinct()), "_key", "left_semi")
+    repeated = scratch.write(keyed.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key"))
+    one = Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))
+    first = keyed.join(repeated, "_key", "left_semi").withColumn("_row", F.row_number().over(one)).filter("_row = 1")
+    return keyed.join(repeated, "_key", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

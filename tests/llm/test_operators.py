@@ -90,6 +90,20 @@ def test_deduplicate_takes_the_width_of_shingles(spark):
     assert kept == set(range(0, 80, 2)) | {i + 1 for i in apart} and only_four
 
 
+def test_deduplicate_keeps_null_ids_and_drops_repeated_rows(spark):
+    text = lambda k: " ".join(f"t{k}-{i}" for i in range(40))
+    rows = [
+        (None, text(0)), (None, text(1)), (None, text(1)), (1, text(2)), (None, text(2) + " more"),
+        (2, text(3)), (2, text(3)), (3, text(4)), (3, text(5)), (3, text(5) + " end"), (4, text(5) + " tail"), (5, ""), (6, None), (None, None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in minhash_odd.deduplicate(df, Scratch(spark, "t")).collect())
+    fixed = [(None, text(0)), (None, text(1)), (1, text(2)), (2, text(3)), (5, ""), (6, None), (None, None)]
+    assert all(got.pop(r) == 1 for r in fixed)
+    # of document 3 its two texts that differ stand once each
+    assert sum(got.values()) == 2 and sum(r[1] == text(4) for r in got) == 1
+
+
 def test_near_duplicates_in_large_groups(spark):
     """Many edited copies of one text: components are those of all pairs, though no bucket pairs all of its nodes."""
     rng = np.random.default_rng(4)
