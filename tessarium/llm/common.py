@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -19,13 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, a temporary one in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="tessarium-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
@@ -35,9 +38,12 @@ class Scratch:
     """Tables written under the shared folder to cut lineage; each is read back with its schema.
 
     Executors can be lost at any time: a written table has no lineage to recompute. drop()
-    deletes tables that no later step reads.
+    deletes tables that no later step reads. The settings of a write hold for the session while any is
+    running, whatever thread started it.
     """
 
+    _lock, _users, _before = threading.Lock(), 0, {}
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -49,29 +55,44 @@ class Scratch:
             "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         }
 
-    def write(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        before = {k: self.spark.conf.get(k, None) for k in self.settings}
-        try:
-            for k, v in self.settings.items():
-                self.spark.conf.set(k, v)
-            df.write.option("compression", "zstd").parquet(path)
-        finally:
-            for k, v in before.items():
+    def _hold(self) -> None:
+        with Scratch._lock:
+            if not Scratch._users:
+                Scratch._before = {k: self.spark.conf.get(k, None) for k in self.settings}
+                for k, v in self.settings.items():
+                    self.spark.conf.set(k, v)
+            Scratch._users += 1
+
+    def _release(self) -> None:
+        with Scratch._lock:
+            Scratch._users -= 1
+            for k, v in Scratch._before.items() if not Scratch._users else ():
                 if v is None:
                     self.spark.conf.unset(k)
                 else:
                     self.spark.conf.set(k, v)
+
+    def write(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """The written table; `by`: a column whose values get a folder each, so that some can be dropped."""
+        self.n += 1
+        path = f"{self.root}/{self.n}"
+        self._hold()
+        try:
+            writer = df.write.option("compression", "zstd")
+            (writer.partitionBy(by) if by else writer).parquet(path)
+        finally:
+            self._release()
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark._jvm
         for df in frames:
-            p = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            self.drop_path(df._scratch_path)
+
+    def drop_path(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def text_chunks(
