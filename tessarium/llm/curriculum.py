@@ -11,8 +11,10 @@ the rows of one bucket), so no task ever holds all rows of a source, however lar
 
 Defined cases: null text has size 0; a null source is a source of its own and comes last; a source
 without words has target 0 and takes nothing; an empty table gives an empty result; rows that repeat
-a doc_id count one by one; extra columns stay out of the plan (`plan`) or are kept (`apply_plan`).
-Ties in the hash order fall to doc_id, then size, then the text's hash.
+a doc_id count one by one; extra columns stay out of the plan (`plan`) or are kept (`mix`), whatever their names.
+The order inside a source is that of the hash of doc_id and text, so that rows that share an id, or have none,
+spread over the buckets too; ties fall to doc_id, size, and the hash of the row. Equal positions of different
+sources are ordered by source, doc_id and that hash, so reruns agree.
 """
 
 from __future__ import annotations
@@ -28,6 +30,12 @@ SHARE = 1.5
 REPEAT = 2
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; rows that agree in it are taken for the same row."""
+    plain = [F.col(f"`{c}`") for c in docs.columns]
+    return F.xxhash64(*(F.to_json(F.struct(c)) if "map" in t else c for c, (_, t) in zip(plain, docs.dtypes, strict=True)))
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, and the order key of every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -35,8 +43,8 @@ def sized(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"),
-        F.xxhash64(text).alias("x"),
+        F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))).alias("h"),
+        row_hash(docs).alias("x"),
     )
 
 
@@ -164,32 +172,36 @@ def plan(
 
 
 def mix(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
-    """The documents in training order: each row as often as it is taken, range-sorted by position."""
-    cols = docs.columns
-    p = plan(docs, scratch, **options).filter("copies > 0")
+    """The documents in training order: each row as often as it is taken, range-sorted by position.
+
+    Texts move once, to their plan rows. Only rows that repeat as a whole are numbered, to meet one plan row each.
+    """
     slopes = tuple(options.get("slopes", SLOPES))
     assert all(abs(s) < 1 for s in slopes)
-    # equal rows (doc_id, source and text) may meet several plan rows: number both sides alike
     ident = ["doc_id", "source", "x"]
-    order = Window.partitionBy(*ident).orderBy("first_position")
-    p = p.withColumn("r", F.row_number().over(order))
+    p = scratch.write(plan(docs, scratch, **options).filter("copies > 0").select(*ident, "copies", "first_position", "last_position"))
+    repeated = scratch.write(p.groupBy(*ident).agg(F.count("*").alias("m")).filter("m > 1").drop("m"))
     left = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("x"),
+        row_hash(docs).alias("x"),
     )
-    left = left.withColumn("r", F.row_number().over(Window.partitionBy(*ident).orderBy(F.lit(0))))
-    on = [left[c].eqNullSafe(p[c]) for c in ident] + [left["r"] == p["r"]]
-    joined = left.join(p, on).select(
-        "row",
-        F.explode(
-            F.when(
-                F.col("copies") > 1, F.array(F.col("first_position"), F.col("last_position"))
-            ).otherwise(F.array(F.col("first_position")))
-        ).alias("position"),
+
+    def among(rows: DataFrame, how: str) -> DataFrame:
+        return rows.join(repeated, [rows[c].eqNullSafe(repeated[c]) for c in ident], how)
+
+    def meet(a: DataFrame, b: DataFrame, *more: str) -> DataFrame:
+        on = [a[c].eqNullSafe(b[c]) for c in ident] + [a[c] == b[c] for c in more]
+        return a.join(b, on).select("row", *(a[c] for c in ident), "copies", "first_position", "last_position")
+
+    numbered = lambda rows, order: rows.withColumn("r", F.row_number().over(Window.partitionBy(*ident).orderBy(order)))
+    joined = meet(left, among(p, "left_anti")).unionByName(
+        meet(numbered(among(left, "left_semi"), F.lit(0)), numbered(among(p, "left_semi"), "first_position"), "r")
     )
-    return joined.orderBy("position").select("row.*")
+    once = F.array("first_position")
+    places = F.explode(F.when(F.col("copies") > 1, F.array("first_position", "last_position")).otherwise(once)).alias("position")
+    return joined.select("row", *ident, places).orderBy("position", "source", "doc_id", "x").select("row.*")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +215,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h
   FROM documents
 ), s0 AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
