@@ -3,21 +3,26 @@
 Each host is seeded with the shares of its pages that rules allow (trust) and block (distrust). Trust
 flows along host edges as personalised PageRank, t = (1 - a) v + a W't, and distrust against them,
 so that a host that links to blocked hosts is distrusted itself. Edges are the absolute links
-of the pages between different hosts, weighted by their number. A host is blocked where its
-distrust exceeds its trust and reaches the threshold.
+of the pages between different hosts (with a scheme or "//" alone), weighted by their number. Steps go on
+until no score moves by TOLERANCE; as each shrinks what still moves by the damping, log(TOLERANCE) / log(DAMPING)
+steps always suffice. A host is blocked where its distrust exceeds its trust and reaches the threshold. What
+flows into hosts without edges is not returned to the seeds: that would multiply all trust by one number and all
+distrust by another, while both are to be compared, and with the share of a host's own pages.
 
 Rules meet hosts through the hosts' suffixes, an equi-join on one row a host and suffix; pages join
-their host's few candidate rules. Every page stays in its partition but for the join by host,
-whose hot partitions Spark splits.
+their host's few candidate rules. Joins of pages by host are salted SALT ways, so that the pages of one host
+meet in no single task.
 
 Defined cases: a null url or one without "://" has empty host and path, fits no rule and belongs
 to the host '' (no links, so allow); null html has no links; of rules of equal length the
-smaller string wins; repeated rows are judged one by one; an empty table gives an empty result;
+smaller string wins; repeated rows and null page_ids are judged one by one; an empty table gives an empty result;
 extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +35,7 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-DAMPING, THRESHOLD, STEPS, TOLERANCE = 0.85, 0.5, 20, 1e-9
+DAMPING, THRESHOLD, TOLERANCE, SALT = 0.85, 0.5, 1e-9, 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,26 +69,26 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 def edges(pages: DataFrame) -> DataFrame:
     """src, dst, n: absolute links between different hosts."""
     links = F.regexp_extract_all(
-        F.coalesce("html", F.lit("")), F.lit(r"""(?i)href\s*=\s*["']?[a-z][a-z0-9+.-]*(://[^/?#"'\s>]+)"""), F.lit(1)
+        F.coalesce("html", F.lit("")), F.lit(r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""), F.lit(1)
     )
     return (
         pages.select(host(F.col("url")).alias("src"), F.explode(links).alias("link"))
-        .select("src", host(F.col("link")).alias("dst"))
+        .select("src", F.translate("link", _UPPER, _LOWER).alias("dst"))
         .filter("src <> '' AND dst <> '' AND src <> dst")
         .groupBy("src", "dst")
         .agg(F.count("*").alias("n"))
     )
 
 
-def propagate(
-    seeds: DataFrame, graph: DataFrame, scratch: Scratch, damping: float = DAMPING, steps: int = STEPS
-) -> DataFrame:
+def propagate(seeds: DataFrame, graph: DataFrame, scratch: Scratch, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """host, score: personalised PageRank from seeds (host, v) over edges (src, dst, n), written after each step."""
     out = graph.groupBy("src").agg(F.sum("n").alias("total"))
     weights = scratch.write(graph.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("w")))
     base = seeds.select("host", (F.col("v") * (1 - damping)).alias("v"))
     now = scratch.write(base.select("host", F.col("v").alias("score")))
-    for _ in range(steps if not weights.isEmpty() else 0):
+    if weights.isEmpty():
+        return now
+    for _ in range(math.ceil(math.log(tolerance) / math.log(damping))):
         flow = (
             now.select(F.col("host").alias("src"), "score")
             .join(weights, "src")
@@ -91,18 +96,14 @@ def propagate(
             .agg((F.sum(F.col("score") * F.col("w")) * damping).alias("v"))
         )
         then = scratch.write(base.unionByName(flow).groupBy("host").agg(F.sum("v").alias("score")))
-        gap = (
-            then.select("host", "score")
-            .unionByName(now.select("host", (-F.col("score")).alias("score")))
-            .groupBy("host")
-            .agg(F.abs(F.sum("score")).alias("d"))
-            .agg(F.max("d"))
-            .first()[0]
-        )
+        gap = then.alias("a").join(now.alias("b"), "host", "left").agg(
+            F.max(F.abs(F.col("a.score") - F.coalesce("b.score", F.lit(0.0))))
+        ).first()[0]
         scratch.drop(now)
         now = then
-        if gap is None or gap < TOLERANCE:
+        if gap is None or gap < tolerance:
             break
+    scratch.drop(weights)
     return now
 
 
@@ -113,33 +114,40 @@ def judge(
     damping: float = DAMPING,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict and the host's trust and distrust."""
+    """page_id, host, path, rule and verdict of every page."""
+    address, page_path = host(F.col("url")), path(F.col("url"))
+    salt = F.pmod(F.xxhash64(page_path, F.col("page_id")), F.lit(SALT))
     parsed = scratch.write(
-        pages.select(F.col("page_id").cast("long").alias("page_id"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+        pages.select(F.col("page_id").cast("long").alias("page_id"), address.alias("host"), page_path.alias("path"), salt.alias("salt"))
     )
+    salted = lambda rows: rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<long>")))
     candidates = host_rules(parsed.select("host").distinct(), rules)
     fit = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["prefix"])), F.lit(0))
-    ruled = parsed.join(candidates, "host", "left").select("page_id", "host", "path", fit.alias("fit"))
-    share = lambda verdict: F.avg((F.coalesce(F.col("fit.verdict"), F.lit("")) == verdict).cast("double"))
-    # one row a host, with the shares of its pages that rules allow and block
-    seeds = scratch.write(ruled.groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block")))
+    ruled = parsed.join(salted(candidates), ["host", "salt"], "left").select("page_id", "host", "salt", "path", fit.alias("fit"))
+    share = lambda verdict: F.sum((F.coalesce(F.col("fit.verdict"), F.lit("")) == verdict).cast("long"))
+    # one row a host and salt, then one a host, with the shares of its pages that rules allow and block
+    part = ruled.groupBy("host", "salt").agg(share("allow").alias("allow"), share("block").alias("block"), F.count("*").alias("n"))
+    seeds = scratch.write(
+        part.groupBy("host").agg((F.sum("allow") / F.sum("n")).alias("allow"), (F.sum("block") / F.sum("n")).alias("block"))
+    )
     graph = scratch.write(edges(pages))
     trust = propagate(seeds.select("host", F.col("allow").alias("v")), graph, scratch, damping)
     back = graph.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     distrust = propagate(seeds.select("host", F.col("block").alias("v")), back, scratch, damping)
+    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold * (1 - damping) * (1 - 1e-6))
     hosts = (
         seeds.select("host")
         .join(trust.withColumnRenamed("score", "trust"), "host", "left")
         .join(distrust.withColumnRenamed("score", "distrust"), "host", "left")
         .fillna(0.0, ["trust", "distrust"])
+        .select("host", "trust", "distrust", bad.alias("bad"))
     )
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold * (1 - damping) * (1 - TOLERANCE))
-    return ruled.join(hosts, "host", "left").select(
+    return ruled.join(salted(hosts), ["host", "salt"], "left").select(
         "page_id",
         "host",
         "path",
         F.col("fit.rule").alias("rule"),
-        F.coalesce(F.col("fit.verdict"), F.when(bad, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce(F.col("fit.verdict"), F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"),
     )
 
 
@@ -169,7 +177,7 @@ WITH RECURSIVE p AS (
          avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) AS b
   FROM r GROUP BY host
 ), l AS (
-  SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?i)href\s*=\s*["'']?[a-z][a-z0-9+.-]*://([^/?#"''\s>]+)', 1)) AS link
+  SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?i)href\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)', 1)) AS link
   FROM p
 ), e AS (
   SELECT src, translate(link, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst, count(*) AS n
@@ -180,19 +188,19 @@ WITH RECURSIVE p AS (
   SELECT 'd', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM e
 ), v AS (
   SELECT 't' AS kind, host, 0.15 * a AS v FROM seeds UNION ALL SELECT 'd', host, 0.15 * b FROM seeds
-), it AS (
+), it AS (  -- 128 steps leave 0.85^128 < 1e-9 of the mass to move
   SELECT 0 AS i, kind, host, v AS score FROM v
   UNION ALL
   SELECT i + 1, kind, host, sum(x) FROM (
-    SELECT it.i, it.kind, g.dst AS host, 0.85 * it.score * g.w AS x FROM it JOIN g ON it.kind = g.kind AND it.host = g.src WHERE it.i < 20
+    SELECT it.i, it.kind, g.dst AS host, 0.85 * it.score * g.w AS x FROM it JOIN g ON it.kind = g.kind AND it.host = g.src WHERE it.i < 128
     UNION ALL
-    SELECT m.i, v.kind, v.host, v.v FROM v, (SELECT max(i) AS i FROM it WHERE i < 20) m WHERE m.i IS NOT NULL
+    SELECT m.i, v.kind, v.host, v.v FROM v, (SELECT max(i) AS i FROM it WHERE i < 128) m WHERE m.i IS NOT NULL
   ) GROUP BY i, kind, host
 ), f AS (
   SELECT host, max(score) FILTER (kind = 't') AS trust, max(score) FILTER (kind = 'd') AS distrust
   FROM it WHERE i = (SELECT max(i) FROM it) GROUP BY host
 )
 SELECT r.page_id, r.host, r.path, r.rule,
-       coalesce(r.verdict, CASE WHEN f.distrust > f.trust AND f.distrust >= 0.5 * 0.15 * (1 - 1e-9) THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(r.verdict, CASE WHEN f.distrust > f.trust AND f.distrust >= 0.5 * 0.15 * (1 - 1e-6) THEN 'block' ELSE 'allow' END) AS verdict
 FROM r LEFT JOIN f USING (host)
 """
