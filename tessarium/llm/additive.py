@@ -1,20 +1,21 @@
 """Approximate nearest neighbours by additive quantisation.
 
-A vector is coded as a sum of M codewords, one of each full-dimensional codebook. The codebooks are
+A vector's direction (the vector over its norm, so that no outlier spoils the others' precision) is coded as a
+sum of M codewords, one of each full-dimensional codebook; its norm is stored. The codebooks are
 fitted on a bounded sample: residual k-means first, then rounds of beam-search encoding and a joint
 least-squares fit. Every row is encoded by beam search (the `beam` best partial sums survive each
 codebook; norms of partial sums make the comparison a table lookup). Equal vectors are indexed once, with
 their k + 1 smallest ids, which is all that any query can need of them. The index keeps, per shard,
-codes, the norm of each decoded vector, its distance from the original (the code error), and the original
-vectors. A query scores a shard by its lookup tables (and, for Euclidean nearness, the stored norms), and
-the `rerank` best of each shard are scored again exactly in double precision on the original vectors. The
+codes, the norm of each vector, the distance of its decoded direction from the true one (the code error), and the
+original vectors. A query scores a shard by its lookup tables and the stored norms, and the `rerank` best of each shard are scored again exactly in double precision on the original vectors. The
 k-th of these is the cut: every other vector that the code error may lift to it is scored exactly
 too, so codes only rule out what cannot be among the k, and no answer is lost to them.
 
-The sample bound is SAMPLE vectors (those with the smallest hashes); everything else covers all rows.
+The sample bound is SAMPLE vectors of a length (those with the smallest hashes); everything else covers all rows.
 
 Defined cases: see vectors.clean; fewer than k candidates give all; ties go to the smaller
-vec_id; an empty table gives an empty result; extra columns are ignored.
+vec_id; an empty table gives an empty result; extra columns are ignored; products and distances that leave the
+range of doubles are infinite, as double precision has it, and tie.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
-from .vectors import clean, meet, packed, ranked, searched, unpack
+from .vectors import by_length, clean, meet, packed, ranked, searched, unpack
 
 K, EVERY = 20, 20
 BOOKS, WORDS, BEAM, ROUNDS, SAMPLE, SEED = 12, 128, 4, 1, 6000, 5
@@ -146,19 +147,28 @@ def _shards(rows: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector over its norm, and the norms; the largest component goes first, so that squares stay in range."""
+    most = np.abs(x).max(axis=1, keepdims=True)
+    y = x / most
+    n = np.sqrt(np.einsum("ij,ij->i", y, y))
+    with np.errstate(over="ignore"):
+        return y / n[:, None], n * most[:, 0]
+
+
 def _index(books: Codebooks):
     def build(batches):
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 _, x = unpack(row.ids, row.vectors, row.dim)
-                codes = books.encode(x)
-                decoded = books.decode(codes)
-                error = np.sqrt(np.square(x - decoded).sum(axis=1))
+                unit, norms = directions(x)
+                codes = books.encode(unit)
+                error = np.sqrt(np.square(unit - books.decode(codes)).sum(axis=1))
                 yield pd.DataFrame(
                     {
                         **{c: [getattr(row, c)] for c in ("shard", "ids", "vectors", "dim", "members", "counts")},
                         "codes": [codes.tobytes()],
-                        "norms": [np.einsum("ij,ij->i", decoded, decoded).tobytes()],
+                        "norms": [norms.tobytes()],
                         "errors": [error.tobytes()],
                     }
                 )
@@ -167,11 +177,14 @@ def _index(books: Codebooks):
 
 
 def _exact(x: np.ndarray, q: np.ndarray, at: np.ndarray, measure: str) -> np.ndarray:
-    if measure == "ip":
-        # most of a shard costs less read in place than gathered
-        return (x @ q)[at] if 4 * len(at) > len(x) else x[at] @ q
-    gap = x[at] - q
-    return -np.einsum("ij,ij->i", gap, gap)
+    with np.errstate(over="ignore", invalid="ignore"):
+        if measure == "ip":
+            # most of a shard costs less read in place than gathered
+            s = (x @ q)[at] if 4 * len(at) > len(x) else x[at] @ q
+        else:
+            gap = x[at] - q
+            s = -np.einsum("ij,ij->i", gap, gap)
+    return np.where(np.isnan(s), -np.inf, s)
 
 
 def nearest(
@@ -186,12 +199,17 @@ def nearest(
     """The k nearest found of each row whose id is divisible by `every`; measure ip or l2 (score: -distance^2)."""
     assert measure in ("ip", "l2")
     base = scratch.write(clean(rows, nonzero=True))
+    return ranked(by_length(base, lambda own: _nearest(own, scratch, k, every, measure, shard_rows, rerank)), k)
+
+
+def _nearest(base: DataFrame, scratch: Scratch, k: int, every: int, measure: str, shard_rows: int, rerank: int) -> DataFrame:
+    """query_id, vec_id, score of the k best of each shard, of vectors of one length."""
     own = scratch.write(distinct(base, k))
     n, n_rows = own.count(), base.count()
     sample = own.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     if not sample:
-        return scratch.spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    books = fit(np.array([r.v for r in sample]))
+        return scratch.spark.createDataFrame([], "query_id long, vec_id long, score double")
+    books = fit(directions(np.array([r.v for r in sample]))[0])
     shards, blocks = -(-n // shard_rows), -(-n_rows // (every * BLOCK_ROWS))
     index = scratch.write(
         _shards(own, shards).mapInPandas(_index(books), DISTINCT + ", codes binary, norms binary, errors binary")
@@ -204,17 +222,21 @@ def nearest(
         codes = np.frombuffer(row.codes, np.uint8).reshape(len(ids), -1)
         members, counts = np.frombuffer(row.members, "<i8"), np.frombuffer(row.counts, "<i4").astype(np.int64)
         start = np.cumsum(counts) - counts
-        errors, norms = np.frombuffer(row.errors, "<f8"), np.frombuffer(row.norms, np.float32)
-        rough = books.lookup(q, codes)
-        length = np.sqrt(np.einsum("ij,ij->i", q, q))
-        # of single precision in tables and norms
-        slack = 1e-4 * (1 + length * (np.sqrt(norms.max(initial=0)) + errors.max(initial=0) + length))
-        if measure == "ip":
-            most = rough + length[:, None] * errors + slack[:, None]
-        else:
-            rough = 2 * rough - norms
-            apart = np.sqrt(np.maximum(length[:, None] ** 2 - rough - slack[:, None], 0))
-            most = -np.square(np.maximum(apart - errors, 0)) + slack[:, None]
+        errors, norms = np.frombuffer(row.errors, "<f8"), np.frombuffer(row.norms, "<f8")
+        unit, length = directions(q)
+        # cosines, with what single precision of the tables may take from them
+        cosine = books.lookup(unit, codes).astype(float)
+        upper = np.minimum(cosine + errors + 1e-4, 1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            if measure == "ip":
+                rough, most = cosine * norms, upper * norms * length[:, None]
+            else:
+                # -|q - x|^2 = -(|q| - |x|)^2 - 2 |q| |x| (1 - cos)
+                apart = np.square(length[:, None] - norms)
+                twice = 2 * length[:, None] * norms
+                rough, most = -apart - twice * (1 - cosine), -apart - twice * (1 - upper)
+                rough, most = np.nan_to_num(rough, nan=-np.inf), np.nan_to_num(most, nan=np.inf)
+        most = most + 1e-9 * np.abs(most)
         # one more than k, since the query's own vector may have no other member
         depth = min(max(rerank, k + 1), len(ids))
         best = np.argpartition(-rough, depth - 1, axis=1)[:, :depth]
@@ -240,7 +262,7 @@ def nearest(
         a, b, c = (np.concatenate(z) for z in zip(*out, strict=True))
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
 
-    return ranked(searched(meet(index, queries, shards), search, "double"), k)
+    return searched(meet(index, queries, shards), search, "double")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

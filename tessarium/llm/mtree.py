@@ -9,27 +9,36 @@ bounds. |d(q, parent) - d(node, parent)| - radius rules out nodes, and the same
 leaf members, before any distance to them is computed.
 
 All component values are integers (floor(256 x)), so scores are exact; bounds carry a slack far
-above the rounding of square roots.
+above the rounding of square roots. The trees are built once, one a shard, and written; searches read them.
+
+Vectors with a component of 2**20 or more after scaling could leave the range in which doubles hold the sums of
+their products: a shard keeps these aside of its tree and compares them as whole numbers of any size, as it
+does for queries of that kind.
 
 Defined cases: see vectors.clean; fewer than k candidates give all; ties go to the smaller
-vec_id; an empty table gives an empty result; extra columns are ignored.
+vec_id; an empty table gives an empty result; extra columns are ignored; a score beyond the range of long is
+ranked by its true value and given as the nearest long.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+import pickle
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
-from .vectors import clean, meet, packed, ranked, searched, unpack
+from .vectors import by_length, clean, meet, packed, unpack
 
 K, EVERY = 5, 50
 SHARD_ROWS, BLOCK_ROWS, PAGE, FANOUT_SPLITS = 16384, 512, 256, 3
 SLACK = 1e-6
+#: Components below it have products whose sums doubles hold exactly, for up to 2**12 components.
+HUGE, DIMENSIONS = 1 << 20, 1 << 12
 
 
 class MTree:
@@ -139,30 +148,93 @@ class MTree:
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
-def integers(rows: DataFrame) -> DataFrame:
-    """floor(256 x) of every component, as double."""
-    return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * 256.0).cast("double")))
+def scaled(x: float) -> int:
+    """floor(256 x), exact for every finite double."""
+    return math.floor(x) * 256 + math.floor((x - math.floor(x)) * 256)
+
+
+class Shard:
+    """An M-tree of the usual vectors, and the huge ones as Python integers."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        huge = self.huge(x)
+        self.tree = MTree(ids[~huge], np.floor(x[~huge] * 256))
+        self.rest = [(int(i), [scaled(v) for v in row]) for i, row in zip(ids[huge], x[huge].tolist(), strict=True)]
+
+    @staticmethod
+    def huge(x: np.ndarray) -> np.ndarray:
+        return (np.abs(x) >= HUGE / 256).any(axis=1) | (x.shape[1] > DIMENSIONS)
+
+    def search(self, query_id: int, x: np.ndarray, k: int) -> list[tuple[int, int]]:
+        if not self.huge(x[None])[0]:
+            found = self.tree.search(query_id, np.floor(x * 256), k)
+            others = self.rest
+        else:
+            found = []
+            usual = self.tree.x.astype(np.int64).tolist() if len(self.tree.ids) else []
+            others = [*zip(self.tree.ids.tolist(), usual, strict=True), *self.rest]
+        if others:
+            q = [scaled(v) for v in x.tolist()]
+            found = found + [(sum(a * b for a, b in zip(q, v, strict=True)), i) for i, v in others if i != query_id]
+        return heapq.nsmallest(k, found, key=lambda z: (-z[0], z[1]))
+
+
+def _build(batches):
+    for pdf in batches:
+        for row in pdf.itertuples(index=False):
+            made = Shard(*unpack(row.ids, row.vectors, row.dim))
+            yield pd.DataFrame({"shard": [row.shard], "dim": [row.dim], "tree": [pickle.dumps(made, protocol=5)]})
+
+
+FOUND = "query_id long, vec_id long, score long, size string"
+
+
+def _size(score: int) -> str:
+    """Orders scores that are the same as longs: by sign, number of digits, and digits (of negative ones their complements)."""
+    if -(1 << 63) <= score < 1 << 63:
+        return "1"
+    digits = str(abs(score))
+    text = f"{len(digits):04d}{digits}"
+    return "2" + text if score > 0 else "0" + text.translate(str.maketrans("0123456789", "9876543210"))
 
 
 def top_k(rows: DataFrame, scratch: Scratch, k: int = K, every: int = EVERY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The k highest integer inner products of each row whose id is divisible by `every`, against all rows."""
-    base = scratch.write(integers(clean(rows, nonzero=False)))
-    n = base.count()
-    shards, blocks = -(-n // shard_rows) or 1, -(-n // (every * BLOCK_ROWS)) or 1
-    index = packed(base, shards)
-    queries = packed(base.filter(F.col("vec_id") % every == 0), blocks)
-    held: dict[int, MTree] = {}
-
-    def search(row) -> pd.DataFrame:
-        if row.shard not in held:
-            held.clear()
-            held[row.shard] = MTree(*unpack(row.ids, row.vectors, row.dim))
-        tree = held[row.shard]
-        q_ids, q = unpack(row.q_ids, row.q_vectors, row.dim)
-        found = [(int(i), v, s) for i, x in zip(q_ids, q, strict=True) for s, v in tree.search(int(i), x, k)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    return ranked(searched(meet(index, queries, shards), search, "long"), k)
+    """The k highest integer inner products of each row whose id is divisible by `every`, against all rows of its length."""
+    base = scratch.write(clean(rows, nonzero=False))
+    held: dict[int, Shard] = {}
+
+    def search(batches):
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                if row.shard not in held:
+                    held.clear()
+                    held[row.shard] = pickle.loads(row.tree)
+                q_ids, q = unpack(row.q_ids, row.q_vectors, row.dim)
+                found = [(int(i), v, s) for i, x in zip(q_ids, q, strict=True) for s, v in held[row.shard].search(int(i), x, k)]
+                limit = [min(max(s, -(1 << 63)), (1 << 63) - 1) for _, _, s in found]
+                yield pd.DataFrame(
+                    {
+                        "query_id": np.array([f[0] for f in found], np.int64),
+                        "vec_id": np.array([f[1] for f in found], np.int64),
+                        "score": np.array(limit, np.int64),
+                        "size": [_size(f[2]) for f in found],
+                    }
+                )
+
+    def one_length(own: DataFrame) -> DataFrame:
+        n = own.count()
+        shards, blocks = -(-n // shard_rows) or 1, -(-n // (every * BLOCK_ROWS)) or 1
+        trees = scratch.write(packed(own, shards).mapInPandas(_build, "shard int, dim int, tree binary"))
+        queries = packed(own.filter(F.col("vec_id") % every == 0), blocks)
+        return meet(trees, queries, shards).mapInPandas(search, FOUND)
+
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("size"), "vec_id")
+    return (
+        by_length(base, one_length)
+        .withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= k)
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    )
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ one small task, so neither side is ever held whole anywhere.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,13 @@ def clean(rows: DataFrame, nonzero: bool) -> DataFrame:
     )
 
 
+def by_length(base: DataFrame, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """search() over the vectors (v) of each length by themselves: those of different lengths have no inner product."""
+    lengths = sorted(r.n for r in base.select(F.size("v").alias("n")).distinct().collect())
+    found = [search(base.filter(F.size("v") == n) if len(lengths) > 1 else base) for n in lengths or [0]]
+    return reduce(DataFrame.unionByName, found)
+
+
 def packed(rows: DataFrame, shards: int, kind: str = "f8") -> DataFrame:
     """One row a shard with its ids and vectors, in the order of ids."""
 
