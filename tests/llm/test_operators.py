@@ -259,20 +259,7 @@ def test_quotation_linking_of_runs_and_other_conversations(spark):
     assert out[None, 1] == (None, 1) and out[None, 4] == (2, 1)
 
 
-def test_kneser_ney_is_a_distribution_and_rejects_junk(spark, none):
-    texts = [b"a b a c", b"a b b", b"c a b a", b"b a"]
-    ids = kneser_ney.Ids([b"a", b"b", b"c"])
-    grams = Counter()
-    for t in texts:
-        x = ids.of(t.decode())
-        grams.update(zip(x[:-2].tolist(), x[1:-1].tolist(), x[2:].tolist(), strict=True))
-    keys = np.array([(u << 40) | (v << 20) | w for u, v, w in grams])
-    model = kneser_ney.Model(keys, np.array(list(grams.values())), 6, shards=2)
-    for u in range(6):
-        for v in range(6):
-            probe = np.concatenate([[u, v, w] for w in range(6)])
-            p = 10 ** model.logs(probe, np.arange(2, 18, 3))
-            assert abs(p.sum() - 1) < 1e-9 and (p > 0).all()
+def test_kneser_ney_rejects_junk(spark, none):
     good = [(i, t, "s", "en", 0, 0) for i, t in enumerate(("the cat sat on the mat " * 6 + f"w{i}") for i in range(120))]
     bad = [(1000 + i, "XX!! QQZ## $$%% " * 20, "s", "en", 0, 0) for i in range(5)]
     odd = [(2000, None, None, None, 0, 0), (2001, "", None, "xx", 0, 0), (2002, "the cat sat on the mat", None, None, 0, 0)]
@@ -437,7 +424,7 @@ def test_link_graph(spark):
     assert linkgraph.judge(df.limit(0), Scratch(spark, "t"), linkgraph.rule_table(spark)).count() == 0
     seeds = spark.createDataFrame([("a", 1.0), ("b", 0.0), ("c", 0.0)], "host string, v double")
     graph = spark.createDataFrame([("a", "b", 1), ("b", "c", 3), ("b", "a", 1)], "src string, dst string, n long")
-    got = {r.host: r.score for r in linkgraph.propagate(seeds, graph, Scratch(spark, "t"), steps=60).collect()}
+    got = {r.host: r.score for r in linkgraph.propagate(seeds, graph, Scratch(spark, "t"), tolerance=1e-4).collect()}
     m = np.array([[0, 1, 0], [0.25, 0, 0.75], [0, 0, 0]])
     want = np.linalg.solve(np.eye(3) - 0.85 * m.T, 0.15 * np.array([1.0, 0, 0]))
     assert np.allclose([got["a"], got["b"], got["c"]], want, atol=1e-4)
