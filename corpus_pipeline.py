@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates."""
-    return minhash_odd.deduplicate(docs, Scratch(spark, "near"))
+    """Keeps one document of each group of near duplicates: shingles of five words, a similarity of 0.8 or more."""
+    return minhash_odd.deduplicate(docs, Scratch(spark, "near"), width=5)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
