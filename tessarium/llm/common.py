@@ -51,8 +51,9 @@ class Scratch:
         self.settings = {
             # shuffle files of a written step have no further use, so Spark removes them with the query
             "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-            # whole texts and sets travel in these batches: fewer rows bound the workers' memory
+            # whole texts and sets travel in these batches: bytes bound the workers' memory, whatever a row holds
             "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
         }
 
     def _hold(self) -> None:
