@@ -7,9 +7,12 @@ has probability (c + 1) / (C + V + 1) within the class, with C tokens and V word
 one more place for unseen words. So P(text) is a proper sum over state paths, and the scaled forward
 recursion gives it exactly for the whole text.
 
-Baum-Welch starts from a model fitted to a bounded sample and then runs ROUNDS times over all
-training tokens: each partition adds up its expected counts (for segments of SEGMENT tokens), Spark
-sums them over the partitions, and the driver normalises one table of STATES x symbols.
+Baum-Welch starts from a model fitted to a bounded sample (whole texts with the smallest hashes) and then runs over
+all training tokens until the likelihood gains less than SETTLED of itself, ROUNDS times at most. Each partition
+adds up its expected counts, one row a symbol; Spark sums them by symbol, with no task that reads more than its
+share of the symbols; the driver normalises one table of STATES x symbols. Texts are never cut: one of several
+PIECEs is the product of its pieces' transfer matrices, from which forward vectors enter each piece and backward
+vectors leave it, so that pieces run side by side, counts are exact, and memory is bounded for any length.
 
 Counts of the KNOWN most frequent words travel to the workers (a bounded table); the rarer words of
 each document are joined to the full count table in Spark and added to its scores.
@@ -17,7 +20,8 @@ each document are joined to the full count table in Spark and added to its score
 Defined cases: null text is empty (one end token); a null doc_id counts as the empty text for the
 hash; rows that repeat are scored one by one; without training rows every count is 0 (N = V = 0)
 and score is the uniform start model's; an empty table gives an empty result; extra columns are
-ignored. Ties in frequency go to the smaller hash.
+ignored. Ties in frequency go to the smaller hash. The sums are in double precision, so that scores do not depend on
+how rows are dealt to partitions but for its rounding.
 """
 
 from __future__ import annotations
@@ -33,17 +37,20 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, Scratch, table, text_chunks
 
-STATES, ROUNDS, SEGMENT = 12, 3, 256
+STATES, ROUNDS, SETTLED, PIECE = 12, 5, 2e-3, 1024
 EMITTED, CLASSES, KNOWN = 32_768, 1024, 1_000_000
-SEED_TOKENS, SEED_ROUNDS, SEED = 150_000, 40, 3
+#: The start model's sample: at most so many texts, of at most so many tokens each, and so many tokens in all.
+SEED_TEXTS, SEED_LONGEST, SEED_TOKENS, SEED_ROUNDS, SEED = 2000, 20_000, 150_000, 40, 3
+#: Tokens whose texts, and tokens whose pieces, a task holds at a time.
+HELD, STEP = 1_000_000, 300_000
 END_WORD = b"\n"  # no word holds white space
 _END = np.uint64(xxhash.xxh64_intdigest(END_WORD))
 _MARKS = b".,;:!?|\"'()[]-"
 
 
-def word_class(word: bytes) -> int:
+def word_class(word: bytes, classes: int) -> int:
     core = word.rstrip(_MARKS)
-    return xxhash.xxh32_intdigest(core[-3:] + b"\x00" + word[len(core) : len(core) + 1]) % CLASSES
+    return xxhash.xxh32_intdigest(core[-3:] + b"\x00" + word[len(core) : len(core) + 1]) % classes
 
 
 class Chunk:
@@ -64,7 +71,7 @@ class Chunk:
         self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.RecordBatch]:
     """(h, cls, n) of the words of a partition, pre-aggregated as far as memory allows."""
     total: dict[int, list] = {}
 
@@ -81,7 +88,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if h in total:
                 total[h][1] += k
             else:
-                total[h] = [word_class(w), k]
+                total[h] = [word_class(w, classes), k]
         if len(total) > 250_000:
             yield flush()
     if total:
@@ -95,8 +102,9 @@ class Lexicon:
         order = np.argsort(h)
         self.h, cls, self.n = h[order], cls[order], n[order]
         self.N, self.V = int(class_n.sum()), int(class_v.sum())
-        own = np.lexsort((self.h, -self.n))[:EMITTED]
-        self.symbol = (1 + EMITTED + cls).astype(np.int32)
+        self.emitted, self.classes = EMITTED, len(class_n)
+        own = np.lexsort((self.h, -self.n))[: self.emitted]
+        self.symbol = (1 + self.emitted + cls).astype(np.int32)
         self.symbol[own] = 1 + np.arange(len(own), dtype=np.int32)
         # the end token is symbol 0, whatever its rank
         c, v = class_n.astype(float), class_v.astype(float)
@@ -109,8 +117,6 @@ class Lexicon:
             if at not in own:
                 self.class_total[cls[at]] -= self.end_n + 1
 
-    symbols = 1 + EMITTED + CLASSES
-
     def look_up(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each distinct word: symbol, count (0 if not known here), whether it is known here."""
         if len(self.h):
@@ -122,7 +128,7 @@ class Lexicon:
             hit = np.zeros(len(chunk.words), bool)
             symbol, n = np.zeros(len(hit), np.int32), np.zeros(len(hit), np.int64)
         for i in np.flatnonzero(~hit).tolist():
-            symbol[i] = 0 if i == 0 else 1 + EMITTED + word_class(chunk.words[i])
+            symbol[i] = 0 if i == 0 else 1 + self.emitted + word_class(chunk.words[i], self.classes)
         hit = hit.copy()
         hit[0] = True
         return symbol, n, hit
@@ -139,8 +145,8 @@ def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]
         chunk = Chunk(batch.column("text").to_pylist())
         symbol, n, hit = lex.look_up(chunk)
         base = np.where(hit, np.log10(n + 1.0) - log_all, -log_all)
-        classed = symbol > EMITTED
-        total = np.log10(lex.class_total[np.where(classed, symbol - 1 - EMITTED, 0)])
+        classed = symbol > lex.emitted
+        total = np.log10(lex.class_total[np.where(classed, symbol - 1 - lex.emitted, 0)])
         inner = np.where(classed, np.where(hit, np.log10(n + 1.0), 0.0) - total, 0.0)
         start = np.cumsum(chunk.n) - chunk.n
         sums = lambda x: np.add.reduceat(x[chunk.flat], start)
@@ -177,6 +183,7 @@ ENCODED = (
 class Hmm:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit  # emit: symbols x states
+        self.piece, self.step = PIECE, STEP
 
     def forward(self, seqs: list[np.ndarray]) -> np.ndarray:
         """log10 P of each symbol sequence by the scaled forward recursion, longest sequences first inside."""
@@ -200,48 +207,101 @@ class Hmm:
         out[order] = logs
         return out
 
-    def expect(self, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts of starts, moves and emissions (Baum-Welch) over sequences of similar lengths."""
+    def _transfer(self, flat: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Of each piece (longest first) the matrix from the states before its first token to those at its end, scaled."""
+        s = len(self.start)
+        x = np.broadcast_to(np.eye(s), (len(n), s, s)).copy()
+        alive = np.searchsorted(-n, -np.arange(n[0]), side="left")
+        for t in range(int(n[0])):
+            k = int(alive[t])
+            y = x[:k] if t == 0 else (x[:k].reshape(-1, s) @ self.move).reshape(k, s, s)
+            y = y * self.emit[flat[first[:k] + t]][:, None, :]
+            if t % 8 == 7:
+                y /= y.sum(axis=(1, 2), keepdims=True)
+            x[:k] = y
+        return x / x.sum(axis=(1, 2), keepdims=True)
+
+    def _borders(self, flat: np.ndarray, first: np.ndarray, n: np.ndarray, of: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The forward vector before each piece (that at the end of the piece before) and the backward one at its end."""
+        s = len(self.start)
+        before, after = np.zeros((len(n), s)), np.ones((len(n), s))
+        many = np.flatnonzero((nth > 0) | np.r_[nth[1:] > 0, False])
+        if not len(many):
+            return before, after
+        order = many[np.argsort(-n[many], kind="stable")]
+        matrix = np.empty((len(n), s, s)) if len(many) == len(n) else {}
+        for at in range(0, len(order), 1024):
+            some = order[at : at + 1024]
+            for i, m in zip(some.tolist(), self._transfer(flat, first[some], n[some]), strict=True):
+                matrix[i] = m
+        last = 0
+        for k in range(int(nth.max()) + 1):
+            for i in np.flatnonzero(nth == k).tolist() if k else ():
+                enter = self.start if k == 1 else before[i - 1] @ self.move
+                x = enter @ matrix[i - 1]
+                before[i] = x / x.sum()
+            last = k
+        for k in range(last, 0, -1):
+            for i in np.flatnonzero(nth == k).tolist():
+                x = self.move @ (matrix[i] @ after[i])
+                after[i - 1] = x / x.sum()
+        return before, after
+
+    def expect(self, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Expected counts of starts, moves and emissions of whole sequences (Baum-Welch), and their log10 P."""
         s = len(self.start)
-        starts, moves = np.zeros(s), np.zeros((s, s))
-        n = np.array([len(x) for x in seqs])
+        starts, moves, logs = np.zeros(s), np.zeros((s, s)), 0.0
+        emitted = np.zeros((len(self.emit), s))
+        size = np.array([len(x) for x in seqs])
+        flat = np.concatenate(seqs)
+        per = -(-size // self.piece)
+        of = np.repeat(np.arange(len(seqs)), per)
+        nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+        first = np.repeat(np.cumsum(size) - size, per) + nth * self.piece
+        n = np.minimum(np.repeat(size, per) - nth * self.piece, self.piece)
+        before, after = self._borders(flat, first, n, of, nth)
         order = np.argsort(-n, kind="stable")
-        lengths = n[order]
-        flat = np.concatenate([seqs[i] for i in order])
-        first = np.cumsum(lengths) - lengths
-        steps = int(lengths[0])
-        alive = np.searchsorted(-lengths, -np.arange(steps), side="left")
-        emit, move = self.emit.astype(np.float32), self.move.astype(np.float32)
-        alpha: list[np.ndarray] = []
-        b: list[np.ndarray] = []
-        scales: list[np.ndarray] = []
+        cuts = np.searchsorted(np.cumsum(n[order]), np.arange(self.step, int(n.sum()) + self.step, self.step))
+        for some in np.split(order, np.unique(cuts + 1)):
+            if len(some):
+                logs += self._pieces(flat, first[some], n[some], nth[some] == 0, before[some], after[some], starts, moves, emitted)
+        return starts, moves, emitted, logs
+
+    def _pieces(self, flat, first, n, opens, before, after, starts, moves, emitted) -> float:
+        """Adds what pieces (longest first) expect, given the vectors at their borders."""
+        s, steps, logs = len(self.start), int(n[0]), 0.0
+        alive = np.searchsorted(-n, -np.arange(steps), side="left")
+        at = np.concatenate([first[: int(k)] + t for t, k in enumerate(alive)])
+        rows = np.cumsum(alive) - alive
+        symbol = flat[at]
+        alpha, scale = np.empty((len(at), s)), np.empty((len(at), 1))
         for t in range(steps):
-            k = int(alive[t])
-            e = emit[flat[first[:k] + t]]
-            x = (np.broadcast_to(self.start.astype(np.float32), (k, s)) if t == 0 else alpha[-1][:k] @ move) * e
+            k, r = int(alive[t]), int(rows[t])
+            enter = np.where(opens[:, None], self.start, before @ self.move) if t == 0 else alpha[int(rows[t - 1]) :][:k] @ self.move
+            x = enter * self.emit[symbol[r : r + k]]
             c = x.sum(axis=1, keepdims=True)
-            alpha.append(x / c)
-            b.append(e)
-            scales.append(c)
-        weight = np.empty((len(flat), s), np.float32)
-        beta = np.ones((int(alive[-1]), s), np.float32)
+            alpha[r : r + k], scale[r : r + k] = x / c, c
+            logs += float(np.log10(c).sum())
+        beta = np.zeros((0, s))
+        gamma = np.empty_like(alpha)
         for t in range(steps - 1, -1, -1):
-            k = int(alive[t])
+            k, r = int(alive[t]), int(rows[t])
+            a = alpha[r : r + k]
             if len(beta) < k:
-                beta = np.concatenate([beta, np.ones((k - len(beta), s), np.float32)])
-            gamma = alpha[t] * beta
-            weight[first[:k] + t] = gamma
+                new = after[len(beta) : k]
+                new = new / (a[len(beta) :] * new).sum(axis=1, keepdims=True)
+                beta = np.concatenate([beta, new])
+            gamma[r : r + k] = a * beta
+            z = self.emit[symbol[r : r + k]] * beta / scale[r : r + k]
             if t:
-                z = b[t] * beta / scales[t]
-                moves += move * (alpha[t - 1][:k].T @ z)
-                beta = z @ move.T
+                moves += self.move * (alpha[int(rows[t - 1]) :][:k].T @ z)
+                beta = z @ self.move.T
             else:
-                starts += gamma.sum(axis=0)
-        seen, at = np.unique(flat, return_inverse=True)
-        got = np.stack([np.bincount(at, weights=weight[:, j], minlength=len(seen)) for j in range(s)], axis=1)
-        emitted = np.zeros((len(self.emit), s))
-        emitted[seen] = got
-        return starts, moves, emitted
+                starts += gamma[r : r + k][opens].sum(axis=0)
+                moves += self.move * (before[~opens].T @ z[~opens])
+        for j in range(s):
+            emitted[:, j] += np.bincount(symbol, weights=gamma[:, j], minlength=len(emitted))
+        return logs
 
 
 def maximise(starts: np.ndarray, moves: np.ndarray, emitted: np.ndarray, usual: np.ndarray) -> Hmm:
@@ -252,85 +312,91 @@ def maximise(starts: np.ndarray, moves: np.ndarray, emitted: np.ndarray, usual:
     return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def segments(ids: bytes) -> list[np.ndarray]:
-    x = np.frombuffer(ids, "<i4")
-    return [x[a : a + SEGMENT] for a in range(0, len(x), SEGMENT)]
-
-
-def seed_model(sample: list[bytes], usual: np.ndarray, states: int = STATES) -> Hmm:
+def seed_model(sample: list[bytes], usual: np.ndarray, states: int) -> Hmm:
     """A model fitted to a bounded sample from a random start."""
     rng = np.random.default_rng(SEED)
     move = np.full((states, states), 0.1 / states) + np.eye(states) * 0.9
     emit = usual[:, None] * rng.uniform(0.3, 1.7, (len(usual), states))
     model = Hmm(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(axis=0))
-    seqs = [s for ids in sample for s in segments(ids)]
+    seqs = [np.frombuffer(ids, "<i4") for ids in sample]
     for _ in range(SEED_ROUNDS if seqs else 0):
-        model = maximise(*model.expect(seqs), usual)
+        model = maximise(*model.expect(seqs)[:3], usual)
     return model
 
 
+#: Rows of a partition's sums that belong to no symbol: log10 P and tokens, starts, then moves from each state.
+LIKELIHOOD, STARTS, MOVES = -1, -2, -3
+
+
 def _expected(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
-    """The expected counts of a partition: one row a state (emissions) and one for starts and moves."""
+    """The expected counts of a partition: one row a symbol that it holds, and a row a state."""
     model: Hmm = held.value
-    sums: list | None = None
+    s = len(model.start)
+    sums = [np.zeros(s), np.zeros((s, s)), np.zeros((len(model.emit), s))]
+    logs, size, tokens = 0.0, 0, 0
     todo: list[np.ndarray] = []
 
     def work() -> None:
-        nonlocal sums
-        got = model.expect(todo)
-        sums = list(got) if sums is None else [x + y for x, y in zip(sums, got, strict=True)]
+        nonlocal logs, size
+        *got, more = model.expect(todo)
+        for to, x in zip(sums, got, strict=True):
+            to += x
+        logs += more
         todo.clear()
+        size = 0
 
-    size = 0
     for batch in batches:
         for ids in batch.column("ids"):
-            for s in segments(ids.as_py()):
-                todo.append(s)
-                size += len(s)
-                if size > 300_000:
-                    work()
-                    size = 0
+            todo.append(np.frombuffer(ids.as_py(), "<i4"))
+            size += len(todo[-1])
+            tokens += len(todo[-1])
+            if size > HELD:
+                work()
     if todo:
         work()
-    if sums is None:
+    if not tokens:
         return
-    s = len(model.start)
-    rows = [np.concatenate([sums[0], sums[1].ravel()])] + [sums[2][:, j] for j in range(s)]
+    some = np.flatnonzero(sums[2].sum(axis=1))
+    whole = np.zeros((1, s))
+    whole[0, :2] = logs, tokens
+    keys = np.r_[LIKELIHOOD, STARTS, MOVES - np.arange(s), some]
+    rows = np.concatenate([whole, sums[0][None], sums[1], sums[2][some]])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(range(-1, s), pa.int32()), pa.array([r.astype("<f4").tobytes() for r in rows], pa.binary())], names=["state", "x"]
+        [pa.array(keys.astype(np.int32)), *(pa.array(rows[:, j].copy()) for j in range(s))], names=["symbol", *(f"s{j}" for j in range(s))]
     )
 
 
-def _sum(pdf):
-    import pandas as pd
-
-    total = sum(np.frombuffer(x, "<f4").astype(float) for x in pdf["x"])
-    return pd.DataFrame({"state": [int(pdf["state"].iloc[0])], "x": [total.astype("<f8").tobytes()]})
-
-
-def fit(encoded: DataFrame, lex: Lexicon, usual: np.ndarray, rounds: int = ROUNDS, states: int = STATES) -> Hmm:
+def fit(encoded: DataFrame, usual: np.ndarray, rounds: int, states: int) -> Hmm:
+    assert states > 1
     train = encoded.filter("NOT held_out").select("ids")
+    short = encoded.filter(f"NOT held_out AND n_tokens <= {SEED_LONGEST}").select("ids")
     sample, size = [], 0
-    for row in train.limit(2000).select(F.substring("ids", 1, 4 * 4 * SEGMENT).alias("ids")).collect():
+    # at most SEED_TEXTS texts, the same ones however rows are dealt
+    for row in short.orderBy(F.xxhash64("ids"), "ids").limit(SEED_TEXTS).collect():
         sample.append(bytes(row.ids))
         size += len(row.ids) // 4
         if size > SEED_TOKENS:
             break
-    model = seed_model(sample, usual, states)
+    model, last = seed_model(sample, usual, states), None
+    cols = [f"s{j}" for j in range(states)]
+    schema = ", ".join(["symbol int", *(f"{c} double" for c in cols)])
     for _ in range(rounds):
         held = encoded.sparkSession.sparkContext.broadcast(model)
-        got = {
-            r.state: np.frombuffer(r.x, "<f8")
-            for r in train.mapInArrow(partial(_expected, held=held), "state int, x binary")
-            .groupBy("state")
-            .applyInPandas(_sum, "state int, x binary")
-            .collect()
-        }
+        sums = train.mapInArrow(partial(_expected, held=held), schema).groupBy("symbol").agg(*(F.sum(c).alias(c) for c in cols))
+        got = sums.toArrow()  # one row a symbol
         held.unpersist()
-        if not got:
+        if not got.num_rows:
+            break
+        key = got.column("symbol").to_numpy()
+        x = np.stack([got.column(c).to_numpy() for c in cols], axis=1)
+        emitted = np.zeros((len(usual), states))
+        emitted[key[key >= 0]] = x[key >= 0]
+        row = {int(k): v for k, v in zip(key[key < 0], x[key < 0], strict=True)}
+        logs, tokens = row[LIKELIHOOD][:2]
+        model = maximise(row[STARTS], np.stack([row[MOVES - j] for j in range(states)]), emitted, usual)
+        if last is not None and logs - last < SETTLED * abs(last):
             break
-        starts, moves = got[-1][:states], got[-1][states:].reshape(states, states)
-        model = maximise(starts, moves, np.stack([got[j] for j in range(states)], axis=1), usual)
+        last = logs
     return model
 
 
@@ -341,13 +407,15 @@ def _score(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(model.forward(seqs))], names=["uid", "path"])
 
 
-def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int = STATES, known: int = KNOWN) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+def learn(
+    docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int = STATES, known: int = KNOWN
+) -> tuple[DataFrame, DataFrame, Lexicon, Hmm]:
+    """Encoded documents, the counts that travel to no worker, the lexicon and the model."""
     spark = docs.sparkSession
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     counts = scratch.write(
-        docs.filter("NOT held_out").select("text").mapInArrow(_count, "h long, cls int, n long")
+        docs.filter("NOT held_out").select("text").mapInArrow(partial(_count, classes=CLASSES), "h long, cls int, n long")
         .groupBy("h").agg(F.first("cls").alias("cls"), F.sum("n").alias("n"))
     )
     # words by size class of their counts; the classes from `cut` on hold at most `known` words
@@ -365,7 +433,7 @@ def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int =
     for r in counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         class_n[r.cls], class_v[r.cls] = r.n, r.v
     lex = Lexicon(h.astype(np.int64).view(np.uint64), cls, n, class_n, class_v)
-    usual = np.full(Lexicon.symbols, 1e-9)
+    usual = np.full(1 + EMITTED + CLASSES, 1e-9)
     np.add.at(usual, lex.symbol, lex.n / max(1, lex.N))
     usual[1 + EMITTED :] += lex.class_total / max(1.0, lex.class_total.sum()) * max(0.0, 1 - usual.sum())
     usual += 1e-7
@@ -373,13 +441,19 @@ def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int =
 
     held = spark.sparkContext.broadcast(lex)
     encoded = scratch.write(docs.select("doc_id", "held_out", "text").mapInArrow(partial(_encode, held=held), ENCODED))
-    model = fit(encoded, lex, usual, rounds, states)
+    return encoded, counts.filter(~head).select("h", "n"), lex, fit(encoded, usual, rounds, states)
+
+
+def score(docs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, states: int = STATES, known: int = KNOWN) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    spark = docs.sparkSession
+    encoded, rarer, lex, model = learn(docs, scratch, rounds, states, known)
     path = encoded.select("uid", "ids").mapInArrow(
         partial(_score, held=spark.sparkContext.broadcast(model)), "uid long, path double"
     )
     rare = (
         encoded.select("uid", F.explode("rare").alias("h"))
-        .join(counts.filter(~head).select("h", "n"), "h")
+        .join(rarer, "h")
         .groupBy("uid")
         .agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("more"))
     )

@@ -340,8 +340,9 @@ def test_hidden_markov_model(spark, docs, none):
     usual = np.ones(3) / 3
     before = model.forward(seqs).sum()
     for _ in range(5):
-        s, m, e = model.expect(seqs)
-        assert abs(s.sum() - 4) < 1e-3 and abs(e.sum() - 16) < 1e-3 and abs(m.sum() - 12) < 1e-3
+        s, m, e, logs = model.expect(seqs)
+        assert abs(s.sum() - 4) < 1e-9 and abs(e.sum() - 16) < 1e-9 and abs(m.sum() - 12) < 1e-9
+        assert abs(logs - model.forward(seqs).sum()) < 1e-9
         model = hmm.maximise(s, m, e, usual * 1e-6)
     assert model.forward(seqs).sum() > before
     rows = corpus()
