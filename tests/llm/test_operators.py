@@ -398,14 +398,52 @@ def test_levels_grow_geometrically():
     rng = np.random.default_rng(1)
     family, seen = suffix_levels.Levels(4), set()
     for _ in range(30):
-        batch = np.array([bytes(rng.integers(97, 102, 4).tolist()) for _ in range(20)], "S4")
-        want = []
-        for w in batch.tolist():
-            want.append(w in seen)
-            seen.add(w)
-        assert family.add(batch).tolist() == want
+        strings = [rng.integers(97, 102, int(rng.integers(4, 12))).astype(np.uint8).tobytes() for _ in range(8)]
+        text, places, want = b"".join(strings), [], []
+        for k, x in enumerate(strings):
+            for i in range(len(x) - 3):
+                places.append(sum(map(len, strings[:k])) + i)
+                want.append(x[i : i + 4] in seen)
+                seen.add(x[i : i + 4])
+        assert family.add(np.frombuffer(text, np.uint8), np.array(places)).tolist() == want
     sizes = [len(x) for x in family.levels]
     assert sum(sizes) == len(seen) and all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+    for level in family.levels:  # suffixes in order
+        keys = level.keys().tolist()
+        assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
+def test_suffix_levels_with_clashing_names_and_missing_ids(spark):
+    passage = "a passage of more than one hundred bytes that several documents share, word for word, from here to its end. "
+    texts = ["x1 " + passage, passage + "y2", "z3 " + passage + "z4", None, passage, passage]
+    rows = [(None, t, i, "s", 1, 2) for i, t in enumerate(texts)] + [(1 << 62, passage + "q", 9, "s", 1, 2), (1 << 62, "other " + passage, 9, "s", 1, 2), (-(1 << 62), "short", 9, "s", 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans int, row string, doc long, sub int").selectExpr("*", "3 AS _n", "4 AS _text", "5 AS _x", "6 AS need", "7 AS mark", "8 AS many", "9 AS cut")
+    report = suffix_levels.report(df, Scratch(spark, "t")).collect()
+    assert len(report) == len(rows) and len({r.n_bytes for r in report if r.n_removed}) == 5  # of six texts with the passage one comes first
+    out = suffix_levels.remove(df, Scratch(spark, "t"))
+    assert out.columns == df.columns
+    got = {(r.doc_id, r.spans, r.text) for r in out.collect()}
+    assert (None, 3, None) in got and (-(1 << 62), 9, "short") in got
+    assert all((r.row, r.doc, r.sub, r._n, r._text, r._x, r.need, r.mark, r.many, r.cut) == ("s", 1, 2, 3, 4, 5, 6, 7, 8, 9) for r in out.collect())
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_suffix_levels_at_many_places(spark, monkeypatch, hot):
+    """A line that most documents hold between different words, long texts, and small shards: the same as brute force."""
+    if hot:
+        monkeypatch.setattr(suffix_levels, "HOT_RUNS", 3)
+        monkeypatch.setattr(suffix_levels, "HOT", 50)
+    monkeypatch.setattr(suffix_levels, "SHARD_RUNS", 40)
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(chr(97 + int(x)) for x in rng.integers(0, 4, int(rng.integers(2, 9))))
+    line = " ".join(word() for _ in range(12))
+    make = lambda k: " ".join(word() for _ in range(k))
+    rows = [(i, f"{make(int(rng.integers(0, 30)))} {line} {make(int(rng.integers(0, 30)))}") for i in range(150)]
+    long = make(60_000)
+    rows += [(200, long), (201, long[1000:200_000] + "é" + long[:500]), (202, "\x00" * 250), (203, "\x00" * 120 + "b" + "\x00" * 99), (204, rows[3][1] + rows[4][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_levels.report(df, Scratch(spark, "t")).collect()}
+    assert got == brute_removed(rows)
 
 
 def test_link_graph(spark):
