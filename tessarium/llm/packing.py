@@ -4,19 +4,22 @@
 pieces to shards of some thousand pieces (their hash, with a running number, so that a repeated
 doc_id spreads) and lets islands evolve packings of each shard. A packing is a list of bins. A child
 takes well-filled whole bins from one parent, removes the other parent's bins that hold any of the
-same pieces, and puts the displaced pieces back by best-fit decreasing. After each epoch the best
-packings migrate to the next island of the shard (a ring); the best of all islands is the result.
-Islands are Spark tasks, so a lost executor costs one epoch of its islands.
-
-Defined cases: null and empty texts count as the single end id; a piece of exactly `capacity`
-fills a sequence alone; repeated rows are packed one by one; an empty table gives an empty result.
-Ties in fitness go to the smaller island.
+same pieces, exchanges pieces of the remaining bins for longer displaced ones that fill them better, and puts the
+rest back by best fit. After each epoch the best packings migrate to the next island of the shard (a ring); the
+best of all islands is the result. Islands differ in how much they shake their first packings and how much they
+inject. They are Spark tasks, so a lost executor costs one epoch of its islands. An island rests once a packing
+reaches the lower bound of Martello and Toth, since none can be better.
+
+Defined cases: null and empty texts count as the single end id; a null doc_id is a document of its own; a piece of
+exactly `capacity` fills a sequence alone; repeated rows are packed one by one; an empty table gives an empty result;
+extra columns are ignored. Ties in fitness go to the smaller island.
 """
 
 from __future__ import annotations
 
 import json
 import random
+from bisect import bisect_right, insort
 import re
 import struct
 import zlib
@@ -35,7 +38,7 @@ from .common import Scratch, table, text_chunks
 
 CAPACITY = 2048
 #: Sizes of the algorithm; results are complete whatever they are.
-SHARD_PIECES, ISLANDS, POPULATION, CHILDREN, EPOCHS, SEED = 6000, 2, 4, 6, 2, 11
+SHARD_PIECES, ISLANDS, POPULATION, CHILDREN, EPOCHS, SEED = 6000, 3, 8, 30, 3, 11
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 #: Words whose ids a worker keeps at most, between two chunks of texts.
 WORDS_KEPT = 250_000
@@ -141,18 +144,33 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     )
 
 
-# ---- the genetic algorithm on one shard: lengths sorted in descending order, bins as lists of places
+# ---- the genetic algorithm on one shard: lengths sorted in descending order, bins as tuples of places
+
+Packing = tuple[list[tuple[int, ...]], list[int]]
+
+
+def lower_bound(lengths: list[int], capacity: int) -> int:
+    """Martello and Toth's second bound: pieces above capacity - k, above a half, and the rest from k on, for every k."""
+    n = np.sort(np.asarray(lengths, np.int64))
+    total = np.r_[0, np.cumsum(n)]
+    best = -(-int(total[-1]) // capacity)
+    for k in np.unique(n[n <= capacity // 2]).tolist():
+        a, b, c = np.searchsorted(n, [capacity - k, capacity / 2], "right").tolist() + [int(np.searchsorted(n, k))]
+        b = min(b, a)
+        large, middle = len(n) - a, a - b
+        room = middle * capacity - int(total[a] - total[b])
+        best = max(best, large + middle + max(0, -(-(int(total[b] - total[c]) - room) // capacity)))
+    return max(best, int((n > capacity // 2).sum()))
 
 
-def _best_fit(
-    lengths: list[int], items: list[int], bins: list[list[int]], free: list[int], capacity: int
-) -> tuple[list[list[int]], list[int]]:
+def _best_fit(lengths: list[int], items: list[int], bins: list[tuple[int, ...]], free: list[int], capacity: int) -> Packing:
     """Puts items (longest first) each into the bin with the least room that suffices, else a new one."""
     by_free: list[list[int]] = [[] for _ in range(capacity + 1)]
     mask = 0
     for b, f in enumerate(free):
         by_free[f].append(b)
         mask |= 1 << f
+    added: dict[int, list[int]] = {}
     for i in items:
         n = lengths[i]
         above = mask >> n
@@ -161,15 +179,17 @@ def _best_fit(
             b = by_free[room].pop()
             if not by_free[room]:
                 mask &= ~(1 << room)
-            bins[b].append(i)
         else:
             room, b = capacity, len(bins)
-            bins.append([i])
+            bins.append(())
             free.append(0)
+        added.setdefault(b, []).append(i)
         free[b] = room - n
         if not by_free[room - n]:
             mask |= 1 << (room - n)
         by_free[room - n].append(b)
+    for b, more in added.items():
+        bins[b] = (*bins[b], *more)
     return bins, free
 
 
@@ -177,73 +197,115 @@ def _fitness(free: list[int], capacity: int) -> float:
     return sum(((capacity - f) / capacity) ** 2 for f in free) / max(1, len(free))
 
 
-def _rank(solution: tuple, capacity: int) -> tuple:
+def _rank(solution: Packing, capacity: int) -> tuple:
     return len(solution[0]), -_fitness(solution[1], capacity)
 
 
-def _child(a: tuple, b: tuple, lengths: list[int], capacity: int, rng: random.Random) -> tuple:
+def _exchange(lengths: list[int], loose: list[int], bins: list[tuple[int, ...]], free: list[int], rng: random.Random) -> list[int]:
+    """Fills bins better by giving one or two of their pieces for one or two longer loose ones; what is loose then."""
+    stock = sorted((lengths[i], i) for i in loose)
+    for b in rng.sample(range(len(bins)), len(bins)):
+        if not stock:
+            break
+        if not free[b]:
+            continue
+        inside = bins[b] if len(bins[b]) <= 12 else tuple(rng.sample(bins[b], 12))
+        gives = [(lengths[i], (i,)) for i in inside]
+        gives += [(lengths[i] + lengths[j], (i, j)) for k, i in enumerate(inside) for j in inside[k + 1 :]]
+        best = None
+        for n, out in gives:
+            room = n + free[b]
+            # the longest loose piece that fits, alone, or with the longest other one beside it
+            k = bisect_right(stock, (room, 1 << 62)) - 1
+            if k < 0:
+                continue
+            takes = [(stock[k][0], (k,))]
+            for first in {k, k // 2, rng.randrange(k + 1)}:
+                rest = bisect_right(stock, (room - stock[first][0], 1 << 62)) - 1
+                rest -= rest == first
+                if rest >= 0:
+                    takes.append((stock[first][0] + stock[rest][0], (first, rest)))
+            got, taken = max(takes)
+            if got > n and (best is None or got - n > best[0]):
+                best = (got - n, out, taken)
+                if best[0] == free[b]:
+                    break
+        if best:
+            gain, out, taken = best
+            new = [stock[k][1] for k in taken]
+            for k in sorted(taken, reverse=True):
+                del stock[k]
+            for i in out:
+                insort(stock, (lengths[i], i))
+            bins[b] = (*(i for i in bins[b] if i not in out), *new)
+            free[b] -= gain
+    return sorted(i for _, i in stock)
+
+
+def _child(a: Packing, b: Packing, lengths: list[int], capacity: int, rng: random.Random, most: float) -> Packing:
     """Crossover: whole well-filled bins of b enter a."""
     order = sorted(range(len(b[0])), key=lambda k: b[1][k] + rng.random() * 40)
-    injected = order[: max(1, int(len(order) * rng.uniform(0.1, 0.5)))]
+    injected = order[: max(1, int(len(order) * rng.uniform(0.05, most)))]
     inside = set()
     for k in injected:
         inside.update(b[0][k])
     # beside bins with a duplicate, the child gives up a few of the emptiest bins (mutation)
-    worst = sorted(range(len(a[0])), key=lambda k: -a[1][k])[: 3 + len(a[0]) // 20]
-    loose = set(rng.sample(worst, min(len(worst), 3)))
-    bins, free, displaced = [list(b[0][k]) for k in injected], [b[1][k] for k in injected], []
+    worst = sorted(range(len(a[0])), key=lambda k: -a[1][k])[: 3 + len(a[0]) // 10]
+    loose = set(rng.sample(worst, min(len(worst), 2 + len(a[0]) // 30)))
+    bins, free, displaced = [b[0][k] for k in injected], [b[1][k] for k in injected], []
     for k, items in enumerate(a[0]):
         if k in loose or not inside.isdisjoint(items):
             displaced += [i for i in items if i not in inside]
         else:
-            bins.append(list(items))
+            bins.append(items)
             free.append(a[1][k])
-    displaced.sort()
+    displaced = _exchange(lengths, displaced, bins, free, rng)
     return _best_fit(lengths, displaced, bins, free, capacity)
 
 
-def _first(lengths: list[int], capacity: int, rng: random.Random, shake: float) -> tuple:
+def _first(lengths: list[int], capacity: int, rng: random.Random | None = None, shake: float = 0.0) -> Packing:
     order = list(range(len(lengths)))
     if shake:
         order.sort(key=lambda i: -lengths[i] * rng.uniform(1 - shake, 1 + shake))
     return _best_fit(lengths, order, [], [], capacity)
 
 
-def _genome(solution: tuple, n: int) -> bytes:
+def _genome(solution: Packing, n: int) -> bytes:
     of = np.zeros(n, "<i4")
     for b, items in enumerate(solution[0]):
-        of[items] = b
+        of[list(items)] = b
     return of.tobytes()
 
 
-def _solution(genome: bytes, lengths: list[int], capacity: int) -> tuple:
+def _solution(genome: bytes, lengths: list[int], capacity: int) -> Packing:
     bins: list[list[int]] = []
     for i, b in enumerate(np.frombuffer(genome, "<i4").tolist()):
         while len(bins) <= b:
             bins.append([])
         bins[b].append(i)
-    return bins, [capacity - sum(lengths[i] for i in x) for x in bins]
+    return [tuple(x) for x in bins], [capacity - sum(lengths[i] for i in x) for x in bins]
 
 
-def evolve(
-    lengths: list[int], elites: list[bytes], seed: int, capacity: int, population: int, children: int
-) -> tuple[bytes, int, float]:
+def evolve(lengths: list[int], elites: list[bytes], seed: int, capacity: int, population: int, children: int, island: int = 0) -> tuple[bytes, int, float]:
     """One epoch of one island: the best genome, its bins and its fitness."""
     rng = random.Random(seed)
     pool = [_solution(g, lengths, capacity) for g in elites]
-    pool.append(_first(lengths, capacity, rng, 0.0))
-    least = -(-sum(lengths) // capacity)
+    pool.append(_first(lengths, capacity))
+    least = lower_bound(lengths, capacity)
+    rank = partial(_rank, capacity=capacity)
     if min(len(s[0]) for s in pool) > least:  # else no packing can be better
         while len(pool) < population:
-            pool.append(_first(lengths, capacity, rng, 0.15))
+            pool.append(_first(lengths, capacity, rng, 0.05 + 0.1 * (island % 3)))
+    pool.sort(key=rank)
     for _ in range(children):
-        pool.sort(key=lambda s: _rank(s, capacity))
         if len(pool[0][0]) <= least:
             break
-        a = pool[min(rng.randrange(len(pool)), rng.randrange(len(pool)))]
-        pool[max(1, population - 1) :] = [_child(pool[0], a, lengths, capacity, rng)]
-    best = min(pool, key=lambda s: _rank(s, capacity))
-    return _genome(best, len(lengths)), len(best[0]), _fitness(best[1], capacity)
+        # the best parents of two draws; children enter whole bins of either into the other, and the worst packings go
+        x, y = (pool[min(rng.randrange(len(pool)), rng.randrange(len(pool)))] for _ in range(2))
+        pool.append(_child(x, y, lengths, capacity, rng, 0.3 + 0.2 * (island % 2)))
+        pool.sort(key=rank)
+        del pool[population:]
+    return _genome(pool[0], len(lengths)), len(pool[0][0]), _fitness(pool[0][1], capacity)
 
 
 def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -256,7 +318,7 @@ def _epoch(capacity: int, population: int, children: int, epoch: int) -> Callabl
         n = np.sort(items["length"].to_numpy())[::-1]
         lengths = n[n < capacity].tolist()
         seed = SEED + 1009 * shard + 31 * island + epoch
-        genome, bins, fit = evolve(lengths, elites["genome"].tolist(), seed, capacity, population, children)
+        genome, bins, fit = evolve(lengths, elites["genome"].tolist(), seed, capacity, population, children, island)
         return pd.DataFrame({"shard": [shard], "island": [island], "genome": [genome], "bins": [bins], "fitness": [fit]})
 
     return step
@@ -264,7 +326,7 @@ def _epoch(capacity: int, population: int, children: int, epoch: int) -> Callabl
 
 ELITE_SCHEMA = "shard long, island int, genome binary, bins int, fitness double"
 PACKED_SCHEMA = (
-    "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, from_child boolean"
 )
 
 
@@ -275,6 +337,11 @@ def _place(capacity: int) -> Callable:
         whole = int((n >= capacity).sum())
         of = np.arange(len(n), dtype=np.int64)
         of[whole:] = whole + np.frombuffer(best["genome"].iloc[0], "<i4")
+        lengths = n[whole:].tolist()
+        plain = set(map(frozenset, _first(lengths, capacity)[0]))
+        born = np.zeros(len(n), bool)
+        for bin_ in _solution(best["genome"].iloc[0], lengths, capacity)[0]:
+            born[[whole + i for i in bin_]] = frozenset(bin_) not in plain
         order = np.argsort(of, kind="stable")
         before = np.cumsum(n[order]) - n[order]
         first = np.r_[True, of[order][1:] != of[order][:-1]]
@@ -282,7 +349,8 @@ def _place(capacity: int) -> Callable:
         offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
         items["sequence_id"] = (int(key[0]) << 32) + of
         items["offset"] = offset
-        return items[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+        items["from_child"] = born
+        return items[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "from_child"]]
 
     return place
 
@@ -297,7 +365,10 @@ def pack(
     epochs: int = EPOCHS,
     shard_pieces: int = SHARD_PIECES,
 ) -> DataFrame:
-    """Adds sequence_id and offset to every piece of a written table of pieces."""
+    """Adds sequence_id and offset to every piece of a written table of pieces.
+
+    from_child says whether the piece's sequence is one that best-fit decreasing alone does not make.
+    """
     shards = max(1, round(cut.count() / shard_pieces))
     items = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(shards)))
     elites = scratch.spark.createDataFrame([], ELITE_SCHEMA)

@@ -512,4 +512,49 @@ def test_genetic_algorithm_keeps_every_piece_once():
     genome, bins, _ = packing.evolve(lengths, [], 1, 1000, 6, 40)
     found, free = packing._solution(genome, lengths, 1000)
     assert sorted(i for b in found for i in b) == list(range(200)) and min(free) >= 0 and len(found) == bins
-    assert bins <= len(packing._first(lengths, 1000, rng, 0.0)[0])
+    assert bins <= len(packing._first(lengths, 1000)[0])
+
+
+def triplets(n, capacity, seed):
+    """Lengths that fill n bins exactly, three in each, which best-fit decreasing does not find."""
+    import random
+
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        a = rng.randrange(capacity // 3 + 10, capacity // 2)
+        b = rng.randrange(capacity // 4, capacity // 3)
+        out += [a, b, capacity - a - b]
+    return sorted(out, reverse=True)
+
+
+def test_children_beat_best_fit_decreasing(spark):
+    lengths = triplets(40, 1000, 3)
+    plain = len(packing._first(lengths, 1000)[0])
+    rows = [(i, 0, 0, n, i, i) for i, n in enumerate(lengths)] + [(None, 0, 0, 1000, 1, 1), (None, 0, 0, 1000, 1, 2)]
+    s = Scratch(spark, "t")
+    got = packing.pack(s.write(spark.createDataFrame(rows, packing.PIECE_SCHEMA)), s, capacity=1000).collect()
+    assert len(got) == len(rows)
+    per = Counter()
+    for r in got:
+        per[r.sequence_id] += r.length
+    assert max(per.values()) <= 1000 and len(per) - 2 >= 40
+    assert len(per) - 2 <= plain - 2  # children save sequences
+    assert len({r.sequence_id for r in got if r.from_child}) > 10
+
+
+def test_lower_bound_of_packings():
+    assert packing.lower_bound([600, 600, 600, 500], 1000) == 4 and packing.lower_bound([500] * 4, 1000) == 2
+    assert packing.lower_bound([], 1000) == 0 and packing.lower_bound([1] * 1001, 1000) == 2
+    for seed in range(5):
+        lengths = triplets(12, 1000, seed)
+        assert packing.lower_bound(lengths, 1000) == 12 <= len(packing._first(lengths, 1000)[0])
+
+
+def test_packing_of_repeated_rows_null_ids_and_long_texts(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (1, "w " * 30_000), (1, "w " * 30_000), (2, None), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS length", "2 AS shard", "3 AS piece")
+    s = Scratch(spark, "t")
+    got = packing.pack(s.write(packing.pieces(df)), s).collect()
+    assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(i for i, _ in rows)
+    assert sum(r.length for r in got if r.doc_id == 1) == 2 * 30_001
+    assert all(r.length == 1 for r in got if r.doc_id in (2, 3))
