@@ -10,20 +10,24 @@
    Pairs whose sketches agree well enough are verified on full sets: 100 * |A & B| >= 80 * |A | B|.
 4. Verified links give components. Only buckets that still hold several components are searched
    further, in blocks of a bounded number of nodes. First each node's closest sketch in another
-   component is verified. What then remains is settled inside the blocks: every pair of
-   different components whose sketches agree is compared on full sets, and one link a pair of
-   components leaves the block. Links inside a component could not change it, and no link between
-   components is left out; no pairs of a group are ever written out.
+   component is verified. Then blocks of WIDE nodes with their sketches alone rule out every node that
+   agrees with none of another component. What remains is settled inside blocks of BLOCK nodes with full sets: every
+   pair of different components whose sketches agree is compared, and one link a pair of components leaves
+   the block. Links inside a component could not change it, and no link between components is left out;
+   no pairs of a group are ever written out.
 
 Sets are compared by 64-bit shingle hashes. The sketch bound lies five standard deviations of the
 sample estimate and four of the parity count below the threshold.
 
 Defined cases: null, empty and white-space texts have an empty set (n_shingles 0) and are linked
 with nothing; fewer words than a shingle's make one shingle of all; equal texts are linked; rows that
-share a doc_id are one node that links where any of its texts does; rows with a null doc_id are left out of
-`near_duplicates`, as in its SQL; an empty table gives an empty result; extra columns are ignored by
-`near_duplicates`. `deduplicate` covers every row: different texts of one doc_id are different documents, equal
-rows of an id and text (null ids too) count once, and documents without an id give way to those with one.
+share a doc_id are one node that links where any of its texts does. Rows with a null doc_id are documents of their
+own, equal texts the same one; they come back with a null doc_id and the smallest doc_id that they reach, or, if they
+reach none, a null component_id, and are kept where they stand for such a group (ids are taken to be below 2**62, where
+the numbers that stand in for null begin). An empty table gives an empty result; extra columns, whatever their names,
+are ignored by `near_duplicates` and kept by `deduplicate`. That covers every row: different texts of one doc_id are
+different documents, rows equal in id and text (null ids too) count once, and documents without an id give way to
+those with one.
 """
 
 from __future__ import annotations
@@ -40,10 +44,11 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, Scratch, table, text_chunks
 from .components import components
+from .curriculum import row_hash
 
 SHINGLE, BANDS, ROWS, BITS = 4, 32, 4, 512
 NUM, DEN = 80, 100
-BLOCK = 512
+BLOCK, WIDE = 512, 4096
 _RNG = np.random.default_rng(20240229)
 _SAMPLES = BANDS * ROWS
 _MUL = (_RNG.integers(0, 1 << 31, _SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -111,7 +116,9 @@ def fold(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys.view(np.int64), words.view(np.int64)
 
 
-SKETCHED = "doc_id long, n_shingles long, hi long, lo long, sketch array<long>, bands array<long>"
+#: From here on numbers stand in for null ids: after all ids.
+NO_ID = 1 << 62
+SKETCHED = "doc_id long, given boolean, n_shingles long, hi long, lo long, sketch array<long>, bands array<long>"
 
 
 def _lists(x: np.ndarray) -> pa.ListArray:
@@ -132,13 +139,14 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("given"),
                 pa.array(sizes, pa.int64()),
                 pa.array(mark[:, 0]),
                 pa.array(mark[:, 1]),
                 _lists(words),
                 _lists(keys),
             ],
-            names=["doc_id", "n_shingles", "hi", "lo", "sketch", "bands"],
+            names=["doc_id", "given", "n_shingles", "hi", "lo", "sketch", "bands"],
         )
 
 
@@ -187,38 +195,51 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy().reshape(-1, width)
 
 
-def _candidates(cell: pa.Table, bound: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the pairs of a cell that belong to different components and whose sketches agree."""
+def _candidates(cell: pa.Table, bound: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places, and differing bits, of the pairs of a cell that belong to different components and whose sketches agree."""
     node, comp, lead, side = (cell.column(c).to_numpy() for c in ("node", "component", "leader", "side"))
     sketch = _matrix(cell.column("sketch"), BITS // 64)
     left = np.flatnonzero(side == 0)
-    right = left if cell.column("ci")[0].as_py() == cell.column("cj")[0].as_py() else np.flatnonzero(side == 1)
-    differ = comp[left][:, None] != comp[right][None, :]
+    alike = cell.column("ci")[0].as_py() == cell.column("cj")[0].as_py()
+    right = left if alike else np.flatnonzero(side == 1)
     # pairs with the bucket's leader have been compared; inside one block each pair counts once
-    differ &= (lead[left] != node[left])[:, None] & (lead[right] != node[right])[None, :]
-    if right is left:
-        differ &= node[left][:, None] < node[left][None, :]
-    i, j = np.nonzero(differ)
-    i, j = left[i], right[j]
-    bits = np.zeros(len(i), np.int64)
-    for at in range(0, len(i), 65536):
-        part = slice(at, at + 65536)
-        bits[part] = np.bitwise_count(sketch[i[part]] ^ sketch[j[part]]).sum(axis=1)
-    fine = bits <= bound
-    return i[fine], j[fine], bits[fine], node
+    left, right = left[lead[left] != node[left]], right[lead[right] != node[right]]
+    for at in range(0, len(left), 128):
+        some = left[at : at + 128]
+        differ = comp[some][:, None] != comp[right][None, :]
+        if alike:
+            differ &= node[some][:, None] < node[right][None, :]
+        if not differ.any():
+            continue
+        bits = np.zeros(differ.shape, np.uint16)
+        for w in range(sketch.shape[1]):
+            bits += np.bitwise_count(sketch[some, w][:, None] ^ sketch[right, w][None, :])
+        i, j = np.nonzero(differ & (bits <= bound))
+        if len(i):
+            yield some[i], right[j], bits[i, j]
 
 
 def _closest(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
     """Of each node outside the leader's component the pair with the closest node of another component, by cell."""
     for cell in _by_cell(batches, ("bh", "ci", "cj")):
-        i, j, bits, node = _candidates(cell, bound)
-        if not len(i):
-            continue
-        order = np.lexsort((bits, i))
-        i, j = i[order], j[order]
-        first = np.r_[True, i[1:] != i[:-1]]
-        a, b = node[i[first]], node[j[first]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+        node = cell.column("node").to_numpy()
+        for i, j, bits in _candidates(cell, bound):
+            order = np.lexsort((node[j], bits, i))
+            i, j = i[order], j[order]
+            first = np.r_[True, i[1:] != i[:-1]]
+            a, b = node[i[first]], node[j[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+
+def _alive(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
+    """The nodes of a cell that agree with a node of another component."""
+    for cell in _by_cell(batches, ("bh", "ci", "cj")):
+        found = np.zeros(cell.num_rows, bool)
+        for i, j, _ in _candidates(cell, bound):
+            found[i] = found[j] = True
+        if found.any():
+            rows = cell.select(["bh", "node"]).filter(pa.array(found)).combine_chunks()
+            yield from rows.to_batches()
 
 
 def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -246,11 +267,12 @@ def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _links(batches: Iterator[pa.RecordBatch], bound: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """One link for each two components of a cell that have any; sets are compared in full."""
     for cell in _by_cell(batches, ("bh", "ci", "cj")):
-        i, j, _, node = _candidates(cell, bound)
-        if not len(i):
+        found = list(_candidates(cell, bound))
+        if not found:
             continue
+        i, j = (np.concatenate(x) for x in list(zip(*found, strict=True))[:2])
         # a pair is compared in the first band that it shares
-        bands, comp = _matrix(cell.column("bands"), BANDS), cell.column("component").to_numpy()
+        bands, comp, node = _matrix(cell.column("bands"), BANDS), cell.column("component").to_numpy(), cell.column("node").to_numpy()
         here = cell.column("bh")[0].as_py()
         same = np.concatenate([bands[i[k : k + 65536]] == bands[j[k : k + 65536]] for k in range(0, len(i), 65536)])
         fine = bands[i, same.argmax(axis=1)] == here
@@ -287,8 +309,10 @@ class _Search:
     def __init__(self, docs: DataFrame, scratch: Scratch, num: int, den: int, width: int):
         self.scratch, self.num, self.den, self.width = scratch, num, den, width
         self.bound = sketch_bound(num / den)
-        self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        self.rows = scratch.write(self.texts.filter("doc_id IS NOT NULL").mapInArrow(partial(_sketch, width=width), SKETCHED))
+        id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+        stand_in = F.lit(NO_ID) + F.pmod(F.xxhash64(text, F.lit("none")), F.lit(1 << 61))
+        self.texts = docs.select(F.coalesce(id_, stand_in).alias("doc_id"), id_.isNotNull().alias("given"), text.alias("text"))
+        self.rows = scratch.write(self.texts.mapInArrow(partial(_sketch, width=width), SKETCHED))
         full = self.rows.filter("n_shingles > 0")
         self.nodes = scratch.write(
             full.groupBy("hi", "lo").agg(
@@ -327,8 +351,10 @@ class _Search:
         """node, component of every node that has a link."""
         sketch = self.nodes.select("node", "sketch")
         bands = self.nodes.select("node", F.explode("bands").alias("bh"))
-        shared = bands.groupBy("bh").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+        # written, so that the join below is a plain one, whose hot buckets Spark can split
+        shared = self.scratch.write(bands.groupBy("bh").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1"))
         rows = self.scratch.write(bands.join(shared, "bh").select("bh", "node", "leader", "n"))
+        self.scratch.drop(shared)
         star = rows.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
         pairs = (
             star.join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
@@ -340,12 +366,13 @@ class _Search:
         self.verify(pairs)
         label = self.labels()
         rows = rows.filter("n > 2")
-        cells = self.cells(rows, label)
-        found = cells.join(sketch, "node")
-        found = self.spread(found).mapInArrow(partial(_closest, bound=self.bound), "a long, b long")
+        cells = self.cells(rows, label, WIDE).join(sketch, "node")
+        found = self.spread(cells).mapInArrow(partial(_closest, bound=self.bound), "a long, b long")
         if self.verify(found.distinct().join(self.checked, ["a", "b"], "left_anti")):
             label = self.labels()
-            cells = self.cells(rows, label)
+            cells = self.cells(rows, label, WIDE).join(sketch, "node")
+        alive = self.scratch.write(self.spread(cells).mapInArrow(partial(_alive, bound=self.bound), "bh long, node long").distinct())
+        cells = self.cells(rows.join(alive, ["bh", "node"], "left_semi"), label, BLOCK)
         text = self.texts.select(F.col("doc_id").alias("node"), "text").join(
             cells.select("node").distinct(), "node", "left_semi"
         )
@@ -360,22 +387,22 @@ class _Search:
             label = self.labels()
         return label
 
-    def cells(self, rows: DataFrame, label: DataFrame) -> DataFrame:
+    def cells(self, rows: DataFrame, label: DataFrame, size: int) -> DataFrame:
         """Buckets with several components as cells of two blocks: bh, ci, cj, side, node, component, leader.
 
         The nodes of the leader's component (blocks 0, 1, ...) meet only the others' blocks (-1, -2, ...),
-        which also meet each other. A block holds about BLOCK nodes.
+        which also meet each other. A block holds about `size` nodes.
         """
         named = rows.select("bh", "node", "leader").join(label, "node", "left")
         named = self.scratch.write(named.withColumn("component", F.coalesce("component", "node")))
-        split = (
+        split = self.scratch.write(
             named.groupBy("bh", "component").agg(F.count("*").alias("n"))
             .groupBy("bh").agg(F.min("component").alias("major"), F.min_by("n", "component").alias("n_major"), F.sum("n").alias("n"))
             .filter("n > n_major")
         )
         some = named.join(split, "bh").withColumn("minor", F.col("component") != F.col("major"))
-        majors = F.ceil(F.col("n_major") / BLOCK).cast("long")
-        minors = F.ceil((F.col("n") - F.col("n_major")) / BLOCK).cast("long")
+        majors = F.ceil(F.col("n_major") / size).cast("long")
+        minors = F.ceil((F.col("n") - F.col("n_major")) / size).cast("long")
         block = F.when(F.col("minor"), -1 - F.pmod(F.xxhash64("node"), minors)).otherwise(F.pmod(F.xxhash64("node"), majors))
         others = F.when(F.col("minor"), F.sequence(-minors, majors - 1)).otherwise(F.sequence(-minors, F.lit(-1).cast("long")))
         some = some.withColumn("block", block).withColumn("other", F.explode(others))
@@ -394,17 +421,22 @@ class _Search:
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, num: int = NUM, den: int = DEN, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row with a doc_id; linked where den * |A & B| >= num * |A | B|."""
+    """doc_id, n_shingles, component_id, kept of every row; linked where den * |A & B| >= num * |A | B|."""
     search = _Search(docs, scratch, num, den, width)
     label = search.run()
     classes = search.nodes.select("hi", "lo", "node")
-    member = search.rows.filter("n_shingles > 0").join(classes, ["hi", "lo"]).select("doc_id", "n_shingles", "node")
+    member = search.rows.filter("n_shingles > 0").join(classes, ["hi", "lo"]).select("doc_id", "given", "n_shingles", "node")
     member = member.join(label, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
+        "doc_id", "given", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
-    alone = search.rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = search.rows.filter("n_shingles = 0").select("doc_id", "given", "n_shingles", F.col("doc_id").alias("component_id"))
     out = member.unionByName(alone)
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.select(
+        F.when(F.col("given"), F.col("doc_id")).alias("doc_id"),
+        "n_shingles",
+        F.when((F.col("component_id") < NO_ID) | (F.col("given") & (F.col("doc_id") == F.col("component_id"))), F.col("component_id")).alias("component_id"),
+        (F.col("doc_id") == F.col("component_id")).alias("kept"),
+    )
 
 
 OP1_SQL = r"""
@@ -448,19 +480,20 @@ def deduplicate(docs: DataFrame, scratch: Scratch, width: int = SHINGLE) -> Data
     A key of its own stands for each doc_id and text: the doc_id for the text with the smallest hash, a number
     from 2**62 up, made of both, for its other texts and for null ids.
     """
-    mark, id_ = F.xxhash64("text"), F.col("doc_id").cast("long")
-    # ids with several texts and keys of several rows are written, so that Spark knows how few they are
-    several = (
-        docs.filter("doc_id IS NOT NULL").select(id_.alias("_id"), mark.alias("mark")).groupBy("_id")
-        .agg(F.min("mark").alias("_first"), F.max("mark").alias("last")).filter("_first <> last").select("_id", "_first")
+    text, id_ = F.col("text").cast("string"), F.col("doc_id").cast("long")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        row_hash(docs).alias("order"), id_.alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"),
     )
-    several = scratch.write(several)
-    stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", mark), F.lit(1 << 61))
-    own = F.col("doc_id").isNotNull() & (F.col("_first").isNull() | (F.col("_first") == mark))
-    keyed = docs.join(several, id_ == F.col("_id"), "left").withColumn("_key", F.when(own, id_).otherwise(stand_in)).drop("_id", "_first")
-    kept = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), scratch, width=width).filter("kept")
-    keyed = keyed.join(scratch.write(kept.select(F.col("doc_id").alias("_key")).distinct()), "_key", "left_semi")
-    repeated = scratch.write(keyed.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key"))
-    one = Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))
-    first = keyed.join(repeated, "_key", "left_semi").withColumn("_row", F.row_number().over(one)).filter("_row = 1")
-    return keyed.join(repeated, "_key", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
+    # ids with several texts and keys of several rows are written, so that Spark knows how few they are
+    several = rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
+    several = scratch.write(several.filter("first <> last").select("id", "first"))
+    stand_in = F.lit(NO_ID) + F.pmod(F.xxhash64("id", "mark"), F.lit(1 << 61))
+    own = F.col("id").isNotNull() & (F.col("first").isNull() | (F.col("first") == F.col("mark")))
+    keyed = rows.join(several, "id", "left").withColumn("key", F.when(own, F.col("id")).otherwise(stand_in))
+    kept = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"), scratch, width=width).filter("kept")
+    keyed = keyed.select("key", "order", "row").join(scratch.write(kept.select(F.col("doc_id").alias("key")).distinct()), "key", "left_semi")
+    repeated = scratch.write(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    one = Window.partitionBy("key").orderBy("order")
+    first = keyed.join(repeated, "key", "left_semi").withColumn("n", F.row_number().over(one)).filter("n = 1")
+    return keyed.join(repeated, "key", "left_anti").select("row.*").unionByName(first.select("row.*"))

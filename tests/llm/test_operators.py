@@ -132,6 +132,26 @@ def test_near_duplicates_in_large_groups(spark):
     assert got == {i: find(i) for i in range(150)}
 
 
+def test_near_duplicates_return_rows_without_ids(spark):
+    text = lambda k: " ".join(f"t{k}-{i}" for i in range(40))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (1, text(2)), (None, text(2) + " more"), (None, None), (2, text(3)), (2, text(4)), (None, text(4))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS given", "3 AS hi", "4 AS bands")
+    got = Counter(tuple(r) for r in minhash_odd.near_duplicates(df, Scratch(spark, "t")).collect())
+    assert got == Counter({
+        (None, 37, None, True): 3, (1, 37, 1, True): 1, (None, 38, 1, False): 1, (None, 0, None, True): 1, (2, 37, 2, True): 2, (None, 37, 2, False): 1,
+    })
+
+
+def test_deduplicate_keeps_clashing_columns(spark):
+    rows = [(i, f"a b c d e f g {i // 2}", i) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    df = df.selectExpr("*", "1 AS row", "2 AS id", "3 AS mark", "4 AS first", "5 AS `order`", "6 AS n", "7 AS _key", "8 AS component_id", "map('a', 1) AS m")
+    out = minhash_odd.deduplicate(df, Scratch(spark, "t"))
+    assert out.columns == df.columns
+    got = out.collect()
+    assert {r.doc_id for r in got} == {0, 2, 4, 6} and all((r.key, r.row, r.n, r.m) == (r.doc_id, 1, 6, {"a": 1}) for r in got)
+
+
 def test_odd_sketch_estimates_differences():
     a = minhash_odd.shingles(" ".join(f"w{i}" for i in range(500)))
     b = minhash_odd.shingles(" ".join(f"w{i}" for i in range(25, 525)))
