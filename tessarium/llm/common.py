@@ -96,6 +96,14 @@ class Scratch:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for; words seen before cost one look-up."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def text_chunks(
     batches: Iterator[pa.RecordBatch], max_bytes: int = 2 << 20, text: str = "text"
 ) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,7 @@ how rows are dealt to partitions but for its rounding.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -35,9 +36,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Scratch, table, text_chunks
+from .common import LOWER, Numbers, Scratch, table, text_chunks
 
-STATES, ROUNDS, SETTLED, PIECE = 12, 5, 2e-3, 1024
+STATES, ROUNDS, SETTLED, PIECE = 12, 3, 2e-3, 2048
 EMITTED, CLASSES, KNOWN = 32_768, 1024, 1_000_000
 #: The start model's sample: at most so many texts, of at most so many tokens each, and so many tokens in all.
 SEED_TEXTS, SEED_LONGEST, SEED_TOKENS, SEED_ROUNDS, SEED = 2000, 20_000, 150_000, 40, 3
@@ -57,13 +58,12 @@ class Chunk:
     """The distinct words of some texts, and each text as places among them; every text ends in the end word."""
 
     def __init__(self, texts: list[str | None]):
-        place: dict[bytes, int] = {END_WORD: 0}
+        place = Numbers({END_WORD: 0})
         flat: list[int] = []
         self.n = np.zeros(len(texts), np.int64)
-        number = place.setdefault
         for i, t in enumerate(texts):
             words = (t or "").encode().translate(LOWER).split()
-            flat += [number(w, len(place)) for w in words]
+            flat.extend(map(place.__getitem__, words))
             flat.append(0)
             self.n[i] = len(words) + 1
         self.flat = np.array(flat, np.int64)
@@ -81,10 +81,14 @@ def _count(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.Recor
         total.clear()
         return pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls.astype(np.int32)), pa.array(n)], names=["h", "cls", "n"])
 
-    for batch in text_chunks(batches):
-        chunk = Chunk(batch.column("text").to_pylist())
-        n = np.bincount(chunk.flat, minlength=len(chunk.words)).tolist()
-        for h, w, k in zip(chunk.hashes.tolist(), chunk.words, n, strict=True):
+    for batch in text_chunks(batches, 8 << 20):
+        texts = batch.column("text").to_pylist()
+        found: Counter = Counter()
+        for t in texts:
+            found.update((t or "").encode().translate(LOWER).split())
+        found[END_WORD] = len(texts)
+        for w, k in found.items():
+            h = xxhash.xxh64_intdigest(w)
             if h in total:
                 total[h][1] += k
             else:
@@ -151,11 +155,10 @@ def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]
         start = np.cumsum(chunk.n) - chunk.n
         sums = lambda x: np.add.reduceat(x[chunk.flat], start)
         ids = symbol[chunk.flat].astype("<i4")
-        rare: list = []
         miss = ~hit[chunk.flat]
-        for a, k in zip(start.tolist(), chunk.n.tolist(), strict=True):
-            of = chunk.flat[a : a + k][miss[a : a + k]]
-            rare.append(chunk.hashes[of].view(np.int64).tolist() if len(of) else [])
+        # unknown words of each text, one list after another
+        ends = np.r_[0, np.cumsum(miss)][np.r_[start, len(chunk.flat)]]
+        rare = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(chunk.hashes[chunk.flat[miss]].view(np.int64)))
         m = len(chunk.n)
         yield pa.RecordBatch.from_arrays(
             [
@@ -167,7 +170,7 @@ def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]
                 pa.array(sums(base)),
                 pa.array(sums(inner)),
                 pa.array([ids[a : a + k].tobytes() for a, k in zip(start.tolist(), chunk.n.tolist(), strict=True)], pa.binary()),
-                pa.array(rare, pa.list_(pa.int64())),
+                rare,
             ],
             names=["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "inner", "ids", "rare"],
         )
@@ -369,14 +372,16 @@ def _expected(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatc
 def fit(encoded: DataFrame, usual: np.ndarray, rounds: int, states: int) -> Hmm:
     assert states > 1
     train = encoded.filter("NOT held_out").select("ids")
-    short = encoded.filter(f"NOT held_out AND n_tokens <= {SEED_LONGEST}").select("ids")
-    sample, size = [], 0
-    # at most SEED_TEXTS texts, the same ones however rows are dealt
-    for row in short.orderBy(F.xxhash64("ids"), "ids").limit(SEED_TEXTS).collect():
-        sample.append(bytes(row.ids))
-        size += len(row.ids) // 4
+    short = encoded.filter(f"NOT held_out AND n_tokens <= {SEED_LONGEST}").select("uid", "n_tokens", F.xxhash64("ids").alias("h"))
+    uids, size = [], 0
+    # the same texts however rows are dealt; only numbers are ordered, then those texts fetched
+    for row in short.orderBy("h", "n_tokens", "uid").limit(SEED_TEXTS).collect():
+        uids.append(row.uid)
+        size += row.n_tokens
         if size > SEED_TOKENS:
             break
+    chosen = encoded.filter(F.col("uid").isin(uids)).select("ids", F.xxhash64("ids").alias("h")).collect()
+    sample = [bytes(r.ids) for r in sorted(chosen, key=lambda r: (r.h, r.ids))]
     model, last = seed_model(sample, usual, states), None
     cols = [f"s{j}" for j in range(states)]
     schema = ", ".join(["symbol int", *(f"{c} double" for c in cols)])
