@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_odd_sketch": minhash_odd.OP1_SQL,
     "op2_mtree_top_k": mtree.OP2_SQL,
+    "op3_quotation_linking": quotes.OP3_SQL,
     "op5_curriculum_mix": curriculum.OP5_SQL,
     "op9_link_graph_filter": linkgraph.OP9_SQL,
 }

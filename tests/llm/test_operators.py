@@ -279,6 +279,34 @@ def test_quotation_linking_of_runs_and_other_conversations(spark):
     assert out[None, 1] == (None, 1) and out[None, 4] == (2, 1)
 
 
+def test_quotation_linking_equals_its_sql(spark):
+    """Deep chains, repeated turns, lines that all share, long messages, in any partitioning: the rows of the SQL."""
+    import duckdb
+    import pandas as pd
+
+    rng = np.random.default_rng(11)
+    lines = [f"line {i} of words" for i in range(12)] + ["Yes", "  yes ", ""]
+    data = []
+    for conv in [None, *range(7)]:
+        said = []
+        for turn in range(1, 45):
+            own = [str(x) for x in rng.choice(lines, int(rng.integers(1, 5)))]
+            quoted = []
+            for _ in range(int(rng.integers(0, 3))):
+                of = said[int(rng.integers(0, len(said)))] if said and rng.random() < 0.8 else own
+                at = int(rng.integers(0, len(of)))
+                quoted += [">" * int(rng.integers(1, 4)) + " " * int(rng.integers(0, 2)) + x for x in of[at : at + 2]]
+            said.append(own)
+            data.append((conv, turn if rng.random() < 0.97 else None, "user", "\n".join([*quoted, *own])))
+    data += [(50, t, "user", f"> m{t - 2}\nm{t}") for t in range(1, 200)] + [(50, 7, None, None), (50, 7, "a", "m7"), (51, 1, "u", "> q\r\n>> r\r" + "long line\n" * 3000)]
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(data, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    want = Counter(con.execute(f"SELECT * FROM ({quotes.OP3_SQL})").fetchall())
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS n", "2 AS hash", "3 AS k")
+    got = Counter(tuple(r) for r in quotes.conversations(df.repartition(3), Scratch(spark, "t")).collect())
+    assert got == want
+
+
 def test_kneser_ney_rejects_junk(spark, none):
     good = [(i, t, "s", "en", 0, 0) for i, t in enumerate(("the cat sat on the mat " * 6 + f"w{i}") for i in range(120))]
     bad = [(1000 + i, "XX!! QQZ## $$%% " * 20, "s", "en", 0, 0) for i in range(5)]
