@@ -196,8 +196,10 @@ def _scan(batches: Iterator[pa.RecordBatch], shards: int, length: int) -> Iterat
 
     Beside them, spread over the shards: spans that repeat earlier ones of the task, and the runs of anchors with several.
     """
+    from pyspark import TaskContext
+
     kind = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("x", pa.binary())])
-    spread = 0
+    spread = TaskContext.get().partitionId()
 
     def rows(some: list[int], what: int, x: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([what] * len(some), pa.int32()), pa.array(x, pa.binary())], schema=kind)
@@ -217,8 +219,8 @@ def _scan(batches: Iterator[pa.RecordBatch], shards: int, length: int) -> Iterat
             for at in range(0, len(x), 16384):
                 part = x[at : at + 16384]
                 doc, sub, s, e = unit.columns(part)
-                spread += 1
-                yield rows([spread * 7919 % shards], what, [pack(doc, sub, s, e, part["anchor"] if what == RUNS else part["anchor"][:0])])
+                spread += 104_729
+                yield rows([spread % shards], what, [pack(doc, sub, s, e, part["anchor"] if what == RUNS else part["anchor"][:0])])
         shard = (heads["anchor"] >> np.uint64(32)) % np.uint64(shards)
         order = np.lexsort((heads["at"], heads["doc"], shard))
         heads, several, shard = heads[order], several[order], shard[order]
