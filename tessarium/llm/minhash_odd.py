@@ -10,8 +10,8 @@
    Pairs whose sketches agree well enough are verified on full sets: 100 * |A & B| >= 80 * |A | B|.
 4. Verified links give components. Only buckets that still hold several components are searched
    further, in blocks of a bounded number of nodes. First each node's closest sketch in another
-   component is verified. Then blocks of WIDE nodes with their sketches alone rule out every node that
-   agrees with none of another component. What remains is settled inside blocks of BLOCK nodes with full sets: every
+   component is verified, found in blocks of WIDE nodes with their sketches alone, which also rule out every
+   node that agrees with none of another component. What remains is settled inside blocks of BLOCK nodes with full sets: every
    pair of different components whose sketches agree is compared, and one link a pair of components leaves
    the block. Links inside a component could not change it, and no link between components is left out;
    no pairs of a group are ever written out.
@@ -219,27 +219,20 @@ def _candidates(cell: pa.Table, bound: int) -> Iterator[tuple[np.ndarray, np.nda
             yield some[i], right[j], bits[i, j]
 
 
-def _closest(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
-    """Of each node outside the leader's component the pair with the closest node of another component, by cell."""
+def _probe(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
+    """The nodes of a cell that agree with a node of another component; of those on the left side the closest such node."""
     for cell in _by_cell(batches, ("bh", "ci", "cj")):
         node = cell.column("node").to_numpy()
+        found, near = np.zeros(cell.num_rows, bool), np.full(cell.num_rows, -1)
         for i, j, bits in _candidates(cell, bound):
-            order = np.lexsort((node[j], bits, i))
-            i, j = i[order], j[order]
-            first = np.r_[True, i[1:] != i[:-1]]
-            a, b = node[i[first]], node[j[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-
-
-def _alive(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
-    """The nodes of a cell that agree with a node of another component."""
-    for cell in _by_cell(batches, ("bh", "ci", "cj")):
-        found = np.zeros(cell.num_rows, bool)
-        for i, j, _ in _candidates(cell, bound):
             found[i] = found[j] = True
+            order = np.lexsort((node[j], bits, i))
+            first = order[np.r_[True, i[order][1:] != i[order][:-1]]]
+            near[i[first]] = j[first]
         if found.any():
-            rows = cell.select(["bh", "node"]).filter(pa.array(found)).combine_chunks()
-            yield from rows.to_batches()
+            at = np.flatnonzero(found)
+            other = pa.array(node[near[at]], mask=near[at] < 0)
+            yield pa.RecordBatch.from_arrays([cell.column("bh").take(pa.array(at)).combine_chunks(), pa.array(node[at]), other], names=["bh", "node", "other"])
 
 
 def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -326,10 +319,10 @@ class _Search:
 
     def verify(self, pairs: DataFrame) -> bool:
         """Checks pairs (a, b) on full sets; keeps the links, remembers what was checked, says if it found links."""
-        text = self.texts.join(self.nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        # plain equi-joins, whose hot leaders Spark can split
         both = (
-            pairs.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+            pairs.join(self.texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(self.texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b")
         )
         done = self.scratch.write(both.mapInArrow(partial(_verify, num=self.num, den=self.den, width=self.width), "a long, b long, ok boolean"))
@@ -366,13 +359,12 @@ class _Search:
         self.verify(pairs)
         label = self.labels()
         rows = rows.filter("n > 2")
-        cells = self.cells(rows, label, WIDE).join(sketch, "node")
-        found = self.spread(cells).mapInArrow(partial(_closest, bound=self.bound), "a long, b long")
-        if self.verify(found.distinct().join(self.checked, ["a", "b"], "left_anti")):
+        wide = self.cells(rows, label, WIDE).join(sketch, "node")
+        probed = self.scratch.write(self.spread(wide).mapInArrow(partial(_probe, bound=self.bound), "bh long, node long, other long"))
+        pair = probed.filter("other IS NOT NULL").select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
+        if self.verify(pair.distinct().join(self.checked, ["a", "b"], "left_anti")):
             label = self.labels()
-            cells = self.cells(rows, label, WIDE).join(sketch, "node")
-        alive = self.scratch.write(self.spread(cells).mapInArrow(partial(_alive, bound=self.bound), "bh long, node long").distinct())
-        cells = self.cells(rows.join(alive, ["bh", "node"], "left_semi"), label, BLOCK)
+        cells = self.cells(rows.join(probed.select("bh", "node"), ["bh", "node"], "left_semi"), label, BLOCK)
         text = self.texts.select(F.col("doc_id").alias("node"), "text").join(
             cells.select("node").distinct(), "node", "left_semi"
         )
