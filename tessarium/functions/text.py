@@ -18,6 +18,19 @@ def tokens(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)), F.lower)
 
 
+def term_counts(words: Column) -> Column:
+    """The distinct words of an array with their counts (term, tf), inside the row: runs of the sorted array."""
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.get(F.transform(F.array(ends), lambda e: F.transform(e, lambda i, k: F.struct(F.get(s, i - 1).alias("term"), (i - F.when(k > 0, F.get(e, k - 1)).otherwise(0)).alias("tf")))), F.lit(0))
+
+    none = F.expr("CAST(array() AS array<struct<term:string,tf:int>>)")
+    # bound to a lambda variable, so that the words are found and sorted once
+    return F.get(F.transform(F.array(F.array_sort(words)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none)), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,12 +81,20 @@ def near_pairs(docs: DataFrame, k: int = 5, threshold: float = 0.9) -> DataFrame
         .withColumn("r", F.row_number().over(rank))
         .filter(F.col("r") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1)
         .filter("df > 1")
-        .select("c", "n", "g")
+        .select("c", "n", "r", "g")
+    )
+    # lengths of a pair differ by the threshold at most, so only equal or neighbouring length classes meet
+    size = F.floor(F.log(F.col("n")) / F.lit(-math.log(threshold)) + 1e-9)
+    prefix = prefix.withColumn("z", size)
+    left = prefix.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("r").alias("ra"), "g", "z")
+    right = prefix.select(
+        F.col("c").alias("b"), F.col("n").alias("nb"), F.col("r").alias("rb"), "g", F.explode(F.array(F.col("z") - 1, F.col("z"), F.col("z") + 1)).alias("z")
     )
-    left = prefix.select(F.col("c").alias("a"), F.col("n").alias("na"), "g")
-    right = prefix.select(F.col("c").alias("b"), F.col("n").alias("nb"), "g")
     close = F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9
-    cand = left.join(right, "g").filter(F.col("a") < F.col("b")).filter(close).select("a", "b").distinct()
+    # what may follow the shared shingle in both must suffice
+    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9)
+    enough = F.least("ra", "rb") + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb")) >= least
+    cand = left.join(right, ["g", "z"]).filter(F.col("a") < F.col("b")).filter(close & enough).select("a", "b").distinct()
     both = (
         cand.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
         .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
@@ -142,6 +152,15 @@ def greedy_resolve(classes: DataFrame, pairs: DataFrame, folder: str) -> DataFra
     return classes.join(named, "class_id", "left").select("doc_id", F.coalesce("first", own).alias("duplicate_of"))
 
 
+def near_firsts(new: DataFrame, accepted: DataFrame | None, folder: str, threshold: float = 0.9) -> DataFrame:
+    """The rows of new (doc_id, text) that are near no accepted text and no accepted earlier row of their own."""
+    turn = lambda rows, n: rows.select(F.struct(F.lit(n).alias("turn"), F.col("doc_id").alias("id")).alias("doc_id"), "text")
+    both = turn(new, 1) if accepted is None else turn(accepted, 0).unionByName(turn(new, 1))
+    named = greedy_resolve(text_classes(both), near_pairs(both, threshold=threshold), folder)
+    fine = named.filter("duplicate_of IS NULL AND doc_id.turn = 1").select(F.col("doc_id.id").alias("doc_id"))
+    return new.join(fine, "doc_id", "left_semi")
+
+
 def merge_index(index: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
     """Last write wins for each key."""
     last = Window.partitionBy(key).orderBy(F.desc(order))

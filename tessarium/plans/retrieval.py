@@ -67,7 +67,7 @@ def bm25_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_POST} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM p GROUP BY term",
 )
 def bm25_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.postings(records(spark, sf_dir)).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return op.term_statistics(records(spark, sf_dir))
 
 
 @query(
@@ -76,17 +76,25 @@ def bm25_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT qid, rank, record_id, score, matched_terms FROM r WHERE rank <= 5""",
 )
 def facet_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = records(spark, sf_dir)
-    asked = questions(spark, sf_dir)
-    facets = {"topics": F.array("source"), "languages": F.array("lang")}
-    wanted = {"topics": F.array(*map(F.lit, ("src1", "src2", "src3"))), "languages": F.array(F.lit("en"))}
-    # the facets are the same for every question here, so they filter records once
-    pool = recs.filter(op.facet_pass(facets, wanted)).select("record_id")
-    allowed = asked.select("qid").crossJoin(pool)
-    out = op.top_k(recs, asked, k=5, allowed=allowed)
+    # the questions' facets: an empty one passes, of the others each must overlap the record's
+    recs = records(spark, sf_dir).select("record_id", "text", F.array("source").alias("topics"), F.array("lang").alias("languages"))
+    asked = questions(spark, sf_dir).select(
+        "qid", "text", F.array(*map(F.lit, ("src1", "src2", "src3"))).alias("topics"), F.array(F.lit("en")).alias("languages")
+    )
+    out = op.top_k(recs, asked, k=5, facets=("topics", "languages"))
     return out.withColumn("matched_terms", F.array_join("matched_terms", " "))
 
 
+@query(
+    "evidence_service",
+    f"""WITH {_SCORED.replace('{where}', '')}, c AS (SELECT qid, count(*) AS n, min(record_id) FILTER (rank = 1) AS best FROM r WHERE rank <= 4 GROUP BY qid)
+    SELECT item_id AS qid, CAST(coalesce(n, 0) AS BIGINT) AS n, best, n IS NOT NULL AS found FROM benchmark LEFT JOIN c ON c.qid = item_id""",
+)
+def evidence_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op.retrieve_evidence(records(spark, sf_dir), questions(spark, sf_dir), k=4)
+    return out.select("qid", F.size("evidence").cast("long").alias("n"), F.get("evidence", F.lit(0))["record_id"].alias("best"), "found")
+
+
 @query(
     "tokenize_stats",
     f"WITH t AS (SELECT doc_id, {TOKENS_SQL.format('text')} AS w FROM documents) "
