@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
-from ..functions.text import sentences
+from ..functions.text import sentences, term_counts
 
 
 def any_of(text: Column, patterns: Sequence[str]) -> Column:
@@ -33,41 +34,118 @@ def candidates(segments: DataFrame, kinds: Mapping[str, Sequence[str]] = KINDS)
 
 
 def spans(segments: DataFrame, weights: Mapping[str, float], before: int = 50, after: int = 100) -> DataFrame:
-    """Every match of weighted patterns: segment_id, keyword, weight, position, window.
+    """Every match of weighted patterns: segment_id, keyword, weight, position, window; one scan for all patterns.
 
-    Splitting at the matches gives their positions: the lengths of what stands before each.
+    Splitting at the matches gives their positions: a running sum of what stands before each.
     """
     low = F.lower("text")
-    parts = []
-    for pattern, weight in weights.items():
-        hits = F.regexp_extract_all(low, F.lit(pattern), F.lit(0))
-        rest = F.split(low, pattern)
-        parts.append(
-            segments.select("segment_id", "text", F.lit(float(weight)).alias("weight"), hits.alias("hits"), rest.alias("rest")).filter(
-                F.size("hits") > 0
-            )
+    found = F.array(
+        *(
+            F.struct(F.lit(float(w)).alias("weight"), F.regexp_extract_all(low, F.lit(p), F.lit(0)).alias("hits"), F.split(low, p).alias("rest"))
+            for p, w in weights.items()
         )
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    place = F.aggregate(F.slice("rest", 1, F.col("k") + 1), F.lit(0), lambda s, x: s + F.length(x)) + F.aggregate(
-        F.when(F.col("k") > 0, F.slice("hits", F.lit(1), F.col("k"))).otherwise(F.expr("CAST(array() AS array<string>)")),
-        F.lit(0),
-        lambda s, x: s + F.length(x),
     )
-    out = rows.select("segment_id", "text", "weight", "hits", "rest", F.posexplode("hits").alias("k", "keyword")).withColumn("position", place)
-    start = F.greatest(F.lit(0), F.col("position") - before)
+    rows = segments.select("segment_id", "text", F.explode(F.filter(found, lambda x: F.size(x["hits"]) > 0)).alias("m"))
+    start = F.expr("named_struct('at', 0, 'done', CAST(array() AS array<struct<keyword:string,position:int>>))")
+
+    def step(s: Column, x: Column) -> Column:
+        at = s["at"] + F.length(x["before"])
+        return F.struct(
+            (at + F.length(x["hit"])).alias("at"), F.concat(s["done"], F.array(F.struct(x["hit"].alias("keyword"), at.alias("position")))).alias("done")
+        )
+
+    pairs = F.zip_with(F.slice("m.rest", F.lit(1), F.size("m.hits")), "m.hits", lambda r, h: F.struct(r.alias("before"), h.alias("hit")))
+    placed = F.inline(F.aggregate(pairs, start, step, lambda s: s["done"]))
+    out = rows.select("segment_id", "text", F.col("m.weight").alias("weight"), placed)
+    first = F.greatest(F.lit(0), F.col("position") - before)
     end = F.col("position") + F.length("keyword") + after
     return out.select(
-        "segment_id", "keyword", "weight", "position", F.trim(F.substring(F.col("text"), start + 1, end - start)).alias("window")
+        "segment_id", "keyword", "weight", "position", F.trim(F.substring(F.col("text"), first + 1, end - first)).alias("window")
     )
 
 
-def argument_claims(docs: DataFrame) -> DataFrame:
-    """doc_id, claim, justification of sentences that split in two at 'because'."""
+def evidence_counts(segments: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
+    """segment_id and, by name, how often each pattern occurs in the lower-cased text."""
+    low = F.lower("text")
+    return segments.select("segment_id", *(F.regexp_count(low, F.lit(p)).cast("long").alias(name) for name, p in patterns.items()))
+
+
+def stakeholders(segments: DataFrame, pattern: str = L.ORGANISATION) -> DataFrame:
+    """segment_id, mention: the first name in a segment that the pattern's first group matches, in its own case."""
+    return segments.select("segment_id", F.regexp_extract("text", pattern, 1).alias("mention")).filter("mention <> ''")
+
+
+def argument_claims(docs: DataFrame, split: str = L.REASONS[0], words: Sequence[str] = L.REASONS) -> DataFrame:
+    """doc_id, claim, justification: sentences with a word of reason that the splitting word cuts in two."""
     s = docs.select("doc_id", F.explode(sentences(F.col("text"))).alias("s"))
-    parts = F.split("s", "because")
-    return s.filter(F.size(parts) == 2).select("doc_id", F.trim(parts[0]).alias("claim"), F.trim(parts[1]).alias("justification"))
+    low = F.lower("s")
+    with_reason = F.lit(False)
+    for w in words:
+        with_reason = with_reason | F.contains(low, F.lit(w))
+    parts = F.split("s", split)
+    return s.filter(with_reason & (F.size(parts) == 2)).select("doc_id", F.trim(parts[0]).alias("claim"), F.trim(parts[1]).alias("justification"))
+
+
+def modal_positions(docs: DataFrame, words: Sequence[str] = L.MODALS, confidence: float = 0.85) -> DataFrame:
+    """doc_id, ordinal, position, confidence: sentences that hold a word, as part of another or not."""
+    rows = docs.select("doc_id", F.posexplode(sentences(F.col("text"))).alias("ordinal", "position"))
+    low, hit = F.lower("position"), F.lit(False)
+    for w in words:
+        hit = hit | F.contains(low, F.lit(w))
+    return rows.filter(hit).withColumn("confidence", F.lit(confidence))
+
+
+def is_counterargument(main: Column, counter: Column, negations: Sequence[str] = L.NEGATIONS, oppositions: Sequence[str] = L.OPPOSITIONS) -> Column:
+    """A word of negation in the counter, or one of opposition in the main text."""
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    of = lambda some: F.array(*map(F.lit, some))
+    return F.arrays_overlap(words(counter), of(negations)) | F.arrays_overlap(words(main), of(oppositions))
+
+
+def record_errors() -> Column:
+    """What is wrong with a candidate record: missing text, or a confidence outside 0 to 1."""
+    return F.array_compact(
+        F.array(
+            F.when(F.coalesce("text", F.lit("")) == "", "text is required"),
+            F.when((F.col("confidence") < 0) | (F.col("confidence") > 1), "confidence must be between 0 and 1"),
+        )
+    )
+
+
+def weighed(text: Column) -> Column:
+    """The distinct words of two letters and more with their counts."""
+    return term_counts(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)))
+
+
+def similarity(left: str, right: str) -> Column:
+    """The TF-IDF cosine of two columns of weighed words, each pair being the corpus of its own idf; inside the row."""
+    alone = math.log(1.5) + 1  # the idf of a word of one of the two; that of a word of both is 1
+
+    def cosine(z: Column) -> Column:
+        dot = F.aggregate(z["a"], F.lit(0.0), lambda s, x: s + x["tf"] * F.coalesce(F.try_element_at(z["m"], x["term"]), F.lit(0)))
+        square = lambda x, both: F.pow(x["tf"] * F.when(both, 1.0).otherwise(alone), F.lit(2.0))
+        one = F.aggregate(z["a"], F.lit(0.0), lambda s, x: s + square(x, F.map_contains_key(z["m"], x["term"])))
+        two = F.aggregate(z["b"], F.lit(0.0), lambda s, x: s + square(x, F.array_contains(z["own"], x["term"])))
+        return F.coalesce(dot / F.nullif(F.sqrt(one) * F.sqrt(two), F.lit(0.0)), F.lit(0.0))
+
+    terms = lambda c: F.transform(c, lambda x: x["term"])
+    counts = F.map_from_arrays(terms(right), F.transform(right, lambda x: x["tf"]))
+    # bound to a lambda variable, so that the look-ups are built once a pair
+    whole = F.struct(F.col(left).alias("a"), F.col(right).alias("b"), counts.alias("m"), terms(left).alias("own"))
+    return F.get(F.transform(F.array(whole), cosine), F.lit(0))
+
+
+def link_evidence(claims: DataFrame, evidence: DataFrame, group: str, top: int = 3, least: float = 0.0) -> DataFrame:
+    """claim_id, rank, evidence_id, similarity: the top pieces of evidence of each claim's group, above the least similarity.
+
+    claims (claim_id, group, claim) meet evidence (evidence_id, group, text) of their own group only.
+    """
+    left = claims.select("claim_id", group, weighed(F.col("claim")).alias("_a"))
+    right = evidence.select("evidence_id", group, weighed(F.col("text")).alias("_b"))
+    scored = left.join(right, group).filter("claim_id <> evidence_id").select("claim_id", "evidence_id", F.round(similarity("_a", "_b"), 6).alias("similarity"))
+    best = Window.partitionBy("claim_id").orderBy(F.desc("similarity"), "evidence_id")
+    ranked = scored.withColumn("rank", F.row_number().over(best)).filter((F.col("rank") <= top) & (F.col("similarity") > least))
+    return ranked.select("claim_id", "rank", "evidence_id", "similarity")
 
 
 def temporal_positions(docs: DataFrame, markers: Sequence[str] = L.TEMPORAL) -> DataFrame:
@@ -126,41 +204,59 @@ def shared_positions(perspectives: DataFrame) -> DataFrame:
     return keyed.filter("position <> ''").groupBy("question_id", "position").agg(F.count("*").alias("n_groups")).filter("n_groups >= 2")
 
 
+#: Said where positions differ, where groups are missing, and where nothing was found.
+DIFFER = "Stakeholder groups hold different positions; they are listed, not merged."
+MISSING = "No perspective is given for: "
+NOTHING = "No evidence was retrieved; nothing can be concluded."
+
+
 def deliberate(questions: DataFrame, perspectives: DataFrame) -> DataFrame:
-    """One row a question: represented and missing groups, agreements, disagreement, evidence ids.
+    """One row a question: represented and missing groups, agreements, disagreements, evidence ids, constraints, what is unresolved.
 
-    Missing groups stay missing and silence is no agreement.
+    Missing groups stay missing and silence is no agreement. Perspectives may bring `constraints` (an array); a question
+    is unresolved in each required group that is missing and, where positions differ, in their difference.
     """
-    by = perspectives.groupBy("question_id").agg(
+    held = perspectives if "constraints" in perspectives.columns else perspectives.withColumn("constraints", F.expr("CAST(array() AS array<string>)"))
+    by = held.groupBy("question_id").agg(
         F.array_sort(F.collect_set("stakeholder_group")).alias("represented"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_record_ids")))).alias("evidence_record_ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("constraints")))).alias("constraints"),
         F.countDistinct(F.nullif(position_key(F.col("position")), F.lit(""))).alias("n_positions"),
     )
     agreed = shared_positions(perspectives).groupBy("question_id").agg(F.array_sort(F.collect_list("position")).alias("agreements"))
     none = F.expr("CAST(array() AS array<string>)")
     out = questions.join(by, "question_id", "left").join(agreed, "question_id", "left")
     represented = F.coalesce("represented", none)
+    missing = F.array_sort(F.array_except("required_stakeholder_groups", represented))
+    differ = F.coalesce("n_positions", F.lit(0)) > 1
+    said = F.when(differ, F.array(F.lit(DIFFER))).otherwise(none)
     return out.select(
         "question_id",
         represented.alias("represented"),
-        F.array_sort(F.array_except("required_stakeholder_groups", represented)).alias("missing"),
+        missing.alias("missing"),
         F.coalesce("agreements", none).alias("agreements"),
-        (F.coalesce("n_positions", F.lit(0)) > 1).alias("disagreement"),
+        differ.alias("disagreement"),
+        said.alias("disagreements"),
         F.coalesce("evidence_record_ids", none).alias("evidence_record_ids"),
+        F.coalesce("constraints", none).alias("constraints"),
+        F.concat(F.transform(missing, lambda g: F.concat(F.lit("perspective missing: "), g)), said).alias("unresolved"),
     )
 
 
 def perspectives_from_evidence(evidence: DataFrame, shown: int = 3, cut: int = 500) -> DataFrame:
     """One perspective a question and group, from the first snippets of the group's evidence (question_id,
     stakeholder_group, rank, record_id, snippet)."""
-    w = Window.partitionBy("question_id", "stakeholder_group").orderBy("rank", "record_id")
-    rows = evidence.withColumn("_n", F.row_number().over(w))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_n") <= shown, F.struct("_n", "snippet")))), lambda x: x["snippet"]), "; ")
-    return rows.groupBy("question_id", "stakeholder_group").agg(
-        F.substring(text, 1, cut).alias("position"),
+    keys = ["question_id", "stakeholder_group"]
+    first = Window.partitionBy(*keys).orderBy("rank", "record_id")
+    # the window is cut to `shown` rows a group before it moves any
+    heads = evidence.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= shown)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "snippet"))), lambda x: x["snippet"]), "; ")
+    heads = heads.groupBy(*keys).agg(F.substring(text, 1, cut).alias("position"))
+    counts = evidence.groupBy(*keys).agg(
         F.array_sort(F.collect_set("record_id")).alias("evidence_record_ids"),
         F.least(F.lit(0.8), F.lit(0.4) + F.lit(0.1) * F.count("*")).alias("confidence"),
     )
+    return heads.join(counts, keys).select(*keys, "position", "evidence_record_ids", "confidence")
 
 
 def perspective_errors() -> Column:
@@ -210,8 +306,9 @@ def extractive(claims: DataFrame, snippets: DataFrame, min_confidence: float = 0
 
     Snippets (claim_id, k, text, confidence) below the least confidence count only where a claim has no others.
     """
-    fine = F.max((F.col("confidence") >= min_confidence).cast("int")).over(Window.partitionBy("claim_id"))
-    kept = snippets.withColumn("_fine", fine).filter((F.col("_fine") == 0) | (F.col("confidence") >= min_confidence))
+    good = F.col("confidence") >= min_confidence
+    none = snippets.groupBy("claim_id").agg(F.max(good.cast("int")).alias("_good")).filter("_good = 0").select("claim_id")
+    kept = snippets.filter(good).unionByName(snippets.join(none, "claim_id", "left_semi"))
     s = kept.select("claim_id", "k", F.posexplode(sentences(F.col("text"))).alias("j", "sentence"))
     words = claims.select("claim_id", word_set(F.col("claim")).alias("cw"))
     shared = F.size(F.array_intersect("cw", word_set(F.col("sentence"))))

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import deliberation as op
-from ..operators.retrieval import top_k
+from ..operators import engine
+from ..operators.plugins import Echo
 from ..sources.readers import parquet
 from .corpus import _SENT, docs
 from .registry import query
+from .retrieval import _SCORED
 
 KINDS = {"position": (r"\bthat\b", r"\bwith\b"), "argument": (r"\bfrom\b",), "counterargument": (r"\bnot\b", r"\bno\b"), "evidence": (r"\bby the\b",)}
 WEIGHTS = {r"\bfrom\b": 0.9, r"\bwith\b": 0.85, r"\bfor the\b": 0.8}
@@ -48,8 +50,8 @@ def arg_spans(spark, sf_dir):
     r"SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '\bfrom\b')) AS BIGINT) AS n_from, CAST(len(regexp_extract_all(lower(text), '\bby the\b')) AS BIGINT) AS n_by FROM documents",
 )
 def ev_counts(spark, sf_dir):
-    n = lambda p: F.regexp_count(F.lower("text"), F.lit(p)).cast("long")
-    return docs(spark, sf_dir).select("doc_id", n(r"\bfrom\b").alias("n_from"), n(r"\bby the\b").alias("n_by"))
+    segments = docs(spark, sf_dir).select(F.col("doc_id").alias("segment_id"), "text")
+    return op.evidence_counts(segments, {"n_from": r"\bfrom\b", "n_by": r"\bby the\b"}).withColumnRenamed("segment_id", "doc_id")
 
 
 @query(
@@ -58,8 +60,8 @@ def ev_counts(spark, sf_dir):
     WHERE regexp_matches(text, '\b([A-Z][a-z]+ (?:the|of|and))\b')""",
 )
 def stakeholders_regex(spark, sf_dir):
-    found = F.regexp_extract("text", r"\b([A-Z][a-z]+ (?:the|of|and))\b", 1)
-    return docs(spark, sf_dir).select("doc_id", found.alias("mention")).filter("mention <> ''")
+    segments = docs(spark, sf_dir).select(F.col("doc_id").alias("segment_id"), "text")
+    return op.stakeholders(segments, r"\b([A-Z][a-z]+ (?:the|of|and))\b").withColumnRenamed("segment_id", "doc_id")
 
 
 _SENTENCES = f"s0 AS (SELECT doc_id, {_SENT} AS v FROM documents), s AS (SELECT doc_id, unnest(v) AS s, generate_subscripts(v, 1) - 1 AS ordinal FROM s0)"
@@ -70,11 +72,7 @@ _SENTENCES = f"s0 AS (SELECT doc_id, {_SENT} AS v FROM documents), s AS (SELECT
     f"WITH {_SENTENCES} SELECT doc_id, trim(string_split(s, ' that ')[1]) AS claim, trim(string_split(s, ' that ')[2]) AS justification FROM s WHERE len(string_split(s, ' that ')) = 2",
 )
 def argument_claims(spark, sf_dir):
-    from ..functions.text import sentences
-
-    s = docs(spark, sf_dir).select("doc_id", F.explode(sentences(F.col("text"))).alias("s"))
-    parts = F.split("s", " that ")
-    return s.filter(F.size(parts) == 2).select("doc_id", F.trim(parts[0]).alias("claim"), F.trim(parts[1]).alias("justification"))
+    return op.argument_claims(docs(spark, sf_dir), " that ", (" that ",))
 
 
 @query(
@@ -82,11 +80,7 @@ def argument_claims(spark, sf_dir):
     f"WITH {_SENTENCES} SELECT doc_id, CAST(ordinal AS INTEGER) AS ordinal, s AS position FROM s WHERE contains(lower(s), 'this') OR contains(lower(s), 'from')",
 )
 def modal_positions(spark, sf_dir):
-    from ..functions.text import sentences
-
-    rows = docs(spark, sf_dir).select("doc_id", F.posexplode(sentences(F.col("text"))).alias("ordinal", "position"))
-    low = F.lower("position")
-    return rows.filter(F.contains(low, F.lit("this")) | F.contains(low, F.lit("from")))
+    return op.modal_positions(docs(spark, sf_dir), ("this", "from")).drop("confidence")
 
 
 @query(
@@ -103,17 +97,15 @@ def temporal_positions(spark, sf_dir):
 @query(
     "counterarg_pairs",
     r"""SELECT conv_id, a.turn AS main_turn, b.turn AS counter_turn FROM conversations a JOIN conversations b USING (conv_id)
-    WHERE b.turn = a.turn + 1 AND (regexp_matches(lower(b.text), '\b(no|not|but)\b') OR regexp_matches(lower(a.text), '\b(that|with)\b'))""",
+    WHERE b.turn = a.turn + 1 AND (len(list_intersect(regexp_extract_all(lower(b.text), '[\p{L}\p{N}_]+'), ['no', 'not', 'but'])) > 0
+      OR len(list_intersect(regexp_extract_all(lower(a.text), '[\p{L}\p{N}_]+'), ['that', 'with'])) > 0)""",
 )
 def counterarg_pairs(spark, sf_dir):
     c = parquet(spark, sf_dir, "conversations")
-    main = c.select("conv_id", F.col("turn").alias("main_turn"), F.lower("text").alias("m"))
-    reply = c.select("conv_id", F.col("turn").alias("counter_turn"), (F.col("turn") - 1).alias("main_turn"), F.lower("text").alias("r"))
-    return (
-        main.join(reply, ["conv_id", "main_turn"])
-        .filter(F.col("r").rlike(r"\b(no|not|but)\b") | F.col("m").rlike(r"\b(that|with)\b"))
-        .select("conv_id", "main_turn", "counter_turn")
-    )
+    main = c.select("conv_id", F.col("turn").alias("main_turn"), F.col("text").alias("m"))
+    reply = c.select("conv_id", F.col("turn").alias("counter_turn"), (F.col("turn") - 1).alias("main_turn"), F.col("text").alias("r"))
+    hit = op.is_counterargument(F.col("m"), F.col("r"), ("no", "not", "but"), ("that", "with"))
+    return main.join(reply, ["conv_id", "main_turn"]).filter(hit).select("conv_id", "main_turn", "counter_turn")
 
 
 _MENTIONS = "m AS (SELECT o_orderkey AS doc_id, ['ICANN', 'United Nations', 'Internet Society', 'the Internet Engineering Task Force', 'Asia Pacific', 'RIPE NCC', 'World Trade Organization'][1 + CAST((o_orderkey + k * 3) % 7 AS INT)] AS mention FROM orders, range(2) r(k) WHERE o_orderkey IS NOT NULL GROUP BY ALL)"
@@ -270,22 +262,42 @@ def recommend(spark, sf_dir):
     return parquet(spark, sf_dir, "benchmark").select("item_id", r["text"].alias("recommendation"), F.round(r["confidence"], 6).alias("confidence"))
 
 
-@query("analyze")
+_ANALYZE = f"""WITH {_SCORED.replace('{where}', '')}, c AS (SELECT r.qid, r.rank, r.record_id, d.source, substring(d.text, 1, 300) AS snippet, r.score
+      FROM r JOIN documents d ON d.doc_id = r.record_id WHERE rank <= 8),
+    h AS (SELECT *, row_number() OVER (PARTITION BY qid, source ORDER BY rank, record_id) AS n FROM c WHERE source IS NOT NULL),
+    v AS (SELECT qid, source, substring(string_agg(snippet, '; ' ORDER BY n) FILTER (n <= 3), 1, 500) AS position FROM h GROUP BY ALL),
+    w AS (SELECT qid, source, trim(regexp_replace(lower(position), '\\s+', ' ', 'g')) AS p FROM v WHERE trim(coalesce(position, '')) <> '' AND trim(source) <> ''),
+    bad AS (SELECT DISTINCT qid FROM v WHERE trim(coalesce(position, '')) = '' OR trim(source) = ''),
+    s1 AS (SELECT qid, p FROM w GROUP BY qid, p HAVING count(DISTINCT source) >= 2 AND p <> ''),
+    g AS (SELECT qid, list_sort(list(DISTINCT source)) AS represented, count(DISTINCT nullif(p, '')) AS k FROM w GROUP BY qid),
+    a AS (SELECT qid, count(*) AS n FROM s1 GROUP BY qid),
+    ev AS (SELECT qid, count(*) AS n, string_agg(format('[{{}}]  {{}}', record_id, snippet), chr(10) ORDER BY rank) AS lines FROM c GROUP BY qid),
+    o AS (SELECT b.item_id AS question_id, b.text, coalesce(g.represented, []) AS represented, coalesce(g.k, 0) > 1 AS differ, coalesce(a.n, 0) AS agreed,
+        coalesce(ev.n, 0) AS n, ev.lines, bad.qid IS NOT NULL AS wrong,
+        list_sort(list_filter(['government', 'src1', 'src2'], lambda x: NOT list_contains(coalesce(g.represented, []), x))) AS missing
+      FROM benchmark b LEFT JOIN g ON g.qid = b.item_id LEFT JOIN a ON a.qid = b.item_id LEFT JOIN ev ON ev.qid = b.item_id LEFT JOIN bad ON bad.qid = b.item_id)
+    SELECT question_id, array_to_string(represented, ',') AS represented, array_to_string(missing, ',') AS missing, CAST(agreed AS BIGINT) AS n_agreements,
+      differ AS disagreement, CAST(n AS BIGINT) AS n_evidence, CAST((n = 0)::INT + (len(missing) > 0)::INT + differ::INT + wrong::INT AS BIGINT) AS n_limitations,
+      CAST(len(missing) + differ::INT AS BIGINT) AS n_unresolved,
+      sha256(concat_ws(chr(10), 'Question: ' || text, 'Groups heard: ' || CASE WHEN len(represented) > 0 THEN array_to_string(represented, ', ') ELSE 'none' END, 'Rules:',
+        {', '.join("'" + f'{k}. {r}'.replace("'", "''") + "'" for k, r in enumerate(engine.RULES, 1))}, 'Evidence:', coalesce(lines, 'none'))) AS prompt_sha256,
+      '[no model] Question: ' || string_split(text, chr(10))[1] AS synthesis,
+      CASE WHEN n = 0 THEN 'needs_evidence' ELSE 'model_synthesis_complete' END AS status FROM o"""
+
+
+@query("analyze", _ANALYZE)
 def analyze(spark, sf_dir):
-    """Questions answered end to end: retrieval, perspectives by source, deliberation, status."""
+    """Questions answered end to end, with the stand-in provider: retrieval, perspectives by source, gates, deliberation, prompt, status."""
     recs = docs(spark, sf_dir).select(F.col("doc_id").alias("record_id"), "text", "source")
-    asked = parquet(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    ranked = top_k(recs, asked, k=8)
-    cited = ranked.join(recs.select("record_id", "source", F.substring("text", 1, 300).alias("snippet")), "record_id").select(
-        F.col("qid").alias("question_id"), F.col("source").alias("stakeholder_group"), "rank", "record_id", "snippet"
-    )
-    views = op.perspectives_from_evidence(cited).withColumn(
-        "evidence_record_ids", F.transform("evidence_record_ids", lambda x: x.cast("string"))
-    )
     wanted = F.array(*map(F.lit, ("src1", "src2", "government")))
-    out = op.deliberate(asked.select(F.col("qid").alias("question_id"), wanted.alias("required_stakeholder_groups")), views)
-    status = F.when(F.size("evidence_record_ids") > 0, "ready_for_model_synthesis").otherwise("needs_evidence")
-    return out.withColumn("status", status)
+    asked = parquet(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text", wanted.alias("required_stakeholder_groups"))
+    out = engine.analyze(recs, asked, group="source", make=Echo)
+    n = lambda c: F.size(c).cast("long")
+    return out.select(
+        "question_id", F.array_join("represented", ",").alias("represented"), F.array_join("missing", ",").alias("missing"), n("agreements").alias("n_agreements"),
+        "disagreement", n("evidence").alias("n_evidence"), n("limitations").alias("n_limitations"), n("unresolved").alias("n_unresolved"),
+        F.sha2(F.regexp_replace("prompt", r"\(score -?[0-9.]+\)", ""), 256).alias("prompt_sha256"), "synthesis", "status",
+    )
 
 
 @query(
@@ -317,17 +329,23 @@ _W = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{2,}}')"
 def evidence_link(spark, sf_dir):
     """TF-IDF cosine of each message and the next one: the pair is the corpus of its idf."""
     c = parquet(spark, sf_dir, "conversations")
-    words = lambda x: F.regexp_extract_all(F.lower(x), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
-    left = c.select("conv_id", "turn", words(F.col("text")).alias("p"))
-    right = c.select("conv_id", (F.col("turn") - 1).alias("turn"), words(F.col("text")).alias("q"))
-    pairs = left.join(right, ["conv_id", "turn"])
-    flat = pairs.select("conv_id", "turn", F.explode("p").alias("w"), F.lit(1).alias("f"), F.lit(0).alias("g")).unionByName(
-        pairs.select("conv_id", "turn", F.explode("q").alias("w"), F.lit(0).alias("f"), F.lit(1).alias("g"))
-    )
-    per = flat.groupBy("conv_id", "turn", "w").agg(F.sum("f").alias("f"), F.sum("g").alias("g"))
-    idf = F.when((F.col("f") > 0) & (F.col("g") > 0), 1.0).otherwise(F.log(F.lit(1.5)) + 1)
-    per = per.withColumn("i2", idf * idf)
-    norm = F.sqrt(F.sum(F.expr("f * f * i2"))) * F.sqrt(F.sum(F.expr("g * g * i2")))
-    return per.groupBy("conv_id", "turn").agg(
-        F.round(F.coalesce(F.sum(F.expr("f * g * i2")) / F.nullif(norm, F.lit(0.0)), F.lit(0.0)), 6).alias("similarity")
-    )
+    left = c.select("conv_id", "turn", op.weighed(F.col("text")).alias("p"))
+    right = c.select("conv_id", (F.col("turn") - 1).alias("turn"), op.weighed(F.col("text")).alias("q"))
+    return left.join(right, ["conv_id", "turn"]).select("conv_id", "turn", F.round(op.similarity("p", "q"), 6).alias("similarity"))
+
+
+@query(
+    "evidence_top",
+    f"""WITH m AS (SELECT conv_id, conv_id * 1000 + turn AS id, text FROM conversations),
+    x AS (SELECT a.id AS claim_id, b.id AS evidence_id, {_W.format('a.text')} AS p, {_W.format('b.text')} AS q FROM m a JOIN m b ON a.conv_id = b.conv_id AND a.id <> b.id),
+    t AS (SELECT claim_id, evidence_id, unnest(p) AS w, 1 AS f, 0 AS g FROM x UNION ALL SELECT claim_id, evidence_id, unnest(q), 0, 1 FROM x),
+    c AS (SELECT claim_id, evidence_id, w, sum(f) AS f, sum(g) AS g, CASE WHEN sum(f) > 0 AND sum(g) > 0 THEN 1.0 ELSE ln(3.0 / 2) + 1 END AS idf FROM t GROUP BY ALL),
+    s AS (SELECT claim_id, evidence_id, round(sum(f * g * idf * idf) / nullif(sqrt(sum(f * f * idf * idf)) * sqrt(sum(g * g * idf * idf)), 0), 6) AS similarity FROM c GROUP BY ALL),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY claim_id ORDER BY similarity DESC, evidence_id) AS INTEGER) AS rank FROM s WHERE similarity > 0)
+    SELECT claim_id, rank, evidence_id, similarity FROM r WHERE rank <= 2""",
+)
+def evidence_top(spark, sf_dir):
+    """Each message with the two most similar messages of its conversation."""
+    m = parquet(spark, sf_dir, "conversations").select("conv_id", (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    claims = m.select("conv_id", F.col("id").alias("claim_id"), F.col("text").alias("claim"))
+    return op.link_evidence(claims, m.select("conv_id", F.col("id").alias("evidence_id"), "text"), "conv_id", top=2)
