@@ -87,8 +87,8 @@ def examples(docs: DataFrame, tasks: tuple = TASKS, per_doc: int = 2, seed: str
 
 
 def example_id(messages: str, task: str) -> Column:
-    key = F.struct(content(messages, "assistant").alias("answer"), content(messages, "user").alias("question"), F.col(task).alias("task"))
-    return F.substring(F.sha2(F.to_json(key), 256), 1, 16)
+    key = F.concat_ws("\x01", content(messages, "assistant"), content(messages, "user"), F.col(task))
+    return F.substring(F.sha2(key, 256), 1, 16)
 
 
 def chat_text(messages: str) -> Column:
@@ -98,6 +98,11 @@ def chat_text(messages: str) -> Column:
     )
 
 
+def is_substantive(answer: Column, least: int = 100) -> Column:
+    """An answer with a source mark, or longer than `least` characters."""
+    return F.contains(answer, F.lit("[source")) | (F.length(answer) > least)
+
+
 def example_errors(messages: str, min_chars: int = 10) -> Column:
     roles = F.transform(messages, lambda m: m["role"])
     return F.array_compact(
@@ -110,6 +115,223 @@ def example_errors(messages: str, min_chars: int = 10) -> Column:
     )
 
 
+#: Tasks that need no document; tasks that do.
+POLICY_TASKS = ("policy_analysis", "stakeholder_analysis")
+DOCUMENT_TASKS = tuple(t for t, _ in TASKS)
+
+
+def _roles(messages: str) -> Column:
+    return F.transform(F.coalesce(messages, F.expr("CAST(array() AS array<struct<role:string,content:string>>)")), lambda m: m["role"])
+
+
+def _empty(c: str) -> Column:
+    return F.coalesce(F.size(c), F.lit(0)) <= 0
+
+
+def full_errors(tasks: tuple[str, ...] = DOCUMENT_TASKS, min_chars: int = 10) -> Column:
+    """Errors of an example with provenance: messages, roles, ids, hashes, evidence with quotes, a known task, lengths."""
+    quotes = F.filter("evidence", lambda e: F.coalesce(e["quote_or_excerpt"], F.lit("")) != "")
+    short = F.transform(
+        F.filter("messages", lambda m: F.length(F.coalesce(m["content"], F.lit(""))) < min_chars),
+        lambda m: F.concat(m["role"], F.lit(" message too short ("), F.length(F.coalesce(m["content"], F.lit(""))).cast("string"), F.lit(" chars)")),
+    )
+    fixed = F.array(
+        F.when(_empty("messages"), "missing messages"),
+        F.when(~_empty("messages") & ~F.array_contains(_roles("messages"), "user"), "missing user message"),
+        F.when(~_empty("messages") & ~F.array_contains(_roles("messages"), "assistant"), "missing assistant message"),
+        F.when(_empty("source_document_ids"), "missing source_document_ids"),
+        F.when(_empty("source_hashes"), "missing source_hashes"),
+        F.when(_empty("evidence"), "missing evidence"),
+        F.when(~F.coalesce(F.col("task_type").isin(*tasks), F.lit(False)), F.concat(F.lit("invalid task_type: "), F.coalesce("task_type", F.lit("None")))),
+    )
+    last = F.array(F.when(~_empty("evidence") & (F.size(quotes) == 0), "evidence exists but no valid entries"))
+    return F.array_compact(F.concat(fixed, F.coalesce(short, F.expr("CAST(array() AS array<string>)")), last))
+
+
+def perspective_example_errors() -> Column:
+    """Errors of an example with perspectives: two messages at least, both roles, evidence, perspectives."""
+    two = F.coalesce(F.size("messages"), F.lit(0)) >= 2
+    return F.array_compact(
+        F.array(
+            F.when(_empty("messages"), "messages is required").when(~two, "messages must be a list with at least 2 entries"),
+            F.when(two & ~F.array_contains(_roles("messages"), "user"), "messages must contain a 'user' role"),
+            F.when(two & ~F.array_contains(_roles("messages"), "assistant"), "messages must contain an 'assistant' role"),
+            F.when(_empty("evidence"), "evidence is required"),
+            F.when(_empty("stakeholder_perspectives"), "stakeholder_perspectives is required"),
+        )
+    )
+
+
+def task_errors(policy_tasks: tuple[str, ...] = POLICY_TASKS) -> Column:
+    """Errors of an example whose policy tasks need neither documents nor evidence; without messages nothing else counts."""
+    grounded = ~F.coalesce(F.col("task_type").isin(*policy_tasks), F.lit(False))
+    found = F.array_compact(
+        F.array(
+            F.when(~F.array_contains(_roles("messages"), "user"), "missing user"),
+            F.when(~F.array_contains(_roles("messages"), "assistant"), "missing assistant"),
+            F.when(grounded & _empty("source_document_ids"), "missing source_document_ids"),
+            F.when(grounded & _empty("evidence"), "missing evidence"),
+        )
+    )
+    return F.when(_empty("messages"), F.array(F.lit("missing messages"))).otherwise(found)
+
+
+def schema_error_count(document_tasks: tuple[str, ...] = DOCUMENT_TASKS) -> Column:
+    """How many faults the schema pass counts: a missing role, missing documents, each blank message; 1 without messages."""
+    roles = F.array_contains(_roles("messages"), "user") & F.array_contains(_roles("messages"), "assistant")
+    blank = F.size(F.filter("messages", lambda m: F.trim(F.coalesce(m["content"], F.lit(""))) == ""))
+    needs = F.coalesce(F.col("task_type").isin(*document_tasks), F.lit(False)) & _empty("source_document_ids")
+    return F.when(_empty("messages"), 1).otherwise((~roles).cast("int") + needs.cast("int") + blank)
+
+
+def with_duplicates(examples: DataFrame, errors: Column, order: str) -> DataFrame:
+    """Examples with their errors; of equal ones (messages and evidence) all but the first also count as duplicates."""
+    key = F.sha2(F.to_json(F.struct("messages", "evidence")), 256)
+    first = Window.partitionBy(key).orderBy(order)
+    again = F.when(F.row_number().over(first) > 1, F.array(F.lit("DUPLICATE"))).otherwise(F.expr("CAST(array() AS array<string>)"))
+    return examples.withColumn("errors", F.concat(errors, again))
+
+
+#: Our own short system text and questions of instruction examples over documents.
+INSTRUCTIONS = (
+    ("stakeholders", "Which stakeholders does the document '{}' name or imply?", "Stakeholders are to be taken from the text of '{}' alone. [document {}]"),
+    ("position", "Which policy position, if any, does the document '{}' take?", "A position counts where the text of '{}' states it. [document {}]"),
+)
+
+
+def instruction_examples(docs: DataFrame, least: int = 10) -> DataFrame:
+    """Two examples a document (document_id, title, source_url, text) with its evidence; none from fewer than `least` documents."""
+    enough = docs.limit(least).count() >= least
+    say = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    filled = lambda text, *values: F.format_string(text.replace("%", "%%").replace("{}", "%s"), *values)
+    title = F.coalesce(F.nullif(F.col("title"), F.lit("")), F.col("source_url"))
+    id_ = F.col("document_id").cast("string")
+    kinds = F.array(
+        *(
+            F.struct(
+                F.lit(kind).alias("kind"),
+                F.array(say("system", F.lit(SYSTEM)), say("user", filled(q, title)), say("assistant", filled(a, title, id_))).alias("messages"),
+            )
+            for kind, q, a in INSTRUCTIONS
+        )
+    )
+    evidence = F.array(F.struct(id_.alias("document_id"), F.col("source_url"), F.substring("text", 1, 500).alias("quote_or_excerpt")))
+    rows = docs.filter(F.lit(enough)).select("document_id", evidence.alias("evidence"), F.explode(kinds).alias("k"))
+    return rows.select("document_id", "k.kind", "k.messages", "evidence")
+
+
+def teacher_prompt(task: Column, title: Column, url: Column, text: Column, cut: int = 8000) -> Column:
+    """What a teacher model is asked: the task, the document's data, an excerpt, and the form of the answer."""
+    return F.array_join(
+        F.array(
+            F.concat(F.lit("Task: "), task),
+            F.concat(F.lit("Document: "), F.coalesce(title, F.lit("untitled")), F.lit(" ("), F.coalesce(url, F.lit("")), F.lit(")")),
+            F.lit("Excerpt:"),
+            F.substring(F.coalesce(text, F.lit("")), 1, cut),
+            F.lit('Answer with JSON: {"question", "answer", "reasoning", "evidence": [{"quote_or_excerpt", "relevance"}], "uncertainty", "skip"}.'),
+        ),
+        "\n",
+    )
+
+
+TEACHER = (
+    "struct<skip:boolean,question:string,answer:string,reasoning:string,uncertainty:string,confidence:string,"
+    "evidence:array<struct<quote_or_excerpt:string,relevance:string>>>"
+)
+
+
+def teacher_output(reply: Column) -> Column:
+    """The object of a reply: in a json fence, in any fence, or between its first and last brace; null where none parses."""
+    tries = [F.regexp_extract(reply, p, 1) for p in (r"(?s)```json(.*?)```", r"(?s)```(.*?)```", r"(?s)(\{.*\})")]
+    return F.coalesce(*(F.when(F.trim(t) != "", F.from_json(F.trim(t), TEACHER, {"mode": "PERMISSIVE"})) for t in tries))
+
+
+def accepted(replies: DataFrame) -> DataFrame:
+    """Replies (document_id, task_type, text, reply) with example and rejection: none parsed, skipped, or too short.
+
+    Evidence without a quote goes; without any left, the document's first 500 characters stand for it.
+    """
+    out = teacher_output(F.col("reply"))
+    rows = replies.withColumn("t", out)
+    question, answer = F.trim(F.coalesce("t.question", F.lit(""))), F.trim(F.coalesce("t.answer", F.lit("")))
+    why = (
+        F.when(F.trim(F.coalesce("reply", F.lit(""))) == "", "empty")
+        .when(F.col("t").isNull() | (F.col("t.question").isNull() & F.col("t.answer").isNull() & F.col("t.skip").isNull()), "not parsed")
+        .when(F.coalesce("t.skip", F.lit(False)), "skipped")
+        .when((F.length(question) < 10) | (F.length(answer) < 20), "too short")
+    )
+    quotes = F.filter(F.coalesce("t.evidence", F.expr("CAST(array() AS array<struct<quote_or_excerpt:string,relevance:string>>)")), lambda e: F.coalesce(e["quote_or_excerpt"], F.lit("")) != "")
+    cut = F.transform(quotes, lambda e: F.struct(F.substring(e["quote_or_excerpt"], 1, 500).alias("quote_or_excerpt"), F.substring(F.coalesce(e["relevance"], F.lit("")), 1, 300).alias("relevance")))
+    own = F.array(F.struct(F.substring("text", 1, 500).alias("quote_or_excerpt"), F.concat(F.lit("Generated from document for "), F.col("task_type")).alias("relevance")))
+    say = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    messages = F.array(say("system", F.lit(SYSTEM)), say("user", question), say("assistant", answer))
+    example = F.struct(messages.alias("messages"), F.when(F.size(cut) > 0, cut).otherwise(own).alias("evidence"), F.trim(F.coalesce("t.reasoning", F.lit(""))).alias("reasoning"), F.coalesce("t.uncertainty", F.lit("")).alias("uncertainty"))
+    return rows.select("document_id", "task_type", F.when(why.isNull(), example).alias("example"), why.alias("rejected"))
+
+
+def dispatch(template: DataFrame, taught: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Examples (document_id, task_type, messages): a teacher's where it was asked, else the template's; and counts of rejections.
+
+    A document and task that a teacher was asked for and failed gives no example.
+    """
+    keys = ["document_id", "task_type"]
+    good = taught.filter("rejected IS NULL").select(*keys, F.col("example.messages").alias("messages"))
+    rest = template.select(*keys, "messages").join(taught.select(*keys).distinct(), keys, "left_anti")
+    return good.unionByName(rest), taught.filter("rejected IS NOT NULL").groupBy("rejected").count()
+
+
+#: Our own questions of the evaluation set.
+QUESTIONS = (
+    "Which documents discuss who decides?", "What evidence is given for costs?", "Which groups are not heard?", "What do the sources disagree on?",
+    "Which statements lack a source?", "What changed over time?", "Which duties do the sources name?", "What is recommended, and by whom?",
+    "Which risks are named?", "What cannot be concluded?",
+)
+
+
+def evaluation_set(docs: DataFrame, shown: int = 3) -> DataFrame:
+    """question_id, question, titles, n_documents: fixed questions beside the corpus' first titles and its size."""
+    asked = docs.sparkSession.createDataFrame(list(enumerate(QUESTIONS)), "question_id int, question string")
+    # one row: at most `shown` titles
+    titles = docs.filter("title <> ''").select("title").distinct().orderBy("title").limit(shown).agg(F.array_sort(F.collect_list("title")).alias("titles"))
+    return asked.crossJoin(F.broadcast(titles.crossJoin(docs.agg(F.count("*").alias("n_documents")))))
+
+
+def append_fixed(examples: DataFrame, fixed: DataFrame) -> DataFrame:
+    """Examples and literal ones; an example whose id is there already is not added again."""
+    new = fixed.join(examples.select("example_id"), "example_id", "left_anti").dropDuplicates(["example_id"])
+    return examples.unionByName(new, allowMissingColumns=True)
+
+
+def distributions(examples: DataFrame, docs: DataFrame) -> DataFrame:
+    """kind, value, n: examples by task and language; their documents by source and year of publication (first matching one).
+
+    examples (task_type, language, source_document_ids), docs (document_id, source, published_at).
+    """
+    first = Window.partitionBy("document_id").orderBy("source", "published_at")
+    known = docs.select("document_id", "source", "published_at").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    cited = examples.select(F.explode("source_document_ids").alias("document_id")).join(known, "document_id")
+    year = F.nullif(F.regexp_extract(F.col("published_at").cast("string"), r"^(\d{4})", 1), F.lit(""))
+    pair = lambda kind, c: F.struct(F.lit(kind).alias("kind"), c.alias("value"))
+    own = examples.select(F.explode(F.array(pair("task", F.coalesce("task_type", F.lit("?"))), pair("language", F.coalesce("language", F.lit("und"))))).alias("p"))
+    of_docs = cited.select(F.explode(F.array(pair("source", F.coalesce("source", F.lit("unknown"))), pair("year", year))).alias("p"))
+    rows = own.unionByName(of_docs).select("p.*").filter("value IS NOT NULL")
+    return rows.groupBy("kind", "value").agg(F.count("*").alias("n"))
+
+
+def periods(years: DataFrame) -> DataFrame:
+    """period, n of years (value, n): decades from 1990 on, the last one open."""
+    y = F.col("value").cast("int")
+    name = F.when(y >= 2020, "2020-2026").when(y >= 2010, "2010-2019").when(y >= 2000, "2000-2009").when(y >= 1990, "1990-1999")
+    return years.groupBy(name.alias("period")).agg(F.sum("n").alias("n")).filter("period IS NOT NULL")
+
+
+def source_coverage(corpus: DataFrame, examples: DataFrame) -> DataFrame:
+    """source, n_corpus, n_examples, missing: documents by source beside the examples that cite them."""
+    cited = examples.select(F.explode("source_document_ids").alias("document_id")).distinct()
+    per = corpus.join(cited.withColumn("_c", F.lit(1)), "document_id", "left").groupBy("source")
+    return per.agg(F.count("*").alias("n_corpus"), F.count("_c").alias("n_examples")).withColumn("missing", F.col("n_examples") == 0)
+
+
 def audit(rows: DataFrame) -> DataFrame:
     """One row of counts, in one pass over examples with messages."""
     answer = F.lower(content("messages", "assistant"))
@@ -176,11 +398,18 @@ def compare_versions(pairs: DataFrame) -> DataFrame:
 
 
 def quality_means(rows: DataFrame) -> DataFrame:
+    """Means from 0 to 5 of what examples hold; columns that rows lack count as empty."""
     answer, question = F.lower(content("messages", "assistant")), F.lower(content("messages", "user"))
     terms = sum((F.contains(F.concat(question, answer), F.lit(w)).cast("int") for w in POLICY), F.lit(0))
     mean = lambda c, name: F.round(F.avg(F.least(F.lit(5), c)), 1).alias(name)
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) if c in rows.columns else F.lit(0)
+    n = size("evidence")
+    points = lambda good, some: F.when(good, some).otherwise(0)
     return rows.agg(
-        mean(F.when(has_any(answer, GROUNDED), 3).otherwise(0), "grounding"),
+        mean(points(has_any(answer, GROUNDED), 3) + points(n > 0, 2), "grounding"),
+        mean(F.when(n > 0, n * 2).otherwise(1), "evidence"),
         mean(terms, "policy"),
         mean(F.floor(F.length(answer) / 100), "specificity"),
+        mean(F.when(size("analysis") > 0, 3).otherwise(1), "reasoning"),
+        mean(points(size("source_document_ids") > 0, 3) + points(size("source_hashes") > 0, 2), "provenance"),
     )

@@ -221,7 +221,23 @@ def shingle_stats(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.size(T.char_shingles(F.col("text"))).cast("long").alias("n_shingles"))
 
 
-@query("segment_docs")
+_WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
+@query(
+    "segment_docs",
+    rf"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '((?:[^\n]*\n){{3}})', '\1' || chr(10), 'g'), '\n\s*\n'),
+      lambda x: trim(x, {_WS})), lambda x: x <> '') AS ps FROM documents),
+    it AS (SELECT doc_id, 0 AS i, '' AS buf, 0 AS pos, 0 AS ordinal, CAST(NULL AS VARCHAR) AS done, 0 AS start FROM d
+      UNION ALL
+      SELECT doc_id, i + 1, CASE WHEN length(nb) >= 1800 THEN '' ELSE nb END, CASE WHEN length(nb) >= 1800 THEN CAST(pos + length(nb) + 2 AS INT) ELSE pos END,
+        ordinal + CASE WHEN done IS NULL THEN 0 ELSE 1 END, CASE WHEN length(nb) >= 1800 THEN nb END, pos
+      FROM (SELECT it.*, CASE WHEN buf = '' THEN ps[i + 1] ELSE buf || chr(10) || chr(10) || ps[i + 1] END AS nb FROM it JOIN d USING (doc_id) WHERE i < len(ps))),
+    s AS (SELECT doc_id, ordinal, done AS text, start FROM it WHERE done IS NOT NULL
+      UNION ALL SELECT doc_id, ordinal + CASE WHEN done IS NULL THEN 0 ELSE 1 END, buf, pos FROM it JOIN d USING (doc_id) WHERE i = len(ps) AND buf <> '')
+    SELECT sha256(doc_id || chr(1) || ordinal) AS segment_id, doc_id, ordinal, text, start AS char_start, CAST(start + length(text) AS INT) AS char_end,
+      CAST(len(regexp_extract_all(text, '\S+')) AS BIGINT) AS word_count, greatest(1, CAST(ceil(len(regexp_extract_all(text, '\S+')) / 200.0) AS BIGINT)) AS reading_minutes FROM s""",
+)
 def segment_docs(spark, sf_dir):
     """Paragraph breaks are put in place of every third line end, since the table has none."""
     broken = F.regexp_replace("text", r"(?:[^\n]*\n){3}", "$0\n")
@@ -277,13 +293,13 @@ def resolve_dups(spark, sf_dir):
     return op.resolve_duplicates(docs(spark, sf_dir).select("doc_id", "text"))[1]
 
 
-@query(
-    "near_dup_pairs",
-    f"""WITH a AS (SELECT min(doc_id) AS d, any_value({_FLAT}) AS f FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)),
+_NEAR = f"""a AS (SELECT min(doc_id) AS d, any_value({_FLAT}) AS f FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)),
     {_SHING}, n AS (SELECT d, count(*) AS n FROM s GROUP BY d),
-    p AS (SELECT x.d AS a, y.d AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.d < y.d GROUP BY 1, 2)
-    SELECT a, b, round(i / (u.n + v.n - i), 6) AS jaccard FROM p JOIN n u ON u.d = a JOIN n v ON v.d = b WHERE i / (u.n + v.n - i) >= 0.9""",
-)
+    p AS (SELECT x.d AS a, y.d AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.d < y.d GROUP BY 1, 2),
+    e AS (SELECT a, b, round(i / (u.n + v.n - i), 6) AS jaccard FROM p JOIN n u ON u.d = a JOIN n v ON v.d = b WHERE i / (u.n + v.n - i) >= 0.9)"""
+
+
+@query("near_dup_pairs", f"WITH {_NEAR} SELECT a, b, jaccard FROM e")
 def near_dup_pairs(spark, sf_dir):
     return op.near_pairs(docs(spark, sf_dir)).withColumn("jaccard", F.round("jaccard", 6))
 
@@ -293,17 +309,31 @@ def near_dup_classes(spark, sf_dir):
     return op.text_classes(docs(spark, sf_dir))
 
 
-@query("near_dup_resolve")
+@query(
+    "near_dup_resolve",
+    f"""WITH RECURSIVE {_NEAR}, cl AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS class_id FROM documents WHERE text IS NOT NULL),
+    v AS (SELECT d, row_number() OVER (ORDER BY d) AS k FROM (SELECT a AS d FROM e UNION SELECT b FROM e)),
+    nb AS (SELECT v.k, v.d, coalesce(list(e.a) FILTER (e.a IS NOT NULL), []) AS before FROM v LEFT JOIN e ON e.b = v.d GROUP BY v.k, v.d),
+    acc AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS good
+      UNION ALL SELECT nb.k, CASE WHEN list_has_any(acc.good, nb.before) THEN acc.good ELSE list_append(acc.good, nb.d) END FROM acc JOIN nb ON nb.k = acc.k + 1),
+    g AS (SELECT arg_max(good, k) AS good FROM acc),
+    bad AS (SELECT e.b AS class_id, min(e.a) AS first FROM e, g WHERE list_contains(good, e.a) AND NOT list_contains(good, e.b) GROUP BY e.b)
+    SELECT doc_id, coalesce(first, CASE WHEN doc_id <> class_id THEN class_id END) AS duplicate_of FROM cl LEFT JOIN bad USING (class_id)""",
+)
 def near_dup_resolve(spark, sf_dir):
     rows = docs(spark, sf_dir)
     return op.greedy_resolve(op.text_classes(rows), op.near_pairs(rows), scratch_folder(spark, "near_dup_resolve"))
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own under the cluster's checkpoint folder; a temporary one where that is unset."""
+    """A folder of its own under the cluster's checkpoint folder; where that is unset, a temporary one in local mode only."""
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessarium-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tessarium-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, html, urls
 from ..operators.relational import classify_by_suffix
+from ..sources.discovery import discover
 from ..sources.readers import discovered_links, parquet, registry
 from .registry import query
 
@@ -135,6 +136,27 @@ def source_health(spark, sf_dir):
     )
 
 
+_TRIMMED = f"{_SCHEME} || '://' || {_NETLOC} || regexp_replace({_PATH}, '/+$', '') || regexp_extract(url, '^[^?#]*(.*)$', 1)"
+
+
+@query(
+    "discovery_chain",
+    f"""WITH p AS (SELECT url, min(page_id) AS page_id, max(html) AS html FROM pages GROUP BY url),
+    l AS (SELECT {_HOST} AS source_id, {_SCHEME} || '://' || {_NETLOC} AS root, unnest({_LINKS}) AS link FROM p WHERE length(html) >= 1000),
+    u AS (SELECT source_id, CASE WHEN starts_with(link, '//') THEN split_part(root, '//', 1) || link WHEN starts_with(link, '/') THEN root || link ELSE link END AS url FROM l),
+    d AS (SELECT source_id, count(DISTINCT {_TRIMMED}) AS n FROM u WHERE regexp_matches(lower(url), '^https?://[^/?#]') GROUP BY 1),
+    h AS (SELECT {_HOST} AS source_id, count(*) FILTER (length(html) >= 1000) AS good, count(*) FILTER (NOT coalesce(length(html) >= 1000, false)) AS bad FROM p GROUP BY 1)
+    SELECT h.source_id, CASE WHEN good > 0 THEN 'reachable' ELSE 'degraded' END AS status, good AS n_captured, bad AS n_failed, coalesce(n, 0) AS discovered FROM h LEFT JOIN d USING (source_id)""",
+)
+def discovery_chain(spark, sf_dir):
+    """Hosts as sources, their pages as what was captured (short ones failed): links, deduplication, health."""
+    p = pages(spark, sf_dir).groupBy("url").agg(F.min("page_id").cast("int").alias("ordinal"), F.max("html").alias("body"))
+    wanted = p.select(urls.host(F.col("url")).alias("source_id"), "ordinal", "url")
+    status = F.when(F.length("body") >= 1000, 200).otherwise(500)
+    captures = p.select("url", status.alias("http_status"), F.lit(True).alias("robots_allowed"), F.lit("text/html").alias("content_type"), "body")
+    return discover(wanted, captures)[1].select("source_id", "status", "n_captured", "n_failed", "discovered")
+
+
 @query(
     "provenance_score",
     """SELECT page_id, round((CASE WHEN url <> '' THEN 1 ELSE 0 END + CASE WHEN html IS NOT NULL THEN 1 ELSE 0 END + 0) / 3.0::DOUBLE, 4) AS score FROM pages""",

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import languages
+from ..operators.deliberation import record_errors
 from ..sources.readers import artifacts, parquet
+from ..sources.sinks import manifest, verify_manifest
 from ..streaming import streams as S
 from .corpus import docs, scratch_folder
 from .registry import query
@@ -41,9 +44,12 @@ def stream_sync(spark, sf_dir):
 
 @query("manifest_verify")
 def manifest_verify(spark, sf_dir):
-    """Files of a table folder as a release manifest, by content hash."""
-    found = artifacts(spark, f"{sf_dir}/region.parquet")
-    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "bytes", "sha256")
+    """All files of a table folder as a release manifest, by content hash, checked against the files read again."""
+    found = artifacts(spark, sf_dir).filter("path LIKE '%.parquet'")
+    listed = manifest(found)
+    wrong = verify_manifest(found, listed)
+    name = F.regexp_replace("path", r"^.*/([^/]+\.parquet)", "$1")
+    return listed.join(wrong, "path", "left").select(name.alias("name"), "bytes", "sha256", F.coalesce("problem", F.lit("")).alias("problem"))
 
 
 @query(
@@ -52,28 +58,21 @@ def manifest_verify(spark, sf_dir):
       CASE WHEN n_chars / 10000.0 > 1 THEN 'confidence must be between 0 and 1' END) AS errors FROM documents""",
 )
 def candidate_gate(spark, sf_dir):
-    confidence = F.col("n_chars") / 10000.0
-    errors = F.array_compact(
-        F.array(
-            F.when(F.coalesce("text", F.lit("")) == "", "text is required"),
-            F.when((confidence < 0) | (confidence > 1), "confidence must be between 0 and 1"),
-        )
-    )
-    return docs(spark, sf_dir).select("doc_id", F.array_join(errors, "; ").alias("errors"))
+    rows = docs(spark, sf_dir).withColumn("confidence", F.col("n_chars") / 10000.0)
+    return rows.select("doc_id", F.array_join(record_errors(), "; ").alias("errors"))
 
 
-@query("lang_profile")
+_LANG = r"""w AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}]+')) AS word FROM documents),
+    c AS (SELECT lang, word, count(*) AS n FROM w WHERE lang IS NOT NULL GROUP BY ALL),
+    k AS (SELECT DISTINCT word FROM (SELECT word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM c) WHERE r <= 300),
+    t AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
+    p AS (SELECT t.lang, k.word, ln((coalesce(c.n, 0) + 1) / (t.total + 1)) AS weight FROM k CROSS JOIN t LEFT JOIN c ON c.lang = t.lang AND c.word = k.word),
+    f AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
+    s AS (SELECT doc_id, p.lang, round(sum(tf * weight), 6) AS s FROM f JOIN p USING (word) GROUP BY ALL)"""
+
+
+@query("lang_profile", f"WITH {_LANG}, g AS (SELECT doc_id, arg_min(lang, (-s, lang)) AS guess FROM s GROUP BY doc_id) SELECT doc_id, lang, coalesce(guess, 'und') AS guess FROM documents LEFT JOIN g USING (doc_id)")
 def lang_profile(spark, sf_dir):
-    """The language whose frequent words a text holds most of; ties and none by order."""
-    #: A few frequent words of each language.
-    words = {"en": ("the", "of", "and", "to"), "de": ("der", "die", "und", "den"), "fr": ("les", "le", "des", "et"), "es": ("que", "los", "y", "el")}
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0))
-
-    def share(lang: str):
-        return F.struct(F.size(F.filter("t", lambda x: x.isin(*words[lang]))).alias("n"), F.lit(lang).alias("lang"))
-
-    score = [share(lang) for lang in words]
-    best = F.array_max(F.array(*score))
-    return docs(spark, sf_dir).select("doc_id", "lang", tokens.alias("t")).select(
-        "doc_id", "lang", F.when(best["n"] > 0, best["lang"]).otherwise("und").alias("guess")
-    )
+    """Each text's language by the profiles of all labelled texts; tests hold the guesses against the labels."""
+    rows = docs(spark, sf_dir).select("doc_id", "lang", "text")
+    return rows.select("doc_id", "lang").join(languages.detect(rows.select("doc_id", "text"), languages.profile(rows), "doc_id"), "doc_id")

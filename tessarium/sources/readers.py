@@ -43,6 +43,26 @@ def sft_jsonl(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def messages_only(examples: DataFrame) -> DataFrame:
+    """The messages of examples, with the role user and empty content where they lack one."""
+    fill = lambda m: F.struct(F.coalesce(m["role"], F.lit("user")).alias("role"), F.coalesce(m["content"], F.lit("")).alias("content"))
+    return examples.filter(F.size("messages") > 0).select(F.transform("messages", fill).alias("messages"))
+
+
+def document_meta(docs: DataFrame) -> DataFrame:
+    """document_id and its standard metadata, with defaults where they are missing or blank."""
+    or_else = lambda c, d: F.coalesce(F.nullif(F.trim(c), F.lit("")), d)
+    return docs.select(
+        "document_id",
+        or_else(F.col("metadata.title"), F.coalesce("source_url", F.lit("untitled"))).alias("title"),
+        or_else(F.col("metadata.language"), F.lit("und")).alias("language"),
+        F.col("metadata.published_at").alias("published_at"),
+        F.coalesce("source_url", "final_url", F.lit("")).alias("source_url"),
+        F.coalesce("source_id", F.lit("unknown")).alias("source_id"),
+        F.coalesce("artifact_sha256", F.lit("")).alias("source_hash"),
+    )
+
+
 def yaml_config(path: str) -> dict:
     """A configuration file; it must hold a mapping."""
     import yaml
