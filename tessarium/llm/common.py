@@ -7,7 +7,9 @@ import threading
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -122,5 +124,28 @@ def text_chunks(
             yield batch.slice(at, step)
 
 
+def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Rows with about `size` bytes of text each (one row at least)."""
+    held: list[pa.RecordBatch] = []
+    have = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = pc.binary_length(batch.column("text")).fill_null(0).to_numpy()
+        ends = np.cumsum(n)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = min(batch.num_rows, max(at + 1, int(np.searchsorted(ends, before + size - have, side="right"))))
+            held.append(batch.slice(at, to - at))
+            have += int(ends[to - 1]) - before
+            at = to
+            if have >= 0.9 * size:
+                yield pa.Table.from_batches(held)
+                held, have = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -36,14 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Numbers, Scratch, table, text_chunks
+from .common import LOWER, Numbers, Scratch, chunks, table
 
-STATES, ROUNDS, SETTLED, PIECE = 12, 3, 2e-3, 2048
+STATES, ROUNDS, SETTLED, PIECE = 12, 4, 1e-2, 2048
 EMITTED, CLASSES, KNOWN = 32_768, 1024, 1_000_000
 #: The start model's sample: at most so many texts, of at most so many tokens each, and so many tokens in all.
 SEED_TEXTS, SEED_LONGEST, SEED_TOKENS, SEED_ROUNDS, SEED = 2000, 20_000, 150_000, 40, 3
 #: Tokens whose texts, and tokens whose pieces, a task holds at a time.
-HELD, STEP = 1_000_000, 300_000
+HELD, STEP = 1_600_000, 800_000
 END_WORD = b"\n"  # no word holds white space
 _END = np.uint64(xxhash.xxh64_intdigest(END_WORD))
 _MARKS = b".,;:!?|\"'()[]-"
@@ -81,7 +81,7 @@ def _count(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.Recor
         total.clear()
         return pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls.astype(np.int32)), pa.array(n)], names=["h", "cls", "n"])
 
-    for batch in text_chunks(batches, 8 << 20):
+    for batch in chunks(batches, 8 << 20):
         texts = batch.column("text").to_pylist()
         found: Counter = Counter()
         for t in texts:
@@ -145,7 +145,7 @@ def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]
     lex: Lexicon = held.value
     uid = TaskContext.get().partitionId() << 40
     log_all = np.log10(lex.N + lex.V + 1.0)
-    for batch in text_chunks(batches):
+    for batch in chunks(batches, 6 << 20):
         chunk = Chunk(batch.column("text").to_pylist())
         symbol, n, hit = lex.look_up(chunk)
         base = np.where(hit, np.log10(n + 1.0) - log_all, -log_all)
@@ -163,8 +163,8 @@ def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(uid, uid + m)),
-                batch.column("doc_id"),
-                batch.column("held_out"),
+                batch.column("doc_id").combine_chunks(),
+                batch.column("held_out").combine_chunks(),
                 pa.array(chunk.n),
                 pa.array(sums((n > 0).astype(np.int64))),
                 pa.array(sums(base)),
@@ -272,21 +272,21 @@ class Hmm:
 
     def _pieces(self, flat, first, n, opens, before, after, starts, moves, emitted) -> float:
         """Adds what pieces (longest first) expect, given the vectors at their borders."""
-        s, steps, logs = len(self.start), int(n[0]), 0.0
+        s, steps = len(self.start), int(n[0])
         alive = np.searchsorted(-n, -np.arange(steps), side="left")
         at = np.concatenate([first[: int(k)] + t for t, k in enumerate(alive)])
         rows = np.cumsum(alive) - alive
         symbol = flat[at]
-        alpha, scale = np.empty((len(at), s)), np.empty((len(at), 1))
+        alpha, scale, ones = np.empty((len(at), s)), np.empty((len(at), 1)), np.ones((s, 1))
         for t in range(steps):
             k, r = int(alive[t]), int(rows[t])
             enter = np.where(opens[:, None], self.start, before @ self.move) if t == 0 else alpha[int(rows[t - 1]) :][:k] @ self.move
-            x = enter * self.emit[symbol[r : r + k]]
-            c = x.sum(axis=1, keepdims=True)
-            alpha[r : r + k], scale[r : r + k] = x / c, c
-            logs += float(np.log10(c).sum())
+            x = np.multiply(enter, self.emit[symbol[r : r + k]], out=alpha[r : r + k])
+            c = np.matmul(x, ones, out=scale[r : r + k])
+            x /= c
+        logs = float(np.log10(scale).sum())
         beta = np.zeros((0, s))
-        gamma = np.empty_like(alpha)
+        back = np.ascontiguousarray(self.move.T)
         for t in range(steps - 1, -1, -1):
             k, r = int(alive[t]), int(rows[t])
             a = alpha[r : r + k]
@@ -294,16 +294,17 @@ class Hmm:
                 new = after[len(beta) : k]
                 new = new / (a[len(beta) :] * new).sum(axis=1, keepdims=True)
                 beta = np.concatenate([beta, new])
-            gamma[r : r + k] = a * beta
-            z = self.emit[symbol[r : r + k]] * beta / scale[r : r + k]
+            z = self.emit[symbol[r : r + k]] * beta
+            z /= scale[r : r + k]
+            a *= beta  # from here on the state's probabilities given the whole text
             if t:
                 moves += self.move * (alpha[int(rows[t - 1]) :][:k].T @ z)
-                beta = z @ self.move.T
+                beta = z @ back
             else:
-                starts += gamma[r : r + k][opens].sum(axis=0)
+                starts += a[opens].sum(axis=0)
                 moves += self.move * (before[~opens].T @ z[~opens])
         for j in range(s):
-            emitted[:, j] += np.bincount(symbol, weights=gamma[:, j], minlength=len(emitted))
+            emitted[:, j] += np.bincount(symbol, weights=alpha[:, j], minlength=len(emitted))
         return logs
 
 
