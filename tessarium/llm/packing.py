@@ -41,7 +41,7 @@ CAPACITY = 2048
 SHARD_PIECES, ISLANDS, POPULATION, CHILDREN, EPOCHS, SEED = 6000, 3, 8, 30, 3, 11
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 #: Words whose ids a worker keeps at most, between two chunks of texts.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -109,7 +109,7 @@ class WordIds(dict):
         """Bounds the memory between two chunks of texts."""
         if len(self) > WORDS_KEPT:
             self.clear()
-        if len(self.runs) > WORDS_KEPT // 2:
+        if len(self.runs) > WORDS_KEPT // 4:
             self.runs.clear()
 
 
