@@ -26,5 +26,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_mtree_top_k": mtree.OP2_SQL,
     "op3_quotation_linking": quotes.OP3_SQL,
     "op5_curriculum_mix": curriculum.OP5_SQL,
+    "op6_additive_quantisation": additive.OP6_SQL,
+    "op8_suffix_levels": suffix_levels.OP8_SQL,
     "op9_link_graph_filter": linkgraph.OP9_SQL,
 }

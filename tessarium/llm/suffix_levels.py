@@ -601,3 +601,30 @@ def remove(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
+
+
+#: Windows are compared by their md5; texts as hexadecimal digits, since DuckDB cuts strings by characters.
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d)
+), r AS (
+  SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1
+), g AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM r
+), k AS (
+  SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g
+), runs AS (
+  SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM k GROUP BY doc_id, run
+), cut AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
+), kept AS (
+  SELECT cut.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h,
+         sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM cut JOIN d USING (doc_id) GROUP BY cut.doc_id
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
