@@ -210,22 +210,29 @@ MISSING = "No perspective is given for: "
 NOTHING = "No evidence was retrieved; nothing can be concluded."
 
 
-def deliberate(questions: DataFrame, perspectives: DataFrame) -> DataFrame:
-    """One row a question: represented and missing groups, agreements, disagreements, evidence ids, constraints, what is unresolved.
+def evidence_pairs(perspectives: DataFrame) -> DataFrame:
+    """question_id, record_id: one row a record that a question's perspectives cite."""
+    return perspectives.select("question_id", F.explode("evidence_record_ids").alias("record_id")).distinct()
 
-    Missing groups stay missing and silence is no agreement. Perspectives may bring `constraints` (an array); a question
+
+def deliberate(questions: DataFrame, perspectives: DataFrame, ids: bool = True) -> DataFrame:
+    """One row a question: represented and missing groups, agreements, disagreements, evidence, constraints, what is unresolved.
+
+    Evidence is counted pair by pair; with ids its record ids are listed too, which suits evidence of a bounded number a
+    question (evidence_pairs holds any number). Missing groups stay missing and silence is no agreement. Perspectives may bring `constraints` (an array); a question
     is unresolved in each required group that is missing and, where positions differ, in their difference.
     """
     held = perspectives if "constraints" in perspectives.columns else perspectives.withColumn("constraints", F.expr("CAST(array() AS array<string>)"))
     by = held.groupBy("question_id").agg(
         F.array_sort(F.collect_set("stakeholder_group")).alias("represented"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_record_ids")))).alias("evidence_record_ids"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("constraints")))).alias("constraints"),
         F.countDistinct(F.nullif(position_key(F.col("position")), F.lit(""))).alias("n_positions"),
     )
+    listed = [F.array_sort(F.collect_list("record_id")).alias("evidence_record_ids")] if ids else []
+    cited = evidence_pairs(perspectives).groupBy("question_id").agg(F.count("*").alias("n_evidence"), *listed)
     agreed = shared_positions(perspectives).groupBy("question_id").agg(F.array_sort(F.collect_list("position")).alias("agreements"))
     none = F.expr("CAST(array() AS array<string>)")
-    out = questions.join(by, "question_id", "left").join(agreed, "question_id", "left")
+    out = questions.join(by, "question_id", "left").join(agreed, "question_id", "left").join(cited, "question_id", "left")
     represented = F.coalesce("represented", none)
     missing = F.array_sort(F.array_except("required_stakeholder_groups", represented))
     differ = F.coalesce("n_positions", F.lit(0)) > 1
@@ -237,15 +244,16 @@ def deliberate(questions: DataFrame, perspectives: DataFrame) -> DataFrame:
         F.coalesce("agreements", none).alias("agreements"),
         differ.alias("disagreement"),
         said.alias("disagreements"),
-        F.coalesce("evidence_record_ids", none).alias("evidence_record_ids"),
+        F.coalesce("n_evidence", F.lit(0)).cast("long").alias("n_evidence"),
+        *([F.coalesce("evidence_record_ids", none).alias("evidence_record_ids")] if ids else []),
         F.coalesce("constraints", none).alias("constraints"),
         F.concat(F.transform(missing, lambda g: F.concat(F.lit("perspective missing: "), g)), said).alias("unresolved"),
     )
 
 
-def perspectives_from_evidence(evidence: DataFrame, shown: int = 3, cut: int = 500) -> DataFrame:
+def perspectives_from_evidence(evidence: DataFrame, shown: int = 3, cut: int = 500, ids: bool = True) -> DataFrame:
     """One perspective a question and group, from the first snippets of the group's evidence (question_id,
-    stakeholder_group, rank, record_id, snippet)."""
+    stakeholder_group, rank, record_id, snippet); ids lists the records, which suits a bounded number of them."""
     keys = ["question_id", "stakeholder_group"]
     first = Window.partitionBy(*keys).orderBy("rank", "record_id")
     # the window is cut to `shown` rows a group before it moves any
@@ -253,10 +261,10 @@ def perspectives_from_evidence(evidence: DataFrame, shown: int = 3, cut: int = 5
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "snippet"))), lambda x: x["snippet"]), "; ")
     heads = heads.groupBy(*keys).agg(F.substring(text, 1, cut).alias("position"))
     counts = evidence.groupBy(*keys).agg(
-        F.array_sort(F.collect_set("record_id")).alias("evidence_record_ids"),
+        *([F.array_sort(F.collect_set("record_id")).alias("evidence_record_ids")] if ids else []),
         F.least(F.lit(0.8), F.lit(0.4) + F.lit(0.1) * F.count("*")).alias("confidence"),
     )
-    return heads.join(counts, keys).select(*keys, "position", "evidence_record_ids", "confidence")
+    return heads.join(counts, keys).select(*keys, "position", *(["evidence_record_ids"] if ids else []), "confidence")
 
 
 def perspective_errors() -> Column:

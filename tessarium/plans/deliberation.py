@@ -180,12 +180,12 @@ def deliberate(spark, sf_dir):
     asked = rows.select("question_id").distinct().withColumn(
         "required_stakeholder_groups", F.array(*map(F.lit, ("government", "src1", "src2")))
     )
-    out = op.deliberate(asked, rows)
+    out = op.deliberate(asked, rows, ids=False)
     return out.select(
         "question_id",
         *[F.array_join(c, ",").alias(c) for c in ("represented", "missing", "agreements")],
         "disagreement",
-        F.size("evidence_record_ids").cast("long").alias("n_evidence"),
+        "n_evidence",
     )
 
 
@@ -207,7 +207,7 @@ def perspectives_auto(spark, sf_dir):
         F.col("lang").alias("question_id"), F.col("source").alias("stakeholder_group"), F.lit(1).alias("rank"),
         F.col("doc_id").alias("record_id"), F.substring("text", 1, 300).alias("snippet"),
     )
-    out = op.perspectives_from_evidence(evidence)
+    out = op.perspectives_from_evidence(evidence, ids=False)
     return out.select("question_id", "stakeholder_group", "position", F.round("confidence", 6).alias("confidence"))
 
 
