@@ -34,14 +34,14 @@ def candidates(segments: DataFrame, kinds: Mapping[str, Sequence[str]] = KINDS)
 
 
 def spans(segments: DataFrame, weights: Mapping[str, float], before: int = 50, after: int = 100) -> DataFrame:
-    """Every match of weighted patterns: segment_id, keyword, weight, position, window; one scan for all patterns.
+    """Every match of weighted patterns: segment_id, keyword, pattern, weight, position, window; one scan for all patterns.
 
     Splitting at the matches gives their positions: a running sum of what stands before each.
     """
     low = F.lower("text")
     found = F.array(
         *(
-            F.struct(F.lit(float(w)).alias("weight"), F.regexp_extract_all(low, F.lit(p), F.lit(0)).alias("hits"), F.split(low, p).alias("rest"))
+            F.struct(F.lit(p).alias("pattern"), F.lit(float(w)).alias("weight"), F.regexp_extract_all(low, F.lit(p), F.lit(0)).alias("hits"), F.split(low, p).alias("rest"))
             for p, w in weights.items()
         )
     )
@@ -56,11 +56,11 @@ def spans(segments: DataFrame, weights: Mapping[str, float], before: int = 50, a
 
     pairs = F.zip_with(F.slice("m.rest", F.lit(1), F.size("m.hits")), "m.hits", lambda r, h: F.struct(r.alias("before"), h.alias("hit")))
     placed = F.inline(F.aggregate(pairs, start, step, lambda s: s["done"]))
-    out = rows.select("segment_id", "text", F.col("m.weight").alias("weight"), placed)
+    out = rows.select("segment_id", "text", "m.pattern", "m.weight", placed)
     first = F.greatest(F.lit(0), F.col("position") - before)
     end = F.col("position") + F.length("keyword") + after
     return out.select(
-        "segment_id", "keyword", "weight", "position", F.trim(F.substring(F.col("text"), first + 1, end - first)).alias("window")
+        "segment_id", "keyword", "pattern", "weight", "position", F.trim(F.substring(F.col("text"), first + 1, end - first)).alias("window")
     )
 
 
@@ -285,6 +285,42 @@ def negate(claim: Column) -> Column:
     return F.trim(F.regexp_replace(claim, r"\s+", " "))
 
 
+ARGUED = "struct<pro_argument:string,pro_confidence:double,contra_argument:string,contra_confidence:double>"
+
+
+def argue(claims: DataFrame, make: Callable | None = None) -> DataFrame:
+    """claim_id, pro, pro_confidence, contra, contra_confidence, consensus, method of claims (claim_id, claim, evidence).
+
+    A provider's JSON with all four fields counts; else the claim stands against its negation, at 0.8 and 0.6, with the
+    consensus that the negation's weight leaves.
+    """
+    from .plugins import generate, json_in
+
+    found = F.lit(None).cast(ARGUED)
+    rows = claims
+    if make is not None:
+        prompt = F.format_string(
+            "Claim: %s\nEvidence: %s\nAnswer with JSON: pro_argument, pro_confidence, contra_argument, contra_confidence.", F.col("claim"), F.array_join("evidence", " | ")
+        )
+        said = generate(claims.select(F.col("claim_id").alias("id"), prompt.alias("prompt")), make).select(F.col("id").alias("_id"), "output")
+        rows = claims.join(said, F.col("claim_id").cast("string") == F.col("_id"), "left")
+        found = json_in(F.col("output"), ARGUED)
+    rows = rows.withColumn("_m", found)
+    whole = F.lit(True)
+    for c in ("pro_argument", "pro_confidence", "contra_argument", "contra_confidence"):
+        whole = whole & F.col(f"_m.{c}").isNotNull()
+    whole = F.coalesce(whole, F.lit(False))
+    either = lambda c, plain: F.when(whole, F.col(f"_m.{c}")).otherwise(plain)
+    consensus = F.when(whole, 1 - F.abs(F.col("_m.pro_confidence") - F.col("_m.contra_confidence")) * 0.5).otherwise(F.lit(1 - 0.6 * 0.5))
+    return rows.select(
+        "claim_id",
+        either("pro_argument", F.col("claim")).alias("pro"), either("pro_confidence", F.lit(0.8)).alias("pro_confidence"),
+        either("contra_argument", negate(F.col("claim"))).alias("contra"), either("contra_confidence", F.lit(0.6)).alias("contra_confidence"),
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), consensus)).alias("consensus"),
+        F.when(whole, "provider_model").otherwise("rule_based_fallback").alias("method"),
+    )
+
+
 def metrics(pro: Column, contra: Column, coverage: Column, sources: Column) -> Column:
     """Consensus, balance, diversity and overall quality of a pro and contra pair."""
     consensus = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.abs(pro - contra) * 0.5))

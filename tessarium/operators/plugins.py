@@ -36,8 +36,48 @@ def provider(name: str) -> Provider:
     return PROVIDERS[name]()
 
 
+#: Codes of failures, by what an error's text holds, in order.
+ERRORS = (
+    ("auth_error", ("401", "403", "auth")),
+    ("rate_limited", ("429", "rate")),
+    ("model_loading", ("503", "loading")),
+    ("timeout", ("timeout",)),
+    ("model_not_found", ("not found", "404")),
+)
+
+
+def error_code(message: str, bad_response: bool = False) -> str:
+    """One of seven codes: those of ERRORS, bad_response for an answer of another form, else inference_failed."""
+    low = message.lower()
+    if bad_response:
+        return "bad_response"
+    return next((code for code, marks in ERRORS if any(m in low for m in marks)), "inference_failed")
+
+
+class Chain:
+    """Back ends in order; each that fails hands on to the next, and the last resort says that it is no model's output."""
+
+    def __init__(self, *makers: Callable[[], Provider]):
+        self.makers, self.failures = makers, []
+
+    def generate(self, prompt: str, context: list) -> dict:
+        self.failures = []
+        for make in self.makers:
+            try:
+                found = make().generate(prompt=prompt, context=context)
+                if not isinstance(found.get("output"), str):
+                    raise TypeError("no text in the answer")
+                return {**found, "failures": list(self.failures)}
+            except Exception as e:  # whatever a back end raises, the next one is asked
+                self.failures.append((error_code(str(e), isinstance(e, TypeError | KeyError | AttributeError)), str(e)[:300]))
+        return {"output": "[no back end answered]", "error": "ALL_BACKENDS_UNAVAILABLE", "failures": list(self.failures), "provenance": {"model": "none"}}
+
+    def get_model_info(self) -> dict:
+        return {"model": "chain", "back_ends": len(self.makers)}
+
+
 def generate(prompts: DataFrame, make: Callable[[], Provider]) -> DataFrame:
-    """id, output, error of prompts (id, prompt); a provider is made once a partition."""
+    """id, output, error, code of prompts (id, prompt); a provider is made once a partition."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
@@ -45,12 +85,14 @@ def generate(prompts: DataFrame, make: Callable[[], Provider]) -> DataFrame:
             out = []
             for i, prompt in zip(pdf["id"], pdf["prompt"], strict=True):
                 try:
-                    out.append((str(i), str(model.generate(prompt=prompt, context=[])["output"]), None))
+                    found = model.generate(prompt=prompt, context=[])
+                    out.append((str(i), str(found["output"]), found.get("error"), None))
                 except Exception as e:  # a provider may raise anything; its row says so
-                    out.append((str(i), None, f"{type(e).__name__}: {e}"[:200]))
-            yield pd.DataFrame(out, columns=["id", "output", "error"])
+                    code = error_code(str(e), isinstance(e, TypeError | KeyError | AttributeError))
+                    out.append((str(i), None, f"{type(e).__name__}: {e}"[:200], code))
+            yield pd.DataFrame(out, columns=["id", "output", "error", "code"])
 
-    return prompts.select("id", "prompt").mapInPandas(run, "id string, output string, error string")
+    return prompts.select("id", "prompt").mapInPandas(run, "id string, output string, error string, code string")
 
 
 def model_candidates(segments: DataFrame, call: Callable[[Sequence[str]], list[dict]]) -> DataFrame:

@@ -332,6 +332,33 @@ def source_coverage(corpus: DataFrame, examples: DataFrame) -> DataFrame:
     return per.agg(F.count("*").alias("n_corpus"), F.count("_c").alias("n_examples")).withColumn("missing", F.col("n_examples") == 0)
 
 
+def validate_final(examples: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row on examples by split: hash mismatches, leaked documents of each two splits, missing provenance, duplicates, private reasoning.
+
+    examples (split, messages, source_document_ids, source_hashes, reasoning), docs (document_id, sha256).
+    """
+    pairs = examples.select("split", F.explode("source_document_ids").alias("document_id"), "source_hashes")
+    held = pairs.join(docs.select("document_id", "sha256"), "document_id")
+    wrong = held.filter("sha256 <> ''").select(F.size(F.filter("source_hashes", lambda h: (h != "") & (h != F.col("sha256")))).alias("n"))
+    places = pairs.select("document_id", "split").distinct().groupBy("document_id").agg(F.collect_set("split").alias("s"))
+    both = lambda a, b: F.count_if(F.array_contains("s", a) & F.array_contains("s", b))
+    leaks = places.agg(*(both(a, b).alias(f"{a}_{b}") for a, b in (("train", "validation"), ("train", "test"), ("validation", "test"))))
+    copies = examples.groupBy(F.sha2(F.to_json("messages"), 256).alias("h")).agg(F.count("*").alias("c")).agg(F.sum(F.col("c") - 1).alias("duplicates"))
+    lacking = _empty("source_document_ids").cast("int") + _empty("source_hashes").cast("int")
+    facts = examples.agg(F.sum(lacking).alias("missing_provenance"), F.count_if(F.length("reasoning") > 500).alias("private_fields"))
+    # rows of one line each
+    out = facts.crossJoin(leaks).crossJoin(copies).crossJoin(wrong.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("hash_mismatches")))
+    fine = (F.col("hash_mismatches") == 0) & (F.col("train_validation") + F.col("train_test") + F.col("validation_test") == 0)
+    return out.withColumn("valid", fine)
+
+
+def build(docs: DataFrame, splits: DataFrame, least: int = 10, **options) -> tuple[DataFrame, str]:
+    """Template examples with their document's split (doc_id, split); the verdict is BLOCKED below `least` documents."""
+    if docs.limit(least).count() < least:
+        return examples(docs.limit(0), **options).withColumn("split", F.lit(None).cast("string")), "BLOCKED"
+    return examples(docs, **options).join(splits, "doc_id"), "READY"
+
+
 def audit(rows: DataFrame) -> DataFrame:
     """One row of counts, in one pass over examples with messages."""
     answer = F.lower(content("messages", "assistant"))

@@ -77,11 +77,21 @@ def _plain(data: bytes) -> str:
     return data.decode("utf-8", errors="replace")
 
 
+#: What reads images of pages: bytes of a file to text; none unless one registers here.
+PAGE_READERS: list = []
+
+
+def pdf_text(data: bytes, pages: list[str]) -> str:
+    """The text of a file's pages; where none has any, what a registered page reader makes of the file."""
+    if any(p.strip() for p in pages):
+        return "\n\n".join(pages)
+    return next((text for read in PAGE_READERS if (text := read(data))), "")
+
+
 def _pdf(data: bytes) -> str:
     from pypdf import PdfReader  # optional: rows get an error where it is missing
 
-    pages = [(p.extract_text() or "").strip() for p in PdfReader(io.BytesIO(data)).pages]
-    return "\n\n".join(p for p in pages if p)
+    return pdf_text(data, [p.extract_text() or "" for p in PdfReader(io.BytesIO(data)).pages])
 
 
 #: Extractors by media type; OCR, speech and video extractors register here.

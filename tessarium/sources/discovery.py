@@ -111,7 +111,26 @@ class Adapter:
         return [(self.source_id, k, u) for k, u in enumerate(dict.fromkeys(self.seeds[: self.max_pages]))]
 
 
-ADAPTERS: dict[str, Callable[..., Adapter]] = {}
+class Publisher(Adapter):
+    """A publisher's site: its sitemap, then its front page."""
+
+    def __init__(self, source_id: str, seeds: Sequence[str] | None = None, max_pages: int = 50):
+        root = f"https://{SITES[source_id]}/"
+        super().__init__(source_id, (f"{root}sitemap.xml", root) if seeds is None else seeds, max_pages)
+
+
+#: Publishers with adapters of their own, and their hosts.
+SITES = {
+    "icann": "www.icann.org",
+    "ietf": "www.ietf.org",
+    "itu": "www.itu.int",
+    "un": "www.un.org",
+    "igf": "www.intgovforum.org",
+    "itut": "www.itu.int",
+    "academic": "arxiv.org",
+    "government": "www.ntia.gov",
+}
+ADAPTERS: dict[str, Callable[..., Adapter]] = dict.fromkeys(SITES, Publisher)
 
 
 def register(source_id: str, make: Callable[..., Adapter] = Adapter) -> None:

@@ -6,11 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tessarium.functions import dates, languages
-from tessarium.operators import deliberation, engine, inference, metrics, plugins, relational, sft, suites
+from tessarium.functions import casts, dates, languages
+from tessarium.operators import deliberation, engine, inference, ingest, metrics, plugins, relational, sft, suites
 from tessarium.operators.corpus import merge_index
 from tessarium.plans.catalogue import QUERIES
-from tessarium.sources import discovery, readers, sinks
+from tessarium.sources import capture, discovery, readers, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,7 +43,7 @@ def test_discovery_chain(spark):
     assert got == {"one": ("reachable", 2, 1, 0, 2), "two": ("reachable", 1, 0, 4, 1), "shut": ("blocked", 0, 0, 0, 0), "down": ("degraded", 0, 1, 0, 0)}
     index = discovery.health_index(health).first()
     assert (index.sources, index.discovered, index.by_status) == (4, 3, {"blocked": 1, "degraded": 1, "reachable": 2})
-    discovery.ADAPTERS.clear()
+    assert discovery.adapter("ietf", max_pages=1).candidates() == [("ietf", 0, "https://www.ietf.org/sitemap.xml")]
     discovery.register("one", lambda name, **kw: discovery.Adapter(name, seeds=["https://one.org/a", "https://one.org/more"], **kw))
     with pytest.raises(KeyError):
         discovery.adapter("none")
@@ -228,6 +228,72 @@ def test_sinks_and_readers(spark, tmp_path):
     assert hub.name == "M" and hub.provenance_events[0].actor == "me" and hub.json_bytes > 10
 
 
+def test_ingestion_chain(spark, tmp_path):
+    long = "A paragraph about rules of the open network, long enough to count. " * 4
+    for name, data in (("a.txt", long), ("b.txt", long), ("c.html", f"<html><body><p>{long} more</p></body></html>"), ("d.txt", "tiny"), ("e.bin", "x" * 40), ("f.txt", "known text " * 9)):
+        (tmp_path / name).write_text(data)
+    found = readers.artifacts(spark, str(tmp_path))
+    known = found.filter("path LIKE '%f.txt'").select("sha256")
+    out = ingest.ingest(found, known)
+    got = {r.path.rsplit("/", 1)[1]: (r.status, r.reason) for r in out.collect()}
+    assert got["a.txt"] == ("accepted", None) and got["b.txt"] == ("duplicate", "known content") and got["c.html"][0] == "accepted"
+    assert got["d.txt"] == ("rejected", "too little text") and got["e.bin"][0] == "failed" and got["f.txt"][0] == "duplicate"
+    one = out.filter("path LIKE '%a.txt'").first()
+    assert one.segments[0].char_start == 0 and one.word_count == 48 and one.quality.status == "passed" and one.reading_minutes == 1
+    near = {r.path.rsplit("/", 1)[1]: r.reason for r in ingest.without_near_duplicates(out, None, f"{tmp_path}/rounds").collect()}
+    assert near["c.html"] == "near duplicate" and near["a.txt"] is None
+    log = ingest.events(out, "me", "2024-01-01").collect()
+    assert len(log) == 6 and len({e.event_id for e in log}) == 6 and {e.event_type for e in log} == {"FILE_ACCEPTED", "FILE_DUPLICATE", "FILE_FAILED", "FILE_REJECTED"}
+
+
+def test_providers_in_a_chain_and_error_codes(spark):
+    def broken(message):
+        class Broken:
+            def generate(self, prompt, context):
+                raise RuntimeError(message)
+
+        return Broken
+
+    codes = {"HTTP 401": "auth_error", "429 slow down": "rate_limited", "503": "model_loading", "Timeout": "timeout", "404 not found": "model_not_found", "boom": "inference_failed"}
+    assert {m: plugins.error_code(m) for m in codes} == codes and plugins.error_code("x", True) == "bad_response"
+    chain = plugins.Chain(broken("503"), plugins.Echo)
+    assert chain.generate("hello", [])["failures"] == [("model_loading", "503")] and plugins.Chain(broken("x")).generate("p", [])["error"] == "ALL_BACKENDS_UNAVAILABLE"
+    rows = spark.createDataFrame([("1", "p")], "id string, prompt string")
+    assert plugins.generate(rows, broken("429")).first().code == "rate_limited"
+    claims = spark.createDataFrame([("c", "We should act", ["e"])], "claim_id string, claim string, evidence array<string>")
+    plain = deliberation.argue(claims).first()
+    assert (plain.pro_confidence, plain.contra_confidence, plain.method, round(plain.consensus, 6)) == (0.8, 0.6, "rule_based_fallback", 0.7) and plain.contra == "We not should act"
+
+    class Model:
+        def generate(self, prompt, context):
+            return {"output": 'Sure: {"pro_argument": "a", "pro_confidence": 0.9, "contra_argument": "b", "contra_confidence": 0.5}'}
+
+    said = deliberation.argue(claims, Model).first()
+    assert (said.pro, said.contra, said.method, round(said.consensus, 6)) == ("a", "b", "provider_model", 0.8)
+    assert deliberation.argue(claims, plugins.Echo).first().method == "rule_based_fallback"
+
+
+def test_final_validation_and_build(spark):
+    m = "array<struct<role:string,content:string>>"
+    rows = [("train", [("user", "a")], ["d1"], ["h1"], None), ("test", [("user", "a")], ["d1"], ["zz"], "r" * 600), ("validation", [("user", "b")], ["d2"], [], "")]
+    df = spark.createDataFrame(rows, f"split string, messages {m}, source_document_ids array<string>, source_hashes array<string>, reasoning string")
+    got = sft.validate_final(df, spark.createDataFrame([("d1", "h1"), ("d2", "h2")], "document_id string, sha256 string")).first()
+    assert (got.train_test, got.train_validation, got.duplicates, got.missing_provenance, got.private_fields, got.hash_mismatches, got.valid) == (1, 0, 1, 1, 1, 1, False)
+    docs = spark.createDataFrame([(i, "x " * 300, "s", "en") for i in range(12)], "doc_id long, text string, source string, lang string")
+    splits = spark.createDataFrame([(i, "train") for i in range(12)], "doc_id long, split string")
+    assert sft.build(docs, splits)[1] == "READY" and sft.build(docs, splits)[0].count() == 24 and sft.build(docs.limit(3), splits)[1] == "BLOCKED"
+
+
+def test_casts_and_page_readers(spark):
+    row = spark.createDataFrame([([1, 2], "7", "x", bytearray(b"a\xffb"))], "a array<int>, n string, t string, b binary")
+    got = row.select(casts.as_text(F.col("a"), "array<int>"), casts.as_count(F.col("a"), "array<int>"), casts.as_count(F.col("n"), "string"), casts.as_count(F.col("t"), "string"), casts.decoded(F.col("b"))).first()
+    assert tuple(got) == ("[1,2]", 2, 7, 0, "a\ufffdb")
+    assert capture.pdf_text(b"", ["a", "b"]) == "a\n\nb" and capture.pdf_text(b"x", ["", " "]) == ""
+    capture.PAGE_READERS.append(lambda data: data.decode())
+    assert capture.pdf_text(b"scan", [""]) == "scan"
+    capture.PAGE_READERS.clear()
+
+
 def test_small_helpers(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, n int, v string")
     assert {(r.k, r.v) for r in relational.last_by(rows, ["k"], "v", F.col("n")).collect()} == {("a", "y"), ("b", "z")}
