@@ -434,11 +434,21 @@ def _anchor_in(data: bytes, length: int) -> int:
 
 
 def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated windows; rows come sorted by shard, document and place."""
+    """Spans of repeated windows; rows come sorted by shard, document and place.
+
+    A string that equals an earlier one of the shard as a whole repeats all of its windows; the others go to the index.
+    """
     shard, levels = None, Levels(length)
     held: list[tuple] = []
+    copies: list[tuple[int, int, int, int]] = []
+    strings: set[bytes] = set()
     size = 0
 
+    def settled() -> Iterator[pa.RecordBatch]:
+        if copies:
+            yield from _flat(*(np.array(c, np.int64) for c in zip(*copies, strict=True)))
+            copies.clear()
+
     def work() -> Iterator[pa.RecordBatch]:
         nonlocal size
         size = 0
@@ -465,13 +475,20 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             if k != shard:
                 yield from work()
                 shard, levels, before = k, Levels(length), None
+                strings.clear()
             if before == row:  # the same string of a repeated row
                 continue
             before = row
+            if row[3] in strings:
+                doc, sub, at, x = row
+                copies.append((doc, sub, at, at + len(x)))
+                continue
+            strings.add(row[3])
             held.append(row)
             size += len(row[3]) - length + 1
             if size > BATCH:
                 yield from work()
+        yield from settled()
     yield from work()
 
 
