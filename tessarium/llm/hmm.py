@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Numbers, Scratch, chunks, table
+from .common import LOWER, Numbers, Scratch, chunks, lean, table
 
 STATES, ROUNDS, SETTLED, PIECE = 12, 4, 1e-2, 2048
 EMITTED, CLASSES, KNOWN = 32_768, 1024, 1_000_000
@@ -71,6 +71,7 @@ class Chunk:
         self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
 
 
+@lean
 def _count(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.RecordBatch]:
     """(h, cls, n) of the words of a partition, pre-aggregated as far as memory allows."""
     total: dict[int, list] = {}
@@ -138,6 +139,7 @@ class Lexicon:
         return symbol, n, hit
 
 
+@lean
 def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
     """Symbols of each document with the parts of its scores that need no further join."""
     from pyspark import TaskContext
@@ -332,6 +334,7 @@ def seed_model(sample: list[bytes], usual: np.ndarray, states: int) -> Hmm:
 LIKELIHOOD, STARTS, MOVES = -1, -2, -3
 
 
+@lean
 def _expected(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
     """The expected counts of a partition: one row a symbol that it holds, and a row a state."""
     model: Hmm = held.value
@@ -406,6 +409,7 @@ def fit(encoded: DataFrame, usual: np.ndarray, rounds: int, states: int) -> Hmm:
     return model
 
 
+@lean
 def _score(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
     model: Hmm = held.value
     for batch in batches:

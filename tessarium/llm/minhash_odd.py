@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Scratch, table, text_chunks
+from .common import LOWER, Scratch, lean, table, text_chunks
 from .components import components
 from .curriculum import row_hash
 
@@ -126,6 +126,7 @@ def _lists(x: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * w + 1, w, dtype=np.int32)), pa.array(x.ravel()))
 
 
+@lean
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches):
         sizes, marks, sigs = [], [], []
@@ -157,6 +158,7 @@ def linked(a: np.ndarray, b: np.ndarray, num: int = NUM, den: int = DEN) -> bool
     return den * both >= num * (len(a) + len(b) - both)
 
 
+@lean
 def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int, width: int) -> Iterator[pa.RecordBatch]:
     last_id, last = None, None
     for batch in batches:
@@ -219,6 +221,7 @@ def _candidates(cell: pa.Table, bound: int) -> Iterator[tuple[np.ndarray, np.nda
             yield some[i], right[j], bits[i, j]
 
 
+@lean
 def _probe(batches: Iterator[pa.RecordBatch], bound: int) -> Iterator[pa.RecordBatch]:
     """The nodes of a cell that agree with a node of another component; of those on the left side the closest such node."""
     for cell in _by_cell(batches, ("bh", "ci", "cj")):
@@ -257,6 +260,7 @@ def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return total[at[i], at[j]].astype(np.int64)
 
 
+@lean
 def _links(batches: Iterator[pa.RecordBatch], bound: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """One link for each two components of a cell that have any; sets are compared in full."""
     for cell in _by_cell(batches, ("bh", "ci", "cj")):
@@ -283,6 +287,7 @@ def _links(batches: Iterator[pa.RecordBatch], bound: int, num: int, den: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(a[one]), pa.array(b[one])], names=["a", "b"])
 
 
+@lean
 def _items(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches):
         sets = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]

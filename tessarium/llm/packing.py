@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table, text_chunks
+from .common import KEPT, Scratch, lean, table, text_chunks
 
 CAPACITY = 2048
 #: Sizes of the algorithm; results are complete whatever they are.
@@ -118,6 +118,10 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+KEPT[__name__] = _word_ids.cache_clear
+
+
+@lean
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     enc, end, salt = _word_ids(path), struct.pack("<I", end_id), 0
     for batch in text_chunks(batches):

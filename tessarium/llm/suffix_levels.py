@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, n_parts, table
+from .common import Scratch, lean, n_parts, table
 from .kneser_ney import pack, unpack
 from .minhash_odd import mix
 
@@ -191,6 +191,7 @@ class Unit:
         return self.doc[runs["doc"]], self.sub[runs["doc"]], s, s + runs["n"] - 1 + self.length
 
 
+@lean
 def _scan(batches: Iterator[pa.RecordBatch], shards: int, length: int) -> Iterator[pa.RecordBatch]:
     """By shard, the anchors of the task, one row each: one run, and whether others with the anchor differ from it.
 
@@ -250,6 +251,7 @@ def _scan(batches: Iterator[pa.RecordBatch], shards: int, length: int) -> Iterat
         yield from flush(Unit(*held, length))
 
 
+@lean
 def _settle(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Of each shard (rows come sorted by it) the runs whose anchor has others; spans and runs of single tasks pass through."""
     held: list[list[np.ndarray]] = []
@@ -324,8 +326,8 @@ class SuffixArray:
     def __len__(self) -> int:
         return len(self.places)
 
-    def keys(self) -> np.ndarray:
-        return self.bytes_at(self.text, self.places, self.length)
+    def keys(self, part: slice = slice(None)) -> np.ndarray:
+        return self.bytes_at(self.text, self.places[part], self.length)
 
     def find(self, keys: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where sorted suffixes belong in this array, and whether it holds them: first bytes are merged, ties compared whole."""
@@ -344,7 +346,9 @@ class SuffixArray:
         return low, hit
 
     def merged(self, other: SuffixArray) -> SuffixArray:
-        at, _ = self.find(other.keys(), other.heads)
+        # whole suffixes are written out for some of them at a time
+        parts = [slice(k, k + 65536) for k in range(0, len(other), 65536)]
+        at = np.concatenate([self.find(other.keys(p), other.heads[p])[0] for p in parts]) if parts else np.zeros(0, np.int64)
         return SuffixArray(
             np.concatenate([self.text, other.text]),
             np.insert(self.places, at, other.places + len(self.text)),
@@ -380,6 +384,7 @@ class Levels:
         return out
 
 
+@lean
 def _strings(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of each run that needs a comparison, with the shard of its anchor; hot ones in blocks by their bytes."""
     for batch in batches:
@@ -433,6 +438,7 @@ def _anchor_in(data: bytes, length: int) -> int:
     return int(np.argmin((grams & ~np.uint64((1 << PIECE_BITS) - 1)) | np.arange(len(grams), dtype=np.uint64)))
 
 
+@lean
 def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Spans of repeated windows; rows come sorted by shard, document and place.
 
@@ -547,6 +553,7 @@ def spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
     return every.groupBy("doc", "sub").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
+@lean
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple] = []
@@ -587,6 +594,7 @@ def cut_out(text: str, found: list[tuple[int, int]]) -> str:
     return b"".join([*parts, data[at:]]).decode()
 
 
+@lean
 def _kept_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out, was = [], []
