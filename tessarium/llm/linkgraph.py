@@ -9,9 +9,9 @@ steps always suffice. A host is blocked where its distrust exceeds its trust and
 flows into hosts without edges is not returned to the seeds: that would multiply all trust by one number and all
 distrust by another, while both are to be compared, and with the share of a host's own pages.
 
-Rules meet hosts through the hosts' suffixes, an equi-join on one row a host and suffix; pages join
-their host's few candidate rules. Joins of pages by host are salted SALT ways, so that the pages of one host
-meet in no single task.
+Rules meet paths through the hosts' suffixes and the lengths of the rules' paths, all equi-joins, so no list of
+rules is ever built. Joins by host are salted SALT ways, so that the pages of one host meet in no
+single task.
 
 Defined cases: a null url or one without "://" has empty host and path, fits no rule and belongs
 to the host '' (no links, so allow); null html has no links; of rules of equal length the
@@ -51,19 +51,31 @@ def rule_table(spark: SparkSession, rules: tuple = RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "verdict string, suffix string, prefix string")
 
 
-def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """host, rules: the rules that fit each host, the longest first."""
+def _salted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<long>")))
+
+
+def _salt(*by: Column) -> Column:
+    return F.pmod(F.xxhash64(*by), F.lit(SALT))
+
+
+def best_rules(paths: DataFrame, rules: DataFrame) -> DataFrame:
+    """host, path, rule, verdict: the longest rule that fits each host and path that has one.
+
+    A host's suffixes know how long their rules' paths are; each path asks with its beginnings of these lengths, an
+    equi-join with the rules, however many a host has.
+    """
     parts = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")
     )
+    lengths = rules.select("suffix", F.length("prefix").alias("n")).distinct()
+    keys = paths.select("host").distinct().select("host", F.explode(F.array_distinct(suffixes)).alias("suffix")).join(lengths, "suffix")
+    asked = paths.withColumn("salt", _salt(F.col("path"))).join(_salted(keys), ["host", "salt"]).filter(F.length("path") >= F.col("n"))
+    asked = asked.select("host", "path", "suffix", F.substring(F.col("path"), F.lit(1), F.col("n")).alias("prefix"))
     name = F.concat("suffix", "prefix")
-    fit = hosts.select("host", F.explode(F.array_distinct(suffixes)).alias("suffix")).join(rules, "suffix")
-    return fit.groupBy("host").agg(
-        F.array_sort(
-            F.collect_set(F.struct((-F.length(name)).alias("n"), name.alias("rule"), "prefix", "verdict"))
-        ).alias("rules")
-    )
+    best = F.min(F.struct((-F.length(name)).alias("n"), name.alias("rule"), "verdict")).alias("best")
+    return asked.join(rules, ["suffix", "prefix"]).groupBy("host", "path").agg(best).select("host", "path", "best.rule", "best.verdict")
 
 
 def edges(pages: DataFrame) -> DataFrame:
@@ -116,15 +128,12 @@ def judge(
 ) -> DataFrame:
     """page_id, host, path, rule and verdict of every page."""
     address, page_path = host(F.col("url")), path(F.col("url"))
-    salt = F.pmod(F.xxhash64(page_path, F.col("page_id")), F.lit(SALT))
     parsed = scratch.write(
-        pages.select(F.col("page_id").cast("long").alias("page_id"), address.alias("host"), page_path.alias("path"), salt.alias("salt"))
+        pages.select(F.col("page_id").cast("long").alias("page_id"), address.alias("host"), page_path.alias("path"), _salt(page_path, F.col("page_id")).alias("salt"))
     )
-    salted = lambda rows: rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<long>")))
-    candidates = host_rules(parsed.select("host").distinct(), rules)
-    fit = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["prefix"])), F.lit(0))
-    ruled = parsed.join(salted(candidates), ["host", "salt"], "left").select("page_id", "host", "salt", "path", fit.alias("fit"))
-    share = lambda verdict: F.sum((F.coalesce(F.col("fit.verdict"), F.lit("")) == verdict).cast("long"))
+    best = scratch.write(best_rules(parsed.select("host", "path").distinct(), rules))
+    ruled = parsed.join(best, ["host", "path"], "left").select("page_id", "host", "salt", "path", "rule", F.col("verdict").alias("ruling"))
+    share = lambda verdict: F.sum((F.coalesce("ruling", F.lit("")) == verdict).cast("long"))
     # one row a host and salt, then one a host, with the shares of its pages that rules allow and block
     part = ruled.groupBy("host", "salt").agg(share("allow").alias("allow"), share("block").alias("block"), F.count("*").alias("n"))
     seeds = scratch.write(
@@ -142,12 +151,12 @@ def judge(
         .fillna(0.0, ["trust", "distrust"])
         .select("host", "trust", "distrust", bad.alias("bad"))
     )
-    return ruled.join(salted(hosts), ["host", "salt"], "left").select(
+    return ruled.join(_salted(hosts), ["host", "salt"], "left").select(
         "page_id",
         "host",
         "path",
-        F.col("fit.rule").alias("rule"),
-        F.coalesce(F.col("fit.verdict"), F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"),
+        "rule",
+        F.coalesce("ruling", F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"),
     )
 
 
