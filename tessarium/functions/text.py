@@ -28,7 +28,7 @@ def term_counts(words: Column) -> Column:
 
     none = F.expr("CAST(array() AS array<struct<term:string,tf:int>>)")
     # bound to a lambda variable, so that the words are found and sorted once
-    return F.get(F.transform(F.array(F.array_sort(words)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none)), F.lit(0))
+    return F.get(F.transform(F.array(F.sort_array(words)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none)), F.lit(0))
 
 
 def strip(text: Column) -> Column:

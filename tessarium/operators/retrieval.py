@@ -21,21 +21,25 @@ def latest(records: DataFrame, order: str) -> DataFrame:
     return records.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
 
 
-def _counted(records: DataFrame, wanted: list[str] | None = None, *more: str) -> DataFrame:
-    """record_id, dl, terms (term, tf): the counts of a record's terms (of the wanted ones), found inside its row."""
+def _terms(wanted: list[str] | None = None, total: bool = False) -> Column:
+    """A record's terms (term, tf, dl), counted inside its row: all, or the wanted ones; with total, its length under a null term.
+
+    One column that is to be used once, as inline(...): every other use would cut the text into words again.
+    """
 
     def count(words: Column) -> Column:
         found = words if wanted is None else F.filter(words, lambda w: w.isin(wanted))
-        return F.struct(F.size(words).alias("dl"), term_counts(found).alias("terms"))
+        n = F.size(words)
+        rows = F.transform(term_counts(found), lambda x: F.struct(x["term"].alias("term"), x["tf"].alias("tf"), n.alias("dl")))
+        whole = F.array(F.struct(F.lit(None).cast("string").alias("term"), n.alias("tf"), n.alias("dl")))
+        return F.concat(rows, whole) if total else rows
 
-    # bound to a lambda variable, so that a text is cut into words once
-    both = F.get(F.transform(F.array(tokens(F.col("text"))), count), F.lit(0))
-    return records.select("record_id", *more, both.alias("c")).select("record_id", *more, "c.dl", "c.terms")
+    return F.get(F.transform(F.array(tokens(F.col("text"))), count), F.lit(0))
 
 
 def postings(records: DataFrame) -> DataFrame:
     """record_id, term, tf, dl: one row a record and distinct term; no shuffle, as a record's terms are in its row."""
-    return _counted(records).select("record_id", "dl", F.inline("terms")).select("record_id", "term", F.col("tf").cast("long").alias("tf"), "dl")
+    return records.select("record_id", F.inline(_terms())).select("record_id", "term", F.col("tf").cast("long").alias("tf"), "dl")
 
 
 def statistics(records: DataFrame) -> DataFrame:
@@ -46,8 +50,7 @@ def statistics(records: DataFrame) -> DataFrame:
 
 def term_statistics(records: DataFrame) -> DataFrame:
     """term, df, cf: how many records hold each term and how often."""
-    terms = _counted(records).select(F.inline("terms"))
-    return terms.groupBy("term").agg(F.count("*").alias("df"), F.sum(F.col("tf").cast("long")).alias("cf"))
+    return records.select(F.inline(_terms())).groupBy("term").agg(F.count("*").alias("df"), F.sum(F.col("tf").cast("long")).alias("cf"))
 
 
 def facet_pass(record_facets: dict[str, Column], query_facets: dict[str, Column]) -> Column:
@@ -81,8 +84,7 @@ def top_k(
     weights = asked.join(_idf(records, asked, wanted), "term").select("qid", "term", (F.col("qtf") * F.col("idf")).alias("weight"), "avgdl")
     ranked = records if where is None else records.filter(where)
     carried = [F.col(c).alias(f"_{c}") for c in facets]
-    rows = _counted(ranked.select("record_id", "text", *carried), wanted, *(f"_{c}" for c in facets))
-    hits = rows.select("record_id", *(f"_{c}" for c in facets), "dl", F.inline("terms")).join(weights, "term")
+    hits = ranked.select("record_id", *carried, F.inline(_terms(wanted))).join(weights, "term")
     if facets:
         hits = hits.join(queries.select("qid", *facets), "qid").filter(facet_pass({c: F.col(f"_{c}") for c in facets}, {c: F.col(c) for c in facets}))
     if allowed is not None:
@@ -110,8 +112,7 @@ def _idf(records: DataFrame, asked: DataFrame, wanted: list[str] | None) -> Data
         # one row of statistics
         return df.crossJoin(F.broadcast(statistics(records))).select("term", value.alias("idf"), "avgdl")
     # one pass over the records; a null term stands for all tokens, so its row has the number of records and of tokens
-    total = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("dl").alias("tf")))
-    counts = _counted(records, wanted).select(F.inline(F.concat("terms", total)))
+    counts = records.select(F.inline(_terms(wanted, total=True)))
     found = {r.term: r for r in counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).collect()}
     every = found.pop(None, None)
     if every is None:
