@@ -31,6 +31,11 @@ def term_counts(words: Column) -> Column:
     return F.get(F.transform(F.array(F.sort_array(words)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none)), F.lit(0))
 
 
+def ascii_bounds(pattern: str) -> str:
+    """The pattern with \\b between ASCII word characters and all others, as in RE2; Java's also knows letters beyond ASCII."""
+    return pattern.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))")
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
 

@@ -26,10 +26,10 @@ KINDS: Mapping[str, Sequence[str]] = {
 
 
 def candidates(segments: DataFrame, kinds: Mapping[str, Sequence[str]] = KINDS) -> DataFrame:
-    """Up to one candidate of each kind for a segment (segment_id, text); ids are hashes, so reruns agree."""
+    """Up to one candidate of each kind for a segment (segment_id, text); ids are hashes, so reruns agree, and null without a segment_id."""
     found = F.array_compact(F.array(*[F.when(any_of(F.col("text"), p), F.lit(k)) for k, p in kinds.items()]))
     rows = segments.select("segment_id", "text", F.explode(found).alias("candidate_type"))
-    key = F.concat_ws("\x01", F.col("segment_id").cast("string"), F.col("candidate_type"))
+    key = F.concat(F.col("segment_id").cast("string"), F.lit("\x01"), F.col("candidate_type"))
     return rows.select(F.sha2(key, 256).alias("candidate_id"), "candidate_type", "segment_id", "text")
 
 
