@@ -1,17 +1,16 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model.
 
 The model is trained on trusted text: documents labelled good (quality 1, toxic 0). N-grams are counted in
-Spark on a bounded sample of them, the TRAIN_DOCS ids with the smallest hashes and of those as many as hold
-TRAIN_WORDS words (documented parameters). The counts stay in tables: trigrams with their counts;
+Spark over the whole texts of all of them outside fold 0. The counts stay in tables: trigrams with their counts;
 bigrams with their continuation counts and, as contexts, their totals and numbers of words seen once, twice and
 more often. Each table is dealt to shards of a bounded number of n-grams.
 
 Documents meet the counts in a sharded join. Whole texts are encoded in chunks; a chunk asks each shard
 once for its distinct n-grams (sorted, as differences), the shard's task merges them with its counts, and the
 answers, integers, go back to the chunk, which turns them into exact probabilities. A filter of FILTER_BITS bits
-an n-gram keeps n-grams that no table holds from being asked for; it only rules out. Askers of one shard
-are salted, so a frequent n-gram's shard is no single task. Only tables of one row a vocabulary word (bounded by
-TRAIN_WORDS), the filter and the thresholds pass through the driver.
+an n-gram, MOST_BITS at most, keeps n-grams that no table holds from being asked for; it only rules out. Askers of one shard
+are salted, so a frequent n-gram's shard is no single task. Only tables of one row a vocabulary word (fewer
+than 1 << BITS), counts by frequency, the filter and the thresholds pass through the driver.
 
 Words seen less than MIN_COUNT times are replaced by their shape (runs of capitals, small letters,
 digits, and the marks between them), so that unknown words of usual form cost little and unusual forms
@@ -56,11 +55,13 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, Numbers, Scratch, chunks, lean, n_parts, table
 
-TRAIN_DOCS, TRAIN_WORDS, MIN_COUNT, FOLDS = 4000, 1_500_000, 2, 5
+MIN_COUNT, FOLDS = 2, 5
 QUANTILE, ALLOWANCE, GRID = 0.99, 1.5, 1000
 WINDOW, FOREIGN, SLOTS = 16, 2.0, 256
-#: N-grams (or foreign words) of a shard, bytes of text of a chunk, bits of the filter an n-gram.
-SHARD_GRAMS, CHUNK, FILTER_BITS = 1 << 19, 4 << 20, 16
+#: N-grams (or foreign words) of a shard, bytes of text of a chunk, bits of the filter an n-gram and in all.
+SHARD_GRAMS, CHUNK, FILTER_BITS, MOST_BITS = 1 << 19, 4 << 20, 16, 1 << 28
+#: Different words that a task counts before it hands them on.
+HELD_WORDS = 250_000
 _MARKS = b"".join(bytes([i]) for i in range(33, 127) if not chr(i).isalnum())
 START, END, UNKNOWN = 0, 1, 2
 BITS = 20  # of a word's id, so that a trigram is one exact 60-bit key
@@ -130,7 +131,7 @@ class Grid:
     """Three bit positions a key, and the bits that are set."""
 
     def __init__(self, n: int):
-        size = max(64, n * FILTER_BITS)
+        size = max(64, min(n * FILTER_BITS, MOST_BITS))
         self.primes = tuple(_prime(size - 1000 * k) for k in range(3)) if size > 10_000 else (10_007, 10_009, 10_037)
         self.words = np.zeros(max(self.primes) // 64 + 1, np.int64)
 
@@ -209,6 +210,9 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column("text").to_pylist():
             count.update((text or "").encode().split())
+            if len(count) > HELD_WORDS:
+                yield _counted(count)
+                count.clear()
     if count:
         yield _counted(count)
 
@@ -218,6 +222,9 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count: Counter = Counter()
     for batch in batches:
         count.update(map(shape, batch.column("word").to_pylist()))
+        if len(count) > HELD_WORDS:
+            yield _counted(count)
+            count.clear()
     if count:
         yield _counted(count)
 
@@ -295,26 +302,36 @@ def _few(rows: DataFrame, c: str) -> list[int]:
     return [got.get(k, 0) for k in (1, 2, 3, 4)]
 
 
+def vocabulary(counted: DataFrame, scratch: Scratch) -> list[bytes]:
+    """Words, and shapes of the others, that occur MIN_COUNT times or more; frequent ones first, since small ids compress well.
+
+    Ids have BITS bits: where more words would do, those of the count at which they run out keep their shapes.
+    """
+    rare = counted.filter(F.col("n") < MIN_COUNT).select("word").mapInArrow(_shapes, "word binary, n long")
+    shapes = rare.groupBy("word").agg(F.sum("n").alias("n"))
+    usual = scratch.write(counted.unionByName(shapes).filter(F.col("n") >= MIN_COUNT))
+    least, room = MIN_COUNT, (1 << BITS) - 8
+    # one row a count, of which there are few
+    for n, words in sorted(usual.groupBy("n").count().collect(), reverse=True):
+        room -= words
+        if room < 0:
+            least = n + 1
+            break
+    kept = usual.filter(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    scratch.drop(usual)
+    return kept.column("word").to_pylist()
+
+
 def train(docs: DataFrame, good: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
-    """The model, and its n-gram tables in shards, from the bounded sample of the trusted documents in all folds but 0."""
-    pool = good.filter("fold <> 0").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
-    # at most TRAIN_DOCS ids: their number bounds what is broadcast, and the rows that reach the window
+    """The model, and its n-gram tables in shards, from the whole texts of all trusted documents in all folds but 0."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    size = F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")))
-    sizes = rows.join(F.broadcast(pool), "doc_id", "left_semi").groupBy("doc_id").agg(size.alias("size"))
-    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = sizes.withColumn("so_far", so_far).filter(F.col("so_far") <= TRAIN_WORDS).select("doc_id")
-    sample = scratch.write(rows.join(F.broadcast(chosen), "doc_id", "left_semi")).repartition(8)
-    counted = scratch.write(sample.mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    # both lists are bounded by the sample; only they reach the driver, as Arrow
-    shapes = counted.filter(F.col("n") < MIN_COUNT).select("word").mapInArrow(_shapes, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    kept = [x.filter(F.col("n") >= MIN_COUNT).select("word", "n").toArrow().to_pylist() for x in (counted, shapes)]
-    # frequent words have small ids, which compress well
-    words = [r["word"] for r in sorted((r for x in kept for r in x), key=lambda r: (-r["n"], r["word"]))][: (1 << BITS) - 8]
+    texts = scratch.write(rows.join(good.filter("fold <> 0").select("doc_id"), "doc_id", "left_semi").select("text"))
+    counted = scratch.write(texts.mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    words = vocabulary(counted, scratch)
     n_words = len(words) + UNKNOWN + 1
     nothing = tuple(np.zeros(n_words, np.int64) for _ in range(5))
     bare = Model(words, discounts([0]), discounts([0]), nothing, 1, Grid(0))
-    three = scratch.write(sample.mapInArrow(partial(_grams, model=bare), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
+    three = scratch.write(texts.mapInArrow(partial(_grams, model=bare), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
     pairs = scratch.write(three.groupBy(F.col("k").bitwiseAND(PAIR).alias("k")).agg(F.count("*").alias("n")))
     contexts = three.groupBy(F.shiftright("k", BITS).alias("k")).agg(*by_count(F.col("n")))
     two = scratch.write(pairs.join(contexts, "k", "full").fillna(0, ["n", *CONTEXT]))
@@ -329,14 +346,15 @@ def train(docs: DataFrame, good: DataFrame, scratch: Scratch) -> tuple[Model, Da
     shards = -(-n_grams // SHARD_GRAMS) | 1  # odd, so that all of a key's bits decide
     grid = Grid(n_grams)
     bit = F.explode(F.array(*(F.pmod("k", F.lit(p)) for p in grid.primes)))
-    # one row a word of the filter, which has FILTER_BITS bits an n-gram of the bounded sample
+    # one row a word of the filter, which has MOST_BITS bits at most
     set_ = three.select("k").unionByName(two.select("k")).select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(b & 63 AS INT))")).alias("x")
     ).toArrow()
     grid.words[set_.column("at").to_numpy()] = set_.column("x").to_numpy()
     model = Model(words, discounts(_few(three, "n")), discounts(_few(pairs, "n")), tuple(tables), shards, grid)
-    held = dealt(three, GRAMS3, shards, ["n"], "<i4").unionByName(dealt(two, GRAMS2, shards, ["n", *CONTEXT], "<i4"))
-    return model, scratch.write(held)
+    held = scratch.write(dealt(three, GRAMS3, shards, ["n"], "<i8").unionByName(dealt(two, GRAMS2, shards, ["n", *CONTEXT], "<i8")))
+    scratch.drop(texts, counted, three, pairs, two)
+    return model, held
 
 
 # ---- one pass over all texts: encoded chunks, what they ask, and the words before unknown words
