@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import math
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import _nfkc, char_shingles, needs_nfkc, normalize
+from ..functions.text import _nfkc, needs_nfkc, normalize
+from . import near
 
 
 def normalized(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -61,49 +62,52 @@ def resolve_duplicates(docs: DataFrame, min_chars: int = 200) -> tuple[DataFrame
     return named.filter("doc_id = canonical_id").drop("canonical_id"), aliases
 
 
-def near_pairs(docs: DataFrame, k: int = 5, threshold: float = 0.9) -> DataFrame:
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The table, written and read again; shuffle files of a written step go with it."""
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def near_pairs(docs: DataFrame, k: int = 5, threshold: float = 0.9, folder: str | None = None) -> DataFrame:
     """a, b, jaccard: all pairs a < b of text classes whose character k-gram sets reach the threshold.
 
-    Exact, by prefix filtering: with shingles ordered from rare to common, a pair at threshold t
-    shares one of the first |s| - ceil(t |s|) + 1 of each side. Equal texts collapse to one class
-    first (its smallest doc_id; see text_classes), so copies do not multiply. Candidates are
-    verified on full sets of 64-bit shingle hashes.
+    Exact, by the pigeonhole principle (operators.near). Equal texts collapse to one class first (its smallest
+    doc_id; see text_classes), so copies do not multiply. Classes are told apart by 60 bits of their hash, and
+    candidates are verified on full sets of 64-bit shingle hashes. Texts and candidates are written under `folder`, so
+    that their shuffle files don't add up; without one the plan is lazy throughout.
     """
-    rows = docs.select("doc_id", F.sha2("text", 256).alias("h"), "text").filter("text IS NOT NULL")
-    classes = rows.groupBy("h").agg(F.min("doc_id").alias("c"), F.first("text").alias("text"))
-    grams = F.array_sort(F.transform(char_shingles(F.col("text"), k), lambda g: F.xxhash64(g)))
-    sets = classes.select("c", F.array_distinct(grams).alias("s")).withColumn("n", F.size("s"))
-    flat = sets.select("c", "n", F.explode("s").alias("g"))
-    df = flat.groupBy("g").agg(F.count("*").alias("df"))
-    rank = Window.partitionBy("c").orderBy("df", "g")
-    prefix = (
-        flat.join(df, "g")
-        .withColumn("r", F.row_number().over(rank))
-        .filter(F.col("r") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1)
-        .filter("df > 1")
-        .select("c", "n", "r", "g")
-    )
-    # lengths of a pair differ by the threshold at most, so only equal or neighbouring length classes meet
-    size = F.floor(F.log(F.col("n")) / F.lit(-math.log(threshold)) + 1e-9)
-    prefix = prefix.withColumn("z", size)
-    left = prefix.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("r").alias("ra"), "g", "z")
-    right = prefix.select(
-        F.col("c").alias("b"), F.col("n").alias("nb"), F.col("r").alias("rb"), "g", F.explode(F.array(F.col("z") - 1, F.col("z"), F.col("z") + 1)).alias("z")
-    )
-    close = F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9
-    # what may follow the shared shingle in both must suffice
-    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9)
-    enough = F.least("ra", "rb") + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb")) >= least
-    cand = left.join(right, ["g", "z"]).filter(F.col("a") < F.col("b")).filter(close & enough).select("a", "b").distinct()
-    both = (
-        cand.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
-        .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
-        .withColumn("i", F.size(F.array_intersect("sa", "sb")))
-        .withColumn("jaccard", F.col("i") / (F.size("sa") + F.size("sb") - F.col("i")))
-        .filter(F.col("jaccard") >= threshold)
-        .select("a", "b", "jaccard")
+    spark = docs.sparkSession
+    kept = lambda df, name: df if folder is None else written(df, f"{folder}/{name}")
+    rows = docs.select("doc_id", F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("long").alias("key"), "text")
+    classes = kept(rows.filter("text IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("c"), F.first("text").alias("text")), "texts")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = max(near.DEALT, parts // 16)
+    signed = classes.select("key", "text").mapInArrow(partial(near.signatures, k=k, threshold=threshold, dealt=dealt), near.SIGNED)
+    met = signed.repartition(parts, "band", "deal").sortWithinPartitions("band", "deal")
+    pairs = kept(met.mapInArrow(partial(near.candidates, threshold=threshold), near.PAIRS).distinct(), "candidates")
+    # candidates meet in blocks of texts that share their smallest neighbour, so that a text moves once a block
+    ends = pairs.select(F.explode(F.array(*(F.struct(F.col(x).alias("x"), F.col(n).alias("n"), F.col(y).alias("y")) for x, n, y in (("a", "na", "b"), ("b", "nb", "a"))))).alias("e"))
+    hub = ends.groupBy("e.x", "e.n").agg(F.min("e.y").alias("y")).select("x", "n", F.least("x", "y").alias("hub"))
+    size = hub.groupBy("hub").agg(F.ceil(F.sum("n") / near.BLOCK).alias("blocks"))
+    block = hub.join(size, "hub").select("x", F.xxhash64("hub", F.pmod(F.xxhash64("x"), F.col("blocks"))).alias("block"))
+    placed = (
+        pairs.join(block.select(F.col("x").alias("a"), F.col("block").alias("block_a")), "a")
+        .join(block.select(F.col("x").alias("b"), F.col("block").alias("block_b")), "b")
+        .select(F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("block"), "a", "b")
     )
-    return both
+    needed = placed.select("block", F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = needed.join(classes.select("key", "text"), "key").select("block", F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "text")
+    asked = placed.select("block", "a", "b", F.lit(None).cast("string").alias("text"))
+    both = texts.unionByName(asked).repartition(parts, "block").sortWithinPartitions("block", F.col("b").asc_nulls_first())
+    found = both.mapInArrow(partial(near.verified, k=k, threshold=threshold), near.FOUND)
+    named = found.join(classes.select(F.col("key").alias("a"), F.col("c").alias("ca")), "a").join(classes.select(F.col("key").alias("b"), F.col("c").alias("cb")), "b")
+    return named.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "jaccard")
 
 
 def text_classes(docs: DataFrame) -> DataFrame:
@@ -119,11 +123,9 @@ def greedy_resolve(classes: DataFrame, pairs: DataFrame, folder: str) -> DataFra
     neighbours of accepted ones go. Each round is written, so the plan stays short; the edges are few.
     A copy of an accepted text names that text, a copy of a rejected one what rejected it.
     """
-    spark = classes.sparkSession
 
     def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return written(df, f"{folder}/{name}")
 
     edges = kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "edges")
     state = kept(edges.select(F.col("a").alias("d")).union(edges.select("b")).distinct().withColumn("s", F.lit(0)), "state0")
@@ -156,7 +158,7 @@ def near_firsts(new: DataFrame, accepted: DataFrame | None, folder: str, thresho
     """The rows of new (doc_id, text) that are near no accepted text and no accepted earlier row of their own."""
     turn = lambda rows, n: rows.select(F.struct(F.lit(n).alias("turn"), F.col("doc_id").alias("id")).alias("doc_id"), "text")
     both = turn(new, 1) if accepted is None else turn(accepted, 0).unionByName(turn(new, 1))
-    named = greedy_resolve(text_classes(both), near_pairs(both, threshold=threshold), folder)
+    named = greedy_resolve(text_classes(both), near_pairs(both, threshold=threshold, folder=folder), folder)
     fine = named.filter("duplicate_of IS NULL AND doc_id.turn = 1").select(F.col("doc_id.id").alias("doc_id"))
     return new.join(fine, "doc_id", "left_semi")
 

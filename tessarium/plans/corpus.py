@@ -301,7 +301,7 @@ _NEAR = f"""a AS (SELECT min(doc_id) AS d, any_value({_FLAT}) AS f FROM document
 
 @query("near_dup_pairs", f"WITH {_NEAR} SELECT a, b, jaccard FROM e")
 def near_dup_pairs(spark, sf_dir):
-    return op.near_pairs(docs(spark, sf_dir)).withColumn("jaccard", F.round("jaccard", 6))
+    return op.near_pairs(docs(spark, sf_dir), folder=scratch_folder(spark, "near_dup_pairs")).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query("near_dup_classes", "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS class_id FROM documents WHERE text IS NOT NULL")
@@ -322,7 +322,8 @@ def near_dup_classes(spark, sf_dir):
 )
 def near_dup_resolve(spark, sf_dir):
     rows = docs(spark, sf_dir)
-    return op.greedy_resolve(op.text_classes(rows), op.near_pairs(rows), scratch_folder(spark, "near_dup_resolve"))
+    folder = scratch_folder(spark, "near_dup_resolve")
+    return op.greedy_resolve(op.text_classes(rows), op.near_pairs(rows, folder=folder), folder)
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

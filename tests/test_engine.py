@@ -2,10 +2,13 @@
 
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tessarium.functions import dates, html, text, urls
-from tessarium.operators import corpus, deliberation, metrics, relational, retrieval, sft
+from tessarium.operators import corpus, deliberation, metrics, near, relational, retrieval, sft
 
 
 def rows(df, *order):
@@ -57,6 +60,37 @@ def test_near_pairs_match_brute_force(spark):
     assert rows(corpus.text_classes(df).filter("doc_id <> class_id"), "doc_id") == [(6, 0)]
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.7])
+def test_near_pairs_of_near_copies_and_short_texts_match_brute_force(spark, threshold):
+    rng = np.random.default_rng(5)
+    texts = ["", " ", "a", "ab\u00e9", "abcde", "abcde ", "\U0001f600x" * 9, "aaaaaaa"]
+    for n in (4, 7, 9, 11, 20, 60, 200, 900):
+        base = "".join(rng.choice(list("abcd \u00df\n"), n))
+        for edits in (0, 1, 1, 2, 3, 6, 15):
+            chars = list(base)
+            for at in rng.integers(0, n, edits):
+                chars[at] = chr(rng.integers(97, 103))
+            texts.append("".join(chars) + "xyz"[: rng.integers(0, 4)])
+    first = {t: i for i, t in reversed(list(enumerate(texts)))}
+
+    def grams(t, k=5):
+        t = " ".join(x for line in t.split("\n") if (x := line.strip(" \t\n\x0b\x0c\r")))
+        return {t[i : i + k] for i in range(len(t) - k + 1)} if len(t) >= k else {t}
+
+    sets = {i: grams(t) for t, i in first.items()}
+    want = {(a, b): len(x & y) / len(x | y) for a, x in sets.items() for b, y in sets.items() if a < b and len(x & y) / len(x | y) >= threshold}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = corpus.near_pairs(df, threshold=threshold).collect()
+    assert len(got) == len(want) > 15 and {(r.a, r.b): r.jaccard for r in got} == want
+
+
+def test_near_duplicates_move_fewer_bytes_than_their_grams():
+    texts = ["".join(np.random.default_rng(i).choice(list("abcdefgh "), 3000)) for i in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], names=["key", "text"])
+    made = pa.Table.from_batches(near.signatures(iter([batch]), 5, 0.9, near.DEALT))
+    assert made.nbytes < 1.6 * batch.nbytes
+
+
 def test_greedy_resolution_names_the_first_accepted(spark, tmp_path):
     classes = spark.createDataFrame([(i, i) for i in range(5)] + [(7, 1)], "doc_id long, class_id long")
     pairs = spark.createDataFrame([(0, 1), (1, 2), (2, 3)], "a long, b long")
