@@ -25,18 +25,23 @@ from __future__ import annotations
 import heapq
 import math
 import pickle
+from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
-from .vectors import by_length, clean, meet, packed, unpack
+from .common import Scratch, lean, n_parts, table
+from .vectors import by_length, clean, packed, unpack
 
 K, EVERY = 5, 50
 SHARD_ROWS, BLOCK_ROWS, PAGE, FANOUT_SPLITS = 16384, 512, 256, 3
 SLACK = 1e-6
+#: Bytes of a row that holds part of a tree; blocks of queries that meet all shards at once.
+PIECE, ROUND = 1 << 20, 32
 #: Components below it have products whose sums doubles hold exactly, for up to 2**12 components.
 HUGE, DIMENSIONS = 1 << 20, 1 << 12
 
@@ -67,6 +72,16 @@ class MTree:
         self.o_arr = np.array(self.routing, np.int64)
         self.visited = self.computed = 0
 
+    def __getstate__(self) -> dict:
+        """Pages are slices of x, whose values are whole numbers below HUGE."""
+        return {**self.__dict__, "x": self.x.astype(np.int32), "pages": None, "page_ids": None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.x = self.x.astype(float)
+        self.pages = [None if m is None else self.x[m] for m in self.members]
+        self.page_ids = [None if m is None else self.ids[m] for m in self.members]
+
     def _dist(self, i: int, of: np.ndarray) -> np.ndarray:
         d2 = self.top * 2 - 2 * (self.x[of] @ self.x[i] + self.aug[of] * self.aug[i])
         return np.sqrt(np.maximum(d2, 0.0))
@@ -179,11 +194,18 @@ class Shard:
         return heapq.nsmallest(k, found, key=lambda z: (-z[0], z[1]))
 
 
-def _build(batches):
-    for pdf in batches:
-        for row in pdf.itertuples(index=False):
-            made = Shard(*unpack(row.ids, row.vectors, row.dim))
-            yield pd.DataFrame({"shard": [row.shard], "dim": [row.dim], "tree": [pickle.dumps(made, protocol=5)]})
+def _trees(own: DataFrame, shards: int) -> DataFrame:
+    """The tree of each shard, in rows of PIECE bytes at most, in the order of part."""
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec_id")
+        x = np.stack(pdf["v"].to_numpy()).astype("f8")
+        made = pickle.dumps(Shard(pdf["vec_id"].to_numpy().astype("<i8"), x), protocol=5)
+        cuts = [made[at : at + PIECE] for at in range(0, len(made), PIECE)]
+        return pd.DataFrame({"shard": pdf["shard"].iloc[0], "part": range(len(cuts)), "tree": cuts})
+
+    dealt = own.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    return dealt.groupBy("shard").applyInPandas(build, "shard int, part int, tree binary")
 
 
 FOUND = "query_id long, vec_id long, score long, size string"
@@ -201,40 +223,66 @@ def _size(score: int) -> str:
 def top_k(rows: DataFrame, scratch: Scratch, k: int = K, every: int = EVERY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The k highest integer inner products of each row whose id is divisible by `every`, against all rows of its length."""
     base = scratch.write(clean(rows, nonzero=False))
-    held: dict[int, Shard] = {}
-
-    def search(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                if row.shard not in held:
-                    held.clear()
-                    held[row.shard] = pickle.loads(row.tree)
-                q_ids, q = unpack(row.q_ids, row.q_vectors, row.dim)
-                found = [(int(i), v, s) for i, x in zip(q_ids, q, strict=True) for s, v in held[row.shard].search(int(i), x, k)]
-                limit = [min(max(s, -(1 << 63)), (1 << 63) - 1) for _, _, s in found]
-                yield pd.DataFrame(
-                    {
-                        "query_id": np.array([f[0] for f in found], np.int64),
-                        "vec_id": np.array([f[1] for f in found], np.int64),
-                        "score": np.array(limit, np.int64),
-                        "size": [_size(f[2]) for f in found],
-                    }
-                )
 
     def one_length(own: DataFrame) -> DataFrame:
         n = own.count()
         shards, blocks = -(-n // shard_rows) or 1, -(-n // (every * BLOCK_ROWS)) or 1
-        trees = scratch.write(packed(own, shards).mapInPandas(_build, "shard int, dim int, tree binary"))
-        queries = packed(own.filter(F.col("vec_id") % every == 0), blocks)
-        return meet(trees, queries, shards).mapInPandas(search, FOUND)
+        trees = scratch.write(_trees(own, shards))
+        queries = scratch.write(packed(own.filter(F.col("vec_id") % every == 0), blocks).withColumnRenamed("shard", "block"))
+        found = [
+            scratch.write(_best(_met(trees, queries.filter(F.floor(F.col("block") / ROUND) == r), shards, k), k))
+            for r in range(-(-blocks // ROUND))
+        ]
+        scratch.drop(trees, queries)
+        return reduce(DataFrame.unionByName, found)
+
+    return by_length(base, one_length)
+
+
+def _met(trees: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
+    """The k best of each query in each shard; a task reads a shard's tree once, then the blocks of queries dealt to it."""
+    parts = n_parts(trees.sparkSession)
+    salts = min(max(1, parts // shards), ROUND)
+    nothing = F.lit(None).cast("binary")
+    index = trees.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), "part", nothing.alias("ids"), F.col("tree").alias("x"), F.lit(0).alias("dim"))
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+        (F.col("block") % salts).alias("salt"),
+        F.lit(1).alias("kind"),
+        F.col("block").alias("part"),
+        "ids",
+        F.col("vectors").alias("x"),
+        "dim",
+    )
+    rows = index.unionByName(asked).repartition(parts, "shard", "salt").sortWithinPartitions("shard", "salt", "kind", "part")
+    return rows.mapInArrow(partial(_search, k=k), FOUND)
+
+
+@lean
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    at, pieces, tree = -1, [], None
+    for batch in batches:
+        for shard, kind, part, ids, x, dim in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "part", "ids", "x", "dim")), strict=True):
+            if kind == 0:
+                if part == 0:
+                    at, pieces, tree = shard, [], None
+                pieces.append(x)
+                continue
+            if at != shard:  # a shard without vectors
+                continue
+            if tree is None:
+                tree, pieces = pickle.loads(b"".join(pieces)), []
+            q_ids, q = unpack(ids, x, dim)
+            found = [(int(i), v, s) for i, y in zip(q_ids, q, strict=True) for s, v in tree.search(int(i), y, k)]
+            limit = [min(max(s, -(1 << 63)), (1 << 63) - 1) for _, _, s in found]
+            columns = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(limit, pa.int64()), pa.array([_size(f[2]) for f in found], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "size"])
 
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("size"), "vec_id")
-    return (
-        by_length(base, one_length)
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-    )
+    ranks = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranks.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,6 +190,23 @@ def test_mtree_top_k(spark):
     assert mtree.top_k(df.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_mtree_rows_are_bounded_and_rounds_meet_all(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "PIECE", 3000)
+    monkeypatch.setattr(mtree, "ROUND", 2)
+    monkeypatch.setattr(mtree, "BLOCK_ROWS", 3)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(900)] + [(1000, [1e9, 1.0, 2.0, -1.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    trees = mtree._trees(mtree.clean(df, nonzero=False), 4)
+    assert max(len(r.tree) for r in trees.collect()) <= 3000 and trees.count() > 8
+    whole = {i: [mtree.scaled(v) for v in x] for i, x in rows}
+    want = []
+    for q in (i for i in whole if i % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in mtree.top_k(df, Scratch(spark, "t"), shard_rows=40).collect()) == sorted(want)
+
+
 def test_mtree_rules_out_pages():
     rng = np.random.default_rng(0)
     centres = rng.integers(-200, 200, (40, 3))
