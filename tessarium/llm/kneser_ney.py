@@ -44,7 +44,8 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import partial, reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -60,6 +61,8 @@ QUANTILE, ALLOWANCE, GRID = 0.99, 1.5, 1000
 WINDOW, FOREIGN, SLOTS = 16, 2.0, 256
 #: N-grams (or foreign words) of a shard, bytes of text of a chunk, bits of the filter an n-gram and in all.
 SHARD_GRAMS, CHUNK, FILTER_BITS, MOST_BITS = 1 << 19, 4 << 20, 16, 1 << 28
+#: Turns in which texts are scored at most, and bytes of text that are worth one.
+TURNS, TURN = 8, 16 << 20
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 250_000
 _MARKS = b"".join(bytes([i]) for i in range(33, 127) if not chr(i).isalnum())
@@ -166,9 +169,17 @@ class Model:
         else:
             self.p1 = np.full(self.size, uniform)
         self.id: dict[bytes, int] = {}
+        self.known: set[bytes] = set()
+        self.met: dict[bytes, tuple[int, int, int]] = {}
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "id": {}}
+        return {**self.__dict__, "id": {}, "known": set(), "met": {}}
+
+    def cores(self) -> tuple[set[bytes], dict[bytes, tuple[int, int, int]]]:
+        """The vocabulary's cores, and what is known of words met; a worker keeps both from task to task."""
+        if not self.known:
+            self.known = {core(w.translate(LOWER)) for w in self.words if not w.startswith(b"\x00")}
+        return self.known, self.met
 
     def of(self, word: bytes) -> int:
         """The id of a word of the vocabulary; other words have their shape's, or UNKNOWN."""
@@ -260,18 +271,173 @@ def trigrams(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
     return keys[inside]
 
 
+def by_shard(shard: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The stable order of rows by shard, and each shard with where its rows begin and end in it."""
+    order = np.argsort(shard.astype("<u2" if len(shard) and shard.max() < 1 << 16 else "<u4"), kind="stable")
+    s = shard[order]
+    first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]][: len(s)])
+    return order, list(zip(s[first].tolist(), first.tolist(), [*first[1:].tolist(), len(s)], strict=False))
+
+
+class Sums:
+    """Columns summed by key; what is added is summed up whenever it has MOST rows more than the sums."""
+
+    MOST = 1 << 21
+
+    def __init__(self, columns: int):
+        self.n, self.held, self.rows, self.kept = columns, [], 0, 0
+
+    def add(self, keys: np.ndarray, *columns: np.ndarray) -> None:
+        self.held.append((keys, *columns))
+        self.rows += len(keys)
+        if self.rows > self.kept + self.MOST:
+            self.held = [self.get()]
+            self.rows = self.kept = len(self.held[0][0])
+
+    def get(self) -> tuple[np.ndarray, ...]:
+        """The distinct keys in their order, and the sums."""
+        if not self.held:
+            return tuple(np.zeros(0, np.int64) for _ in range(self.n + 1))
+        keys, *columns = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        return keys[first], *(np.add.reduceat(c[order].astype(np.int64), first) if len(first) else c for c in columns)
+
+
+#: Rows of packed keys and columns, dealt by shard.
+BLOB = "kind int, shard int, x binary"
+CONTEXTS, ENDS = 4, 5
+
+
+def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    kinds, shards, xs = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(shards, pa.int32()), pa.array(xs, pa.binary())], names=["kind", "shard", "x"])
+
+
+def _dealt(kind: int, keys: np.ndarray, shard: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Sorted keys and columns, a row a shard."""
+    order, cuts = by_shard(shard)
+    keys, columns = keys[order], [c[order].astype("<u4") for c in columns]
+    return _blobs([(kind, s, pack(differences(keys[i:j]), *(c[i:j] for c in columns))) for s, i, j in cuts])
+
+
+def _by_blob(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in ("kind", "shard", "x")), strict=True)
+
+
 @lean
 def _grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Trigrams of chunks with their counts, dealt by their first two words."""
     ids = lambda words: np.fromiter(map(model.of, words), np.int64, len(words))
     for texts in chunks(batches, model.chunk):
         made = Chunk(texts.column("text").to_pylist(), ids)
         found, n = np.unique(trigrams(made.ids, made.n), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["k", "n"])
+        yield _dealt(GRAMS3, found, np.mod(found >> BITS, model.shards), n)
+
+
+@lean
+def _three(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by shard: each shard's trigrams, their contexts (of the same shard), and parts of the bigrams' counts as ends."""
+    ends = Sums(1)
+    for shard, rows in groupby(_by_blob(batches), key=lambda r: r[1]):
+        sums = Sums(1)
+        for _, _, x in rows:
+            keys, n = unpack(x)
+            sums.add(np.cumsum(keys), n)
+        k, n = sums.get()
+        pairs = k >> BITS
+        first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)])
+        of = [np.add.reduceat(c.astype(np.int64), first).astype("<u4") for c in (n, n == 1, n == 2, n > 2)]
+        yield _blobs([(GRAMS3, shard, pack(differences(k), n.astype("<u4"))), (CONTEXTS, shard, pack(differences(pairs[first]), *of))])
+        ends.add(k & PAIR, np.ones(len(k), np.int64))
+        if ends.kept > Sums.MOST:
+            q, n = ends.get()
+            yield _dealt(ENDS, q, np.mod(q, shards), n)
+            ends = Sums(1)
+    q, n = ends.get()
+    if len(q):
+        yield _dealt(ENDS, q, np.mod(q, shards), n)
+
+
+@lean
+def _two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by shard: each shard's bigrams with their counts as ends and as contexts."""
+    for shard, rows in groupby(_by_blob(batches), key=lambda r: r[1]):
+        sums = Sums(5)
+        for kind, _, x in rows:
+            keys, *columns = unpack(x)
+            no = np.zeros(len(keys), "<u4")
+            sums.add(np.cumsum(keys), *(columns + [no] * 4 if kind == ENDS else [no, *columns]))
+        k, *columns = sums.get()
+        yield _blobs([(GRAMS2, shard, pack(differences(k), *(c.astype("<u4") for c in columns)))])
+
+
+STATS = "w long, n long, total long, ones long, twos long, more long"
+
+
+@lean
+def _stats(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Of each word: bigrams that end in it, and as a context; at -3 and -2 the trigrams and bigrams, and those with counts of 1, 2, 3 and 4."""
+    of = np.zeros((5, words), np.int64)
+    few = {GRAMS3: np.zeros(5, np.int64), GRAMS2: np.zeros(5, np.int64)}
+    for kind, _, x in _by_blob(batches):
+        keys, n, *_ = unpack(x)
+        few[kind] += [len(keys), *((n == c).sum() for c in (1, 2, 3, 4))]
+        if kind == GRAMS2:
+            k, n = np.cumsum(keys)[n > 0], n[n > 0].astype(np.int64)
+            of[0] += np.bincount(k & LOW, minlength=words)
+            for to, c in zip(of[1:], (n, n == 1, n == 2, n > 2), strict=True):
+                to += np.bincount(k >> BITS, c, minlength=words).astype(np.int64)
+    at = np.flatnonzero(of.any(axis=0))
+    columns = np.concatenate([of[:, at], np.stack([few[GRAMS3], few[GRAMS2]], axis=1)], axis=1)
+    w = np.r_[at, -GRAMS3, -GRAMS2]
+    yield pa.RecordBatch.from_arrays([pa.array(w), *map(pa.array, columns)], names=[c.split(" ")[0] for c in STATS.split(", ")])
+
+
+#: Bits of a slice of the filter, as a power of two.
+SLICE = 22
+
+
+@lean
+def _bits(batches: Iterator[pa.RecordBatch], primes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """The filter's bits, in slices."""
+
+    def flush() -> pa.RecordBatch:
+        bits = distinct(np.concatenate(held))
+        held.clear()
+        return _dealt(0, bits, bits >> SLICE)
+
+    held: list[np.ndarray] = []
+    have = 0
+    for _, _, x in _by_blob(batches):
+        keys = np.cumsum(unpack(x)[0])
+        held += [keys % p for p in primes]
+        have += len(primes) * len(keys)
+        if have > 6_000_000:
+            yield flush()
+            have = 0
+    if held:
+        yield flush()
+
+
+@lean
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for slice_, rows in groupby(_by_blob(batches), key=lambda r: r[1]):
+        words = np.zeros(1 << SLICE - 6, np.int64)
+        for _, _, x in rows:
+            bits = np.cumsum(unpack(x)[0]) & (1 << SLICE) - 1
+            at = bits >> 6
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
+            words[at[first]] |= np.bitwise_or.reduceat(np.left_shift(1, bits & 63), first)
+        yield _blobs([(0, slice_, words.tobytes())])
 
 
 #: A table of counts, whose rows carry their keys and columns, or a request with its keys, or its answer.
 ROW = "what int, shard int, kind int, chunk long, x binary"
 GRAMS3, GRAMS2, WORD = 3, 2, 1
+CONTEXT = ["total", "ones", "twos", "more"]
 
 
 def dealt(rows: DataFrame, what: int, shards: int, columns: list[str], kind: str) -> DataFrame:
@@ -285,23 +451,6 @@ def dealt(rows: DataFrame, what: int, shards: int, columns: list[str], kind: str
     return rows.withColumn("shard", F.pmod("k", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(packed, ROW)
 
 
-def by_count(c: Column, prefix: str = "") -> list[Column]:
-    return [
-        F.sum(c).alias(f"{prefix}total"),
-        F.count_if(c == 1).alias(f"{prefix}ones"),
-        F.count_if(c == 2).alias(f"{prefix}twos"),
-        F.count_if(c > 2).alias(f"{prefix}more"),
-    ]
-
-
-CONTEXT = ["total", "ones", "twos", "more"]
-
-
-def _few(rows: DataFrame, c: str) -> list[int]:
-    got = {r[0]: r[1] for r in rows.filter(F.col(c) <= 4).groupBy(c).count().collect()}
-    return [got.get(k, 0) for k in (1, 2, 3, 4)]
-
-
 def vocabulary(counted: DataFrame, scratch: Scratch) -> list[bytes]:
     """Words, and shapes of the others, that occur MIN_COUNT times or more; frequent ones first, since small ids compress well.
 
@@ -330,37 +479,45 @@ def train(docs: DataFrame, good: DataFrame, scratch: Scratch) -> tuple[Model, Da
     words = vocabulary(counted, scratch)
     n_words = len(words) + UNKNOWN + 1
     nothing = tuple(np.zeros(n_words, np.int64) for _ in range(5))
-    bare = Model(words, discounts([0]), discounts([0]), nothing, 1, Grid(0))
-    three = scratch.write(texts.mapInArrow(partial(_grams, model=bare), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
-    pairs = scratch.write(three.groupBy(F.col("k").bitwiseAND(PAIR).alias("k")).agg(F.count("*").alias("n")))
-    contexts = three.groupBy(F.shiftright("k", BITS).alias("k")).agg(*by_count(F.col("n")))
-    two = scratch.write(pairs.join(contexts, "k", "full").fillna(0, ["n", *CONTEXT]))
+    # there are no more trigrams than tokens; odd, so that all of a key's bits decide
+    shards = -(-(counted.agg(F.sum("n")).first()[0] or 0) // SHARD_GRAMS) | 1
+    parts = n_parts(docs.sparkSession)
+    scratch.drop(counted)
+    bare = Model(words, discounts([0]), discounts([0]), nothing, shards, Grid(0))
+    dealt_by = lambda rows: rows.repartition(parts, "shard").sortWithinPartitions("shard")
+    made = scratch.write(dealt_by(texts.mapInArrow(partial(_grams, model=bare), BLOB)).mapInArrow(partial(_three, shards=shards), BLOB), by="kind")
+    scratch.drop(texts)
+    kept = lambda df, *kinds: df.filter(F.col("kind").isin(*kinds)).select("kind", "shard", "x")
+    two = scratch.write(dealt_by(kept(made, CONTEXTS, ENDS)).mapInArrow(_two, BLOB))
+    for kind in (CONTEXTS, ENDS):
+        scratch.drop_path(f"{made._scratch_path}/kind={kind}")
+    both = kept(made, GRAMS3).unionByName(two)
     # one row a word of the vocabulary
-    ends = pairs.groupBy(F.col("k").bitwiseAND(LOW).alias("w")).agg(F.count("*").alias("n"))
-    starts = pairs.groupBy(F.shiftright("k", BITS).alias("w")).agg(*by_count(F.col("n")))
-    got = ends.join(starts, "w", "full").fillna(0).select("w", "n", *CONTEXT).toArrow()
+    stats = scratch.write(both.mapInArrow(partial(_stats, words=n_words), STATS).groupBy("w").agg(*(F.sum(c).alias(c) for c in ("n", *CONTEXT))))
+    got = stats.toArrow()
+    w, columns = got.column("w").to_numpy(), [got.column(c).to_numpy() for c in ("n", *CONTEXT)]
+    few = {k: [int(c[w == -k].sum()) for c in columns] for k in (GRAMS3, GRAMS2)}
     tables = [np.zeros(n_words, np.int64) for _ in range(5)]
-    for to, c in zip(tables, ("n", *CONTEXT), strict=True):
-        to[got.column("w").to_numpy()] = got.column(c).to_numpy()
-    n_grams = three.count() + two.count()
-    shards = -(-n_grams // SHARD_GRAMS) | 1  # odd, so that all of a key's bits decide
-    grid = Grid(n_grams)
-    bit = F.explode(F.array(*(F.pmod("k", F.lit(p)) for p in grid.primes)))
-    # one row a word of the filter, which has MOST_BITS bits at most
-    set_ = three.select("k").unionByName(two.select("k")).select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(b & 63 AS INT))")).alias("x")
-    ).toArrow()
-    grid.words[set_.column("at").to_numpy()] = set_.column("x").to_numpy()
-    model = Model(words, discounts(_few(three, "n")), discounts(_few(pairs, "n")), tuple(tables), shards, grid)
-    held = scratch.write(dealt(three, GRAMS3, shards, ["n"], "<i8").unionByName(dealt(two, GRAMS2, shards, ["n", *CONTEXT], "<i8")))
-    scratch.drop(texts, counted, three, pairs, two)
+    for to, c in zip(tables, columns, strict=True):
+        to[w[w >= 0]] = c[w >= 0]
+    grid = Grid(few[GRAMS3][0] + few[GRAMS2][0])
+    slices = scratch.write(dealt_by(both.mapInArrow(partial(_bits, primes=grid.primes), BLOB)).mapInArrow(_slices, BLOB))
+    # the filter, which has MOST_BITS bits at most
+    for _, i, x in _by_blob(slices.toArrow().to_batches()):
+        at = i << SLICE - 6
+        to = grid.words[at : at + (1 << SLICE - 6)]
+        to[:] = np.frombuffer(x, np.int64)[: len(to)]
+    model = Model(words, discounts(few[GRAMS3][1:]), discounts(few[GRAMS2][1:]), tuple(tables), shards, grid)
+    scratch.drop(stats, slices)
+    held = both.select(F.col("kind").alias("what"), "shard", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("chunk"), "x")
+    held._made_of = (made, two)
     return model, held
 
 
 # ---- one pass over all texts: encoded chunks, what they ask, and the words before unknown words
 
 ENCODED = ", ".join([ROW, "h long", *(f"b{i} long" for i in range(SLOTS // 64)), "in_trusted boolean"])
-TEXT, ASK, WORDS = 1, 2, 3
+TEXT, ASK, WORDS, ASK_WORDS = 1, 2, 3, 4
 
 
 def asked(keys: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
@@ -386,13 +543,12 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 @lean
-def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], held, turn: int = 0) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     model: Model = held.value
-    uid = TaskContext.get().partitionId() << 32
-    known = {core(w.translate(LOWER)) for w in model.words if not w.startswith(b"\x00")}
-    cores: dict[bytes, tuple[int, int, int]] = {}
+    uid = turn << 56 | TaskContext.get().partitionId() << 32
+    known, cores = model.cores()
     bits: dict[int, int] = {}
     seen: set[int] = set()
 
@@ -447,12 +603,17 @@ def _encode(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]
         x = pack(made.ids.astype("<u4"), made.n.astype("<u4"), differences(holds).astype("<i8"), where, np.frombuffer(meta, np.uint8))
         yield _batch(kind=[TEXT], chunk=[uid], what=[0], shard=[0], x=[x])
         grams, pairs, ask3, ask2 = asked(trigrams(made.ids, made.n), model)
-        for what, keys in ((GRAMS3, grams[ask3]), (GRAMS2, pairs[ask2]), (WORD, strange)):
-            shard = np.mod(keys, model.shards)
-            some = np.unique(shard).tolist()
-            if some:
-                xs = [pack(differences(keys[shard == s])) for s in some]
-                yield _batch(kind=[ASK] * len(some), chunk=[uid] * len(some), what=[what] * len(some), shard=some, x=xs)
+        for kind, what, keys, shard in (
+            (ASK, GRAMS3, grams := grams[ask3], grams >> BITS),
+            (ASK, GRAMS2, pairs := pairs[ask2], pairs),
+            (ASK_WORDS, WORD, strange, strange),
+        ):
+            order, cuts = by_shard(np.mod(shard, model.shards))
+            keys = keys[order]
+            if cuts:
+                xs = [pack(differences(keys[i:j])) for _, i, j in cuts]
+                n = len(cuts)
+                yield _batch(kind=[kind] * n, chunk=[uid] * n, what=[what] * n, shard=[s for s, _, _ in cuts], x=xs)
         uid += 1
     if bits:
         yield flush()
@@ -494,10 +655,10 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(cols, names=["what", "shard", "kind", "chunk", "x"])
 
 
-def answers(tables: DataFrame, requests: DataFrame) -> DataFrame:
-    """The sharded join: each request beside the shard that it asks, askers dealt SALT ways."""
+def answers(tables: DataFrame, requests: DataFrame, n: int) -> DataFrame:
+    """The sharded join: each request beside the shard that it asks, of n in all; askers are dealt `salts` ways."""
     parts = n_parts(tables.sparkSession)
-    salts = max(1, parts // max(1, tables.count()))
+    salts = max(1, parts // max(1, n))
     salted = tables.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = salted.unionByName(requests.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int")))
     keys = ["what", "shard", "salt"]
@@ -522,71 +683,107 @@ def measures(logs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[float |
     return np.add.reduceat(logs, first), worst
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], dict[tuple[int, int], list[np.ndarray]]]]:
+    """Rows come sorted by chunk, its own row first, then the answers of the shards: chunk, its arrays, the answers by table and shard."""
+    at, own, got = None, None, {}
+    for batch in batches:
+        for what, shard, kind, chunk, x in zip(*(batch.column(c).to_pylist() for c in ("what", "shard", "kind", "chunk", "x")), strict=True):
+            if kind == TEXT:
+                if own is not None:
+                    yield at, own, got
+                at, own, got = chunk, unpack(x), {}
+            else:
+                got[what, shard] = unpack(x)
+    if own is not None:
+        yield at, own, got
+
+
+def _filled(got: dict, what: int, shard: np.ndarray, columns: int, kind: str) -> list[np.ndarray]:
+    """The answers of a table in the order of what was asked, by the shards asked."""
+    out = [np.zeros(len(shard), kind) for _ in range(columns)]
+    order, cuts = by_shard(shard)
+    for s, i, j in cuts:
+        for to, x in zip(out, got.get((what, s), []), strict=False):
+            to[order[i:j]] = x
+    return out
+
+
+def _spread(ask: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Answers at what was asked, 0 elsewhere."""
+    out = [np.zeros(len(ask), c.dtype) for c in columns]
+    for to, c in zip(out, columns, strict=True):
+        to[ask] = c
+    return out
+
+
 @lean
 def _score(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by chunk: the encoded texts, then the answers of the shards."""
+    """Encoded texts become their scores, which wait in their chunk for the evidence of foreign words."""
     model: Model = held.value
-    texts: list[np.ndarray] | None = None
-    got: dict[tuple[int, int], list[np.ndarray]] = {}
-
-    def filled(what: int, shard: np.ndarray, ask: np.ndarray, columns: int, kind: str) -> list[np.ndarray]:
-        out = [np.zeros(len(shard), kind) for _ in range(columns)]
-        asked_at = np.flatnonzero(ask)
-        shard = shard[asked_at]
-        for s in np.unique(shard).tolist():
-            for to, x in zip(out, got.get((what, s), []), strict=False):
-                to[asked_at[shard == s]] = x
-        return out
-
-    def close() -> pa.RecordBatch:
-        ids, n, holds, where, meta = texts
-        ids, n, holds = ids.astype(np.int64), n.astype(np.int64), np.cumsum(holds)
+    for chunk, (ids, n, holds, where, meta), got in _chunks(batches):
+        ids, n = ids.astype(np.int64), n.astype(np.int64)
         keys = trigrams(ids, n)
         grams, pairs, ask3, ask2 = asked(keys, model)
-        count = filled(GRAMS3, np.mod(grams, model.shards), ask3, 1, "<i8")[0]
-        logs = model.logs(grams, pairs, count, filled(GRAMS2, np.mod(pairs, model.shards), ask2, 5, "<i8"))
+        count = _spread(ask3, _filled(got, GRAMS3, np.mod(grams[ask3] >> BITS, model.shards), 1, "<i8"))[0]
+        of = _spread(ask2, _filled(got, GRAMS2, np.mod(pairs[ask2], model.shards), 5, "<i8"))
+        logs = model.logs(grams, pairs, count, of)
         lp, worst = measures(logs[np.searchsorted(grams, keys)], n + 1)
-        evidence = filled(WORD, where, np.ones(len(where), bool), 1, "<f8")[0]
+        x = pack(lp, n + 1, np.array(worst, float), holds, where, meta)  # None becomes NaN
+        cols = [pa.array([c], k) for c, k in zip((0, 0, TEXT, chunk, x), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)]
+        yield pa.RecordBatch.from_arrays(cols, names=["what", "shard", "kind", "chunk", "x"])
+
+
+@lean
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, (lp, n, worst, holds, where, meta), got in _chunks(batches):
+        holds = np.cumsum(holds)
+        evidence = _filled(got, WORD, where, 1, "<f8")[0]
         far = np.zeros(len(n))
         np.maximum.at(far, holds // (len(where) + 1), evidence[holds % (len(where) + 1)] if len(holds) else 0.0)
         cols = [*(pa.array(c, k) for c, k in zip(pickle.loads(meta.tobytes()), (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True))]
-        cols += [pa.array(lp), pa.array(n + 1), pa.array(worst, pa.float64()), pa.array(far)]
-        return pa.RecordBatch.from_arrays(cols, names=[c.split(" ")[0] for c in SCORED.split(", ")])
-
-    for batch in batches:
-        for what, shard, kind, x in zip(*(batch.column(c).to_pylist() for c in ("what", "shard", "kind", "x")), strict=True):
-            if kind == TEXT:
-                if texts is not None:
-                    yield close()
-                texts, got = unpack(x), {}
-            else:
-                got[what, shard] = unpack(x)
-    if texts is not None:
-        yield close()
+        cols += [pa.array(lp), pa.array(n), pa.array(worst, from_pandas=True), pa.array(far)]
+        yield pa.RecordBatch.from_arrays(cols, names=[c.split(" ")[0] for c in SCORED.split(", ")])
 
 
 def measure(docs: DataFrame, good: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, lang, m1 and m2 (marks of the text), lp (log10 P), n_tokens, worst and strange of every row, written."""
+    """doc_id, lang, m1 and m2 (marks of the text), lp (log10 P), n_tokens, worst and strange of every row, written.
+
+    All rows are scored, in up to TURNS turns of about TURN bytes of text at least, each with a part of the rows by hash;
+    what a turn asks and is answered goes before the next. Foreign words are known, and asked for, after all turns.
+    """
     spark = docs.sparkSession
     model, tables = train(docs, good, scratch)
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"), *marks(text))
     # fold 0 stays outside, so that its documents show how often usual words look foreign
     flags = good.filter("fold <> 0").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("trusted"))
-    share = min(flags.count() / max(1, rows.count()), 0.999)
-    flagged = rows.join(flags, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    n, size = docs.select(text.alias("text")).agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    share = min(flags.count() / max(1, n), 0.999)
+    turns = max(1, min(TURNS, -(-(size or 0) // TURN)))
     held = spark.sparkContext.broadcast(model)
-    encoded = scratch.write(flagged.mapInArrow(partial(_encode, held=held), ENCODED), by="kind")
-    kinds = {k: encoded.filter(F.col("kind") == k) for k in (TEXT, ASK, WORDS)}
-    found = foreign_words(kinds[WORDS], share) if share else foreign_words(kinds[WORDS], 0.5).filter("false")
-    tables = tables.unionByName(scratch.write(dealt(scratch.write(found), WORD, model.shards, ["e"], "<f8")))
-    scratch.drop_path(f"{encoded._scratch_path}/kind={WORDS}")
     cols = [c.split(" ")[0] for c in ROW.split(", ")]
-    replies = scratch.write(answers(tables, kinds[ASK].select(*cols)))
-    scratch.drop_path(f"{encoded._scratch_path}/kind={ASK}")
-    by_chunk = kinds[TEXT].select(*cols).unionByName(replies).repartition(n_parts(spark), "chunk").sortWithinPartitions("chunk", "kind")
-    out = scratch.write(by_chunk.mapInArrow(partial(_score, held=held), SCORED))
-    scratch.drop(encoded, replies)
+    together = lambda a, b: a.select(*cols).unionByName(b).repartition(n_parts(spark), "chunk").sortWithinPartitions("chunk", "kind")
+    encoded, scored = [], []
+    for turn in range(turns):
+        part = rows.filter(F.pmod(F.xxhash64("doc_id", "m1"), F.lit(turns)) == turn)
+        flagged = part.join(flags, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+        made = scratch.write(flagged.mapInArrow(partial(_encode, held=held, turn=turn), ENCODED), by="kind")
+        replies = scratch.write(answers(tables, made.filter(F.col("kind") == ASK).select(*cols), 2 * model.shards))
+        scratch.drop_path(f"{made._scratch_path}/kind={ASK}")
+        scored.append(scratch.write(together(made.filter(F.col("kind") == TEXT), replies).mapInArrow(partial(_score, held=held), ROW)))
+        scratch.drop_path(f"{made._scratch_path}/kind={TEXT}")
+        scratch.drop(replies)
+        encoded.append(made)
+    scratch.drop(*tables._made_of)
+    held.destroy()
+    every = lambda frames: reduce(DataFrame.unionByName, frames)
+    words = every([x.filter(F.col("kind") == WORDS) for x in encoded])
+    found = scratch.write(foreign_words(words, share) if share else foreign_words(words, 0.5).filter("false"))
+    foreign = scratch.write(dealt(found, WORD, model.shards, ["e"], "<f8"))
+    wanted = every([x.filter(F.col("kind") == ASK_WORDS).select(*cols) for x in encoded])
+    replies = scratch.write(answers(foreign, wanted, model.shards))
+    out = scratch.write(together(every(scored), replies).mapInArrow(_finish, SCORED))
+    scratch.drop(*encoded, *scored, found, foreign, replies)
     return out
 
 

@@ -1,6 +1,7 @@
 """op4 against an independent interpolated modified Kneser-Ney model on dictionaries, and its defined cases."""
 
 import math
+import pathlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -148,3 +149,27 @@ def test_vocabulary_ends_at_the_count_at_which_ids_run_out(spark, monkeypatch):
     assert kn.vocabulary(counted, Scratch(spark, "t")) == [*(f"w{i}".encode() for i in range(10)), kn.shape(b"Ab")]
     monkeypatch.setattr(kn, "BITS", 4)
     assert kn.vocabulary(counted, Scratch(spark, "t")) == [f"w{i}".encode() for i in range(8)]
+
+
+def test_turns_agree_and_leave_only_the_result(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    good, found = kn.trusted(df, labels), []
+    for turn in (1 << 30, 12_000):
+        monkeypatch.setattr(kn, "TURN", turn)
+        s = Scratch(spark, "t")
+        out = kn.measure(df, good, s)
+        found.append(sorted(tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in out.collect()))
+        assert [p.name for p in pathlib.Path(s.root.removeprefix("file:")).iterdir()] == [out._scratch_path.rpartition("/")[2]]
+    assert len(found[0]) == 140 and found[0] == found[1]
+
+
+def test_sums_are_those_of_a_counter(monkeypatch):
+    monkeypatch.setattr(kn.Sums, "MOST", 50)
+    rng, want, sums = np.random.default_rng(4), Counter(), kn.Sums(1)
+    for _ in range(40):
+        keys, n = rng.integers(0, 90, 20), rng.integers(1, 5, 20)
+        sums.add(keys, n)
+        for k, c in zip(keys.tolist(), n.tolist(), strict=True):
+            want[k] += c
+    assert list(zip(*(x.tolist() for x in sums.get()), strict=True)) == sorted(want.items())
