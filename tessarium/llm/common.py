@@ -119,14 +119,19 @@ def lean(f: Callable[..., Iterator]) -> Callable[..., Iterator]:
         try:
             yield from f(*args, **options)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if _LIBC is not None:
-                _LIBC.malloc_trim(0)
+            give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Gives free memory of this process back."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def _libc() -> ctypes.CDLL | None:
     try:
         found = ctypes.CDLL("libc.so.6")

@@ -42,29 +42,33 @@ from __future__ import annotations
 import math
 import pickle
 import re
+import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from collections.abc import Callable, Iterator, Sequence
+from functools import cached_property, partial, reduce
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Numbers, Scratch, chunks, lean, n_parts, table
+from .common import KEPT, LOWER, Scratch, chunks, give_back, lean, n_parts, table
 
 MIN_COUNT, FOLDS = 2, 5
 QUANTILE, ALLOWANCE, GRID = 0.99, 1.5, 1000
 WINDOW, FOREIGN, SLOTS = 16, 2.0, 256
 #: N-grams (or foreign words) of a shard, bytes of text of a chunk, bits of the filter an n-gram and in all.
-SHARD_GRAMS, CHUNK, FILTER_BITS, MOST_BITS = 1 << 19, 4 << 20, 16, 1 << 28
+SHARD_GRAMS, CHUNK, FILTER_BITS, MOST_BITS = 1 << 19, 4 << 20, 16, 1 << 27
 #: Turns in which texts are scored at most, and bytes of text that are worth one.
 TURNS, TURN = 8, 16 << 20
-#: Different words that a task counts before it hands them on.
+#: Different shapes that a task counts before it hands them on.
 HELD_WORDS = 250_000
+#: Unknown words with the slot of a word before each that a task holds before it hands them on.
+HELD_MARKS = 600_000
 _MARKS = b"".join(bytes([i]) for i in range(33, 127) if not chr(i).isalnum())
 START, END, UNKNOWN = 0, 1, 2
 BITS = 20  # of a word's id, so that a trigram is one exact 60-bit key
@@ -76,6 +80,8 @@ _SHAPE = (
     (re.compile(rb"[0-9]+"), b"\x04"),
     (re.compile(rb"([^\x01-\x04])\1+"), rb"\1\1"),
 )
+#: One character for all that _SHAPE does not tell apart: a word has the shape of what this makes of it.
+_KINDS = bytes(65 if 65 <= i <= 90 else 97 if 97 <= i <= 122 or i > 127 else 48 if 48 <= i <= 57 else i for i in range(256))
 
 
 def shape(word: bytes) -> bytes:
@@ -109,6 +115,16 @@ def distinct(x: np.ndarray, ordered: bool = False) -> np.ndarray:
     return x[np.r_[True, x[1:] != x[:-1]][: len(x)]]
 
 
+def places(x: np.ndarray, ordered: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in their order, and the place of each value among them."""
+    order = slice(None) if ordered else np.argsort(x)
+    s = x[order]
+    new = np.r_[True, s[1:] != s[:-1]][: len(s)]
+    at = np.empty(len(x), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return s[new], at
+
+
 def differences(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=keys[:1] * 0)
 
@@ -131,74 +147,127 @@ def _left(d: np.ndarray, total: np.ndarray, ones: np.ndarray, twos: np.ndarray,
 
 
 class Grid:
-    """Three bit positions a key, and the bits that are set."""
+    """One bit position a key, and the bits that are set."""
 
     def __init__(self, n: int):
-        size = max(64, min(n * FILTER_BITS, MOST_BITS))
-        self.primes = tuple(_prime(size - 1000 * k) for k in range(3)) if size > 10_000 else (10_007, 10_009, 10_037)
-        self.words = np.zeros(max(self.primes) // 64 + 1, np.int64)
+        self.bits = max(6, (max(1, min(n * FILTER_BITS, MOST_BITS)) - 1).bit_length())
+        self.words = np.zeros(1 << self.bits - 6, np.int64)
 
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for p in self.primes:
-            at = keys % p
-            out &= (self.words[at >> 6] >> (at & 63)) & 1 == 1
-        return out
+        at = positions(keys, self.bits)
+        return (self.words[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def positions(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The upper bits of a product with an odd number, all of whose bits count."""
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Words(Sequence):
+    """Words in their order as one compressed blob, so that a vocabulary is small in the driver and in a broadcast."""
+
+    def __init__(self, words: pa.LargeBinaryArray):
+        ends = np.frombuffer(words.buffers()[1] or bytes(8), np.int64)[words.offset :][: len(words) + 1]
+        flat = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        self.n, self.blob = len(words), pack(np.diff(ends).astype("<u4"), flat)
+
+    def __len__(self) -> int:
+        return self.n
 
+    def __getitem__(self, i):
+        return self.unpacked()[i]
 
-def _prime(n: int) -> int:
-    while any(n % k == 0 for k in range(2, math.isqrt(n) + 1)):
-        n -= 1
-    return n
+    def __iter__(self) -> Iterator[bytes]:
+        return iter(self.unpacked())
+
+    def __eq__(self, other) -> bool:
+        return self.unpacked() == list(other)
+
+    def unpacked(self) -> list[bytes]:
+        lengths, flat = unpack(self.blob)
+        ends = np.r_[0, np.cumsum(lengths.astype(np.int64))]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), self.n, [None, pa.py_buffer(ends), pa.py_buffer(flat)]).to_numpy(zero_copy_only=False).tolist()
 
 
 class Model:
-    """The vocabulary with its tables, the discounts, the filter, and how n-grams are dealt to shards."""
+    """The vocabulary with its tables, the discounts, the filter, and how n-grams are dealt to shards.
+
+    It travels packed; a worker unpacks what it needs and keeps it from task to task.
+    """
 
-    def __init__(self, words: list[bytes], d3: np.ndarray, d2: np.ndarray, pairs: tuple[np.ndarray, ...], shards: int, grid: Grid):
+    def __init__(self, words: Words, d3: np.ndarray, d2: np.ndarray, pairs: tuple[np.ndarray, ...], shards: int, grid: Grid):
         self.words, self.d3, self.d2, self.shards, self.grid = words, d3, d2, shards, grid
         self.size, self.chunk = len(words) + UNKNOWN + 1, CHUNK
         # of each word: its count as the end of distinct bigrams; as a context: distinct bigrams by their counts
-        n1, total, ones, twos, more = pairs
-        self.total2, self.left2 = total, _left(d2, total, ones, twos, more)
+        self.pairs = pack(*(c.astype("<i8") for c in pairs))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("unigrams", "id", "known")}
+
+    @cached_property
+    def unigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: its probability; as a context: its total, and what discounting leaves of its mass."""
+        n1, total, ones, twos, more = unpack(self.pairs)
         uniform = 1.0 / self.size
         if n1.sum():
             d1 = discounts([int((n1 == k).sum()) for k in (1, 2, 3, 4)])
             cut = d1[np.minimum(n1, 3)]
-            self.p1 = (n1 - cut) / n1.sum() + cut.sum() / n1.sum() * uniform
+            p1 = (n1 - cut) / n1.sum() + cut.sum() / n1.sum() * uniform
         else:
-            self.p1 = np.full(self.size, uniform)
-        self.id: dict[bytes, int] = {}
-        self.known: set[bytes] = set()
-        self.met: dict[bytes, tuple[int, int, int]] = {}
+            p1 = np.full(self.size, uniform)
+        return p1, total, _left(self.d2, total, ones, twos, more)
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "id": {}, "known": set(), "met": {}}
+    @cached_property
+    def id(self) -> dict[bytes, int]:
+        return {w: i + UNKNOWN + 1 for i, w in enumerate(self.words)}
 
-    def cores(self) -> tuple[set[bytes], dict[bytes, tuple[int, int, int]]]:
-        """The vocabulary's cores, and what is known of words met; a worker keeps both from task to task."""
-        if not self.known:
-            self.known = {core(w.translate(LOWER)) for w in self.words if not w.startswith(b"\x00")}
-        return self.known, self.met
+    @cached_property
+    def known(self) -> set[bytes]:
+        """The vocabulary's cores."""
+        return {core(w.translate(LOWER)) for w in self.id if not w.startswith(b"\x00")}
 
-    def of(self, word: bytes) -> int:
-        """The id of a word of the vocabulary; other words have their shape's, or UNKNOWN."""
-        if not self.id:
-            self.id = {w: i + UNKNOWN + 1 for i, w in enumerate(self.words)}
-        return self.id.get(word) or self.id.get(shape(word), UNKNOWN)
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        """The ids of words of the vocabulary; other words have their shape's, or UNKNOWN."""
+        get, shapes = self.id.get, _ShapeIds(self.id)
+        return np.fromiter([get(w) or shapes[w.translate(_KINDS)] for w in words], np.int64, len(words))
 
     def logs(self, grams: np.ndarray, pairs: np.ndarray, count: np.ndarray, of: list[np.ndarray]) -> np.ndarray:
         """log10 P of the last word of each trigram, from its count and from the counts `of` the sorted bigrams."""
         c2, total, ones, twos, more = of
-        first, last = np.searchsorted(pairs, grams >> BITS), np.searchsorted(pairs, grams & PAIR)
+        (heads, first), (tails, last) = places(grams >> BITS, ordered=True), places(grams & PAIR)
+        first, last = np.searchsorted(pairs, heads)[first], np.searchsorted(pairs, tails)[last]
         v, w = (grams >> BITS) & LOW, grams & LOW
         c2 = c2[last]
-        p2 = np.where(c2 > 0, (c2 - self.d2[np.minimum(c2, 3)]) / np.maximum(self.total2[v], 1), 0.0) + self.left2[v] * self.p1[w]
+        p1, total2, left2 = self.unigrams
+        p2 = np.where(c2 > 0, (c2 - self.d2[np.minimum(c2, 3)]) / np.maximum(total2[v], 1), 0.0) + left2[v] * p1[w]
         left3 = _left(self.d3, total, ones, twos, more)
         seen = np.where(count > 0, (count - self.d3[np.minimum(count, 3)]) / np.maximum(total[first], 1), 0.0)
         return np.log10(seen + left3[first] * p2)
 
 
+#: The model of this worker by its token: Spark takes a broadcast away after each task that does not name it.
+_MODEL: dict[str, Model] = {}
+KEPT[__name__] = _MODEL.clear
+
+
+def _model(held, token: str) -> Model:
+    if token not in _MODEL:
+        _MODEL.clear()
+        _MODEL[token] = held.value
+    return _MODEL[token]
+
+
+class _ShapeIds(dict):
+    """The ids of shapes by the words that _KINDS makes."""
+
+    def __init__(self, id_: dict[bytes, int]):
+        self.of = id_
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = self.of.get(shape(word), UNKNOWN)
+        return n
+
+
 # ---- training in Spark
 
 
@@ -215,17 +284,21 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
+def tokens(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words, each text's words as places among them, and each text's number of words."""
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).combine_chunks().fill_null(""))
+    flat, ends = split.values, split.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(flat), 0)  # blanks at a text's beginning or end leave empty words
+    before = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
+    words = flat.filter(full).cast(pa.large_binary()).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy().astype(np.int64), np.diff(before[ends])
+
+
 @lean
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count: Counter = Counter()
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            count.update((text or "").encode().split())
-            if len(count) > HELD_WORDS:
-                yield _counted(count)
-                count.clear()
-    if count:
-        yield _counted(count)
+def _words(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for texts in chunks(batches, size):
+        words, flat, _ = tokens(texts.column("text"))
+        yield pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(np.bincount(flat, minlength=len(words)))], names=["word", "n"])
 
 
 @lean
@@ -243,23 +316,16 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Chunk:
     """Some whole texts: the distinct words, each text as places among them, and their ids with two starts and an end."""
 
-    def __init__(self, texts: list[str | None], ids: Callable[[list[bytes]], np.ndarray]):
-        place = Numbers()
-        flat: list[int] = []
-        n = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            words = (t or "").encode().split()
-            flat.extend(map(place.__getitem__, words))
-            n[i] = len(words)
-        self.words, self.n = list(place), n
-        self.flat = np.array(flat, np.int64)
+    def __init__(self, texts: pa.ChunkedArray, ids: Callable[[list[bytes]], np.ndarray]):
+        words, flat, n = tokens(texts)
+        self.words, self.flat, self.n = words.to_numpy(zero_copy_only=False).tolist(), flat, n
         of = ids(self.words)
         self.ids = np.empty(len(flat) + 3 * len(n), np.int64)
         first = np.cumsum(n + 3) - (n + 3)
         inside = np.ones(len(self.ids), bool)
         for at, x in ((first, START), (first + 1, START), (first + n + 2, END)):
             self.ids[at], inside[at] = x, False
-        self.ids[inside] = of[self.flat] if len(flat) else 0
+        self.ids[inside] = of[flat] if len(flat) else 0
 
 
 def trigrams(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -330,9 +396,8 @@ def _by_blob(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, byte
 @lean
 def _grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Trigrams of chunks with their counts, dealt by their first two words."""
-    ids = lambda words: np.fromiter(map(model.of, words), np.int64, len(words))
     for texts in chunks(batches, model.chunk):
-        made = Chunk(texts.column("text").to_pylist(), ids)
+        made = Chunk(texts.column("text"), model.ids)
         found, n = np.unique(trigrams(made.ids, made.n), return_counts=True)
         yield _dealt(GRAMS3, found, np.mod(found >> BITS, model.shards), n)
 
@@ -401,7 +466,7 @@ SLICE = 22
 
 
 @lean
-def _bits(batches: Iterator[pa.RecordBatch], primes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+def _bits(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The filter's bits, in slices."""
 
     def flush() -> pa.RecordBatch:
@@ -413,8 +478,8 @@ def _bits(batches: Iterator[pa.RecordBatch], primes: tuple[int, ...]) -> Iterato
     have = 0
     for _, _, x in _by_blob(batches):
         keys = np.cumsum(unpack(x)[0])
-        held += [keys % p for p in primes]
-        have += len(primes) * len(keys)
+        held.append(positions(keys, size))
+        have += len(keys)
         if have > 6_000_000:
             yield flush()
             have = 0
@@ -451,7 +516,7 @@ def dealt(rows: DataFrame, what: int, shards: int, columns: list[str], kind: str
     return rows.withColumn("shard", F.pmod("k", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(packed, ROW)
 
 
-def vocabulary(counted: DataFrame, scratch: Scratch) -> list[bytes]:
+def vocabulary(counted: DataFrame, scratch: Scratch) -> Words:
     """Words, and shapes of the others, that occur MIN_COUNT times or more; frequent ones first, since small ids compress well.
 
     Ids have BITS bits: where more words would do, those of the count at which they run out keep their shapes.
@@ -468,14 +533,17 @@ def vocabulary(counted: DataFrame, scratch: Scratch) -> list[bytes]:
             break
     kept = usual.filter(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     scratch.drop(usual)
-    return kept.column("word").to_pylist()
+    out = Words(kept.column("word").cast(pa.large_binary()).combine_chunks())
+    del kept
+    give_back()
+    return out
 
 
 def train(docs: DataFrame, good: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
     """The model, and its n-gram tables in shards, from the whole texts of all trusted documents in all folds but 0."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     texts = scratch.write(rows.join(good.filter("fold <> 0").select("doc_id"), "doc_id", "left_semi").select("text"))
-    counted = scratch.write(texts.mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counted = scratch.write(texts.mapInArrow(partial(_words, size=CHUNK), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     words = vocabulary(counted, scratch)
     n_words = len(words) + UNKNOWN + 1
     nothing = tuple(np.zeros(n_words, np.int64) for _ in range(5))
@@ -500,14 +568,17 @@ def train(docs: DataFrame, good: DataFrame, scratch: Scratch) -> tuple[Model, Da
     tables = [np.zeros(n_words, np.int64) for _ in range(5)]
     for to, c in zip(tables, columns, strict=True):
         to[w[w >= 0]] = c[w >= 0]
+    del got, w, columns
     grid = Grid(few[GRAMS3][0] + few[GRAMS2][0])
-    slices = scratch.write(dealt_by(both.mapInArrow(partial(_bits, primes=grid.primes), BLOB)).mapInArrow(_slices, BLOB))
+    slices = scratch.write(dealt_by(both.mapInArrow(partial(_bits, size=grid.bits), BLOB)).mapInArrow(_slices, BLOB))
     # the filter, which has MOST_BITS bits at most
     for _, i, x in _by_blob(slices.toArrow().to_batches()):
         at = i << SLICE - 6
         to = grid.words[at : at + (1 << SLICE - 6)]
         to[:] = np.frombuffer(x, np.int64)[: len(to)]
     model = Model(words, discounts(few[GRAMS3][1:]), discounts(few[GRAMS2][1:]), tuple(tables), shards, grid)
+    del tables
+    give_back()
     scratch.drop(stats, slices)
     held = both.select(F.col("kind").alias("what"), "shard", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("chunk"), "x")
     held._made_of = (made, two)
@@ -520,15 +591,12 @@ ENCODED = ", ".join([ROW, "h long", *(f"b{i} long" for i in range(SLOTS // 64)),
 TEXT, ASK, WORDS, ASK_WORDS = 1, 2, 3, 4
 
 
-def asked(keys: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
-    """Of a chunk with these trigrams: the distinct trigrams and bigrams, and which of both to ask for."""
-    grams = distinct(keys)
+def asked(grams: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
+    """Of a chunk with these distinct trigrams: they and the distinct bigrams, and which of both to ask for."""
     pairs = distinct(np.concatenate([distinct(grams >> BITS, ordered=True), distinct(grams & PAIR)]))
     return grams, pairs, model.grid.may_hold(grams), model.grid.may_hold(pairs)
 
 
-
-
 def _empty(kind: str, n: int) -> pa.Array:
     return pa.nulls(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}[kind])
 
@@ -543,58 +611,45 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 @lean
-def _encode(batches: Iterator[pa.RecordBatch], held, turn: int = 0) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], held, token: str, turn: int = 0) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    model: Model = held.value
+    model = _model(held, token)
     uid = turn << 56 | TaskContext.get().partitionId() << 32
-    known, cores = model.cores()
-    bits: dict[int, int] = {}
-    seen: set[int] = set()
-
-    def of(word: bytes) -> tuple[int, int, int]:
-        """The word's id, the hash of its core (48 bits; 0 if known or without letters or digits), and its slot."""
-        c = core(word.translate(LOWER))
-        strange = 0 if not c or c in known else xxhash.xxh64_intdigest(c) >> 16
-        found = cores[word] = (model.of(word), strange, xxhash.xxh32_intdigest(c) % SLOTS)
-        return found
-
-    def ids(words: list[bytes]) -> np.ndarray:
-        nonlocal of_word
-        if len(cores) > 250_000:
-            cores.clear()
-        get = cores.get
-        of_word = np.array([get(w) or of(w) for w in words], np.int64).reshape(len(words), 3)
-        return of_word[:, 0]
-
-    of_word = np.zeros((0, 3), np.int64)
+    known = model.known
+    # unknown words with a slot each, and those that trusted texts hold
+    met: list[np.ndarray] = []
+    seen: list[np.ndarray] = []
 
     def flush() -> pa.RecordBatch:
-        h = np.fromiter(bits, np.int64, len(bits))
-        maps = np.frombuffer(b"".join(x.to_bytes(SLOTS // 8, "little") for x in bits.values()), "<i8").reshape(len(h), -1)
-        out = _batch(kind=[WORDS] * len(h), h=h, in_trusted=[x in seen for x in bits], **{f"b{i}": maps[:, i].copy() for i in range(SLOTS // 64)})
-        bits.clear()
+        marks_ = distinct(np.concatenate(met))
+        h, row = places(marks_ // SLOTS, ordered=True)
+        maps, slot = np.zeros((len(h), SLOTS // 64), np.int64), marks_ % SLOTS
+        np.bitwise_or.at(maps, (row, slot >> 6), np.left_shift(1, slot & 63))
+        out = _batch(kind=[WORDS] * len(h), h=h, in_trusted=np.isin(h, np.concatenate(seen)), **{f"b{i}": maps[:, i].copy() for i in range(SLOTS // 64)})
+        met.clear()
         seen.clear()
         return out
 
     for rows in chunks(batches, model.chunk):
-        made = Chunk(rows.column("text").to_pylist(), ids)
-        hashes, slots = of_word[:, 1], of_word[:, 2]
+        made = Chunk(rows.column("text"), model.ids)
+        # of each word: the hash of its core (48 bits; 0 if known or without letters or digits), and its slot
+        cores = [core(w.translate(LOWER)) for w in made.words]
+        hashes = np.fromiter([0 if not c or c in known else xxhash.xxh64_intdigest(c) >> 16 for c in cores], np.int64, len(cores))
+        slots = np.fromiter(map(xxhash.xxh32_intdigest, cores), np.int64, len(cores)) % SLOTS
         strange = distinct(hashes[hashes != 0])
         # tokens that are unknown words: their hashes' places, the texts that hold them, the slots of the words before
         h = hashes[made.flat]
         at = np.flatnonzero(h)
         text_of = np.repeat(np.arange(len(made.n)), made.n)
-        which = np.searchsorted(strange, h[at])
+        which = np.searchsorted(strange, hashes)[made.flat[at]]
         before = np.where(at > 0, slots[made.flat[at - 1]], 0) if len(at) else at
         first = np.cumsum(made.n) - made.n
         before = np.where(np.isin(at, first), 0, before)
-        marks_ = distinct(which * SLOTS + before)
-        for c, slot in zip(strange[marks_ // SLOTS].tolist(), (marks_ % SLOTS).tolist(), strict=True):
-            bits[c] = bits.get(c, 0) | (1 << slot)
+        met.append(distinct(h[at] * SLOTS + before))
         good = rows.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
-        seen.update(strange[distinct(which[good[text_of[at]]])].tolist())
-        if len(bits) > 150_000:
+        seen.append(distinct(h[at][good[text_of[at]]]))
+        if sum(map(len, met)) > HELD_MARKS:
             yield flush()
         holds = distinct(text_of[at] * (len(strange) + 1) + which)
         meta = pickle.dumps([rows.column(c).to_pylist() for c in ("doc_id", "lang", "m1", "m2")], protocol=5)
@@ -602,7 +657,7 @@ def _encode(batches: Iterator[pa.RecordBatch], held, turn: int = 0) -> Iterator[
         where = np.mod(strange, model.shards).astype("<u4")
         x = pack(made.ids.astype("<u4"), made.n.astype("<u4"), differences(holds).astype("<i8"), where, np.frombuffer(meta, np.uint8))
         yield _batch(kind=[TEXT], chunk=[uid], what=[0], shard=[0], x=[x])
-        grams, pairs, ask3, ask2 = asked(trigrams(made.ids, made.n), model)
+        grams, pairs, ask3, ask2 = asked(distinct(trigrams(made.ids, made.n)), model)
         for kind, what, keys, shard in (
             (ASK, GRAMS3, grams := grams[ask3], grams >> BITS),
             (ASK, GRAMS2, pairs := pairs[ask2], pairs),
@@ -615,7 +670,7 @@ def _encode(batches: Iterator[pa.RecordBatch], held, turn: int = 0) -> Iterator[
                 n = len(cuts)
                 yield _batch(kind=[kind] * n, chunk=[uid] * n, what=[what] * n, shard=[s for s, _, _ in cuts], x=xs)
         uid += 1
-    if bits:
+    if met:
         yield flush()
 
 
@@ -717,17 +772,17 @@ def _spread(ask: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
 
 
 @lean
-def _score(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], held, token: str) -> Iterator[pa.RecordBatch]:
     """Encoded texts become their scores, which wait in their chunk for the evidence of foreign words."""
-    model: Model = held.value
+    model = _model(held, token)
     for chunk, (ids, n, holds, where, meta), got in _chunks(batches):
         ids, n = ids.astype(np.int64), n.astype(np.int64)
-        keys = trigrams(ids, n)
-        grams, pairs, ask3, ask2 = asked(keys, model)
+        grams, at = places(trigrams(ids, n))
+        grams, pairs, ask3, ask2 = asked(grams, model)
         count = _spread(ask3, _filled(got, GRAMS3, np.mod(grams[ask3] >> BITS, model.shards), 1, "<i8"))[0]
         of = _spread(ask2, _filled(got, GRAMS2, np.mod(pairs[ask2], model.shards), 5, "<i8"))
         logs = model.logs(grams, pairs, count, of)
-        lp, worst = measures(logs[np.searchsorted(grams, keys)], n + 1)
+        lp, worst = measures(logs[at], n + 1)
         x = pack(lp, n + 1, np.array(worst, float), holds, where, meta)  # None becomes NaN
         cols = [pa.array([c], k) for c, k in zip((0, 0, TEXT, chunk, x), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)]
         yield pa.RecordBatch.from_arrays(cols, names=["what", "shard", "kind", "chunk", "x"])
@@ -748,7 +803,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def measure(docs: DataFrame, good: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, lang, m1 and m2 (marks of the text), lp (log10 P), n_tokens, worst and strange of every row, written.
 
-    All rows are scored, in up to TURNS turns of about TURN bytes of text at least, each with a part of the rows by hash;
+    All rows are scored, in up to TURNS turns of about TURN bytes of text at least, each with a part of the rows by the hash of id and length;
     what a turn asks and is answered goes before the next. Foreign words are known, and asked for, after all turns.
     """
     spark = docs.sparkSession
@@ -760,17 +815,17 @@ def measure(docs: DataFrame, good: DataFrame, scratch: Scratch) -> DataFrame:
     n, size = docs.select(text.alias("text")).agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     share = min(flags.count() / max(1, n), 0.999)
     turns = max(1, min(TURNS, -(-(size or 0) // TURN)))
-    held = spark.sparkContext.broadcast(model)
+    held, token = spark.sparkContext.broadcast(model), uuid.uuid4().hex
     cols = [c.split(" ")[0] for c in ROW.split(", ")]
     together = lambda a, b: a.select(*cols).unionByName(b).repartition(n_parts(spark), "chunk").sortWithinPartitions("chunk", "kind")
     encoded, scored = [], []
     for turn in range(turns):
-        part = rows.filter(F.pmod(F.xxhash64("doc_id", "m1"), F.lit(turns)) == turn)
+        part = rows.filter(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(turns)) == turn)
         flagged = part.join(flags, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-        made = scratch.write(flagged.mapInArrow(partial(_encode, held=held, turn=turn), ENCODED), by="kind")
+        made = scratch.write(flagged.mapInArrow(partial(_encode, held=held, token=token, turn=turn), ENCODED), by="kind")
         replies = scratch.write(answers(tables, made.filter(F.col("kind") == ASK).select(*cols), 2 * model.shards))
         scratch.drop_path(f"{made._scratch_path}/kind={ASK}")
-        scored.append(scratch.write(together(made.filter(F.col("kind") == TEXT), replies).mapInArrow(partial(_score, held=held), ROW)))
+        scored.append(scratch.write(together(made.filter(F.col("kind") == TEXT), replies).mapInArrow(partial(_score, held=held, token=token), ROW)))
         scratch.drop_path(f"{made._scratch_path}/kind={TEXT}")
         scratch.drop(replies)
         encoded.append(made)

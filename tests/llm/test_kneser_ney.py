@@ -2,14 +2,16 @@
 
 import math
 import pathlib
+import pickle
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessarium.llm import kneser_ney as kn
-from tessarium.llm.common import Scratch
+from tessarium.llm.common import KEPT, Scratch
 
 
 def corpus(n=140, seed=3):
@@ -173,3 +175,46 @@ def test_sums_are_those_of_a_counter(monkeypatch):
         for k, c in zip(keys.tolist(), n.tolist(), strict=True):
             want[k] += c
     assert list(zip(*(x.tolist() for x in sums.get()), strict=True)) == sorted(want.items())
+
+
+def test_tokens_are_those_of_bytes_split():
+    rng = np.random.default_rng(5)
+    signs = list("aB0 \t\n\x0b\x0c\r\x1c\x1f\x85\xa0　é!")
+    texts = [None, "", " \n", *("".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(500))]
+    words, flat, n = kn.tokens(pa.chunked_array([texts[:100], [], texts[100:]], pa.string()))
+    words, ends = words.to_pylist(), np.cumsum(n)
+    for t, end, k in zip(texts, ends.tolist(), n.tolist(), strict=True):
+        assert [words[i] for i in flat[end - k : end]] == (t or "").encode().split()
+
+
+def test_a_large_vocabulary_travels_small():
+    words = [f"w{i}".encode() for i in range(200_000)]
+    counts = np.bincount(np.r_[np.arange(3, 200_003), np.arange(3, 50_000)], minlength=200_003)
+    model = kn.Model(kn.Words(pa.array(words, pa.large_binary())), kn.discounts([0]), kn.discounts([0]), (counts,) * 5, 1, kn.Grid(0))
+    sent = pickle.dumps(model)
+    assert len(sent) < 2_000_000  # 200,000 objects and three arrays of 8 bytes a word took 7 MB
+    assert model.ids([b"w7", b"w199999", b"never"]).tolist() == [10, 200_002, kn.UNKNOWN] and pickle.dumps(model) == sent
+    assert list(pickle.loads(sent).words) == words
+
+
+def test_a_worker_keeps_one_model():
+    class Held:
+        value = "first"
+
+    assert kn._model(Held, "a") == "first" and kn._model(None, "a") == "first"
+    Held.value = "second"
+    assert kn._model(Held, "b") == "second" and list(kn._MODEL) == ["b"]
+    KEPT[kn.__name__]()
+    assert not kn._MODEL
+
+
+def test_filter_and_shapes():
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 1 << 60, 20_000))
+    grid = kn.Grid(len(keys))
+    at = kn.positions(keys, grid.bits)
+    np.bitwise_or.at(grid.words, at >> 6, np.left_shift(1, at & 63))
+    assert grid.may_hold(keys).all() and grid.may_hold(rng.integers(0, 1 << 60, 20_000)).mean() < 0.1
+    for _ in range(3000):
+        word = bytes(rng.choice([1, 2, 3, 4, 33, 45, 48, 57, 65, 90, 97, 122, 128, 255], rng.integers(1, 9)).tolist())
+        assert kn.shape(word) == kn.shape(word.translate(kn._KINDS))
