@@ -108,7 +108,8 @@ KEPT: dict[str, Callable[[], None]] = {}
 def lean(f: Callable[..., Iterator]) -> Callable[..., Iterator]:
     """A function of batches after which the worker gives free memory back; what other modules keep goes first.
 
-    Workers live on from stage to stage, and their allocators hold what a stage needed at most.
+    Workers live on from stage to stage, and their allocators hold what a stage needed at most. What a worker has
+    imported is set aside after its first task: to look through it for garbage again took 0.1 CPU seconds a task.
     """
 
     @functools.wraps(f)
@@ -120,10 +121,21 @@ def lean(f: Callable[..., Iterator]) -> Callable[..., Iterator]:
             yield from f(*args, **options)
         finally:
             give_back()
+            set_aside()
 
     return run
 
 
+_ASIDE: list[int] = []
+
+
+def set_aside() -> None:
+    """Keeps the objects of this worker out of later collections, once; they still go when nothing refers to them."""
+    if not _ASIDE:
+        gc.freeze()
+        _ASIDE.append(gc.get_freeze_count())
+
+
 def give_back() -> None:
     """Gives free memory of this process back."""
     gc.collect()

@@ -32,7 +32,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.write(pair.distinct())
     mark = None
     while True:
-        then = scratch.write(_small(_large(now).distinct().filter("u <> v")).distinct().filter("u <> v"))
+        then = scratch.write(_small(_large(now).filter("u <> v")).distinct().filter("u <> v"))
         scratch.drop(now)
         now = then
         seen = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()

@@ -174,7 +174,8 @@ def plan(
 def mix(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """The documents in training order: each row as often as it is taken, range-sorted by position.
 
-    Texts move once, to their plan rows. Only rows that repeat as a whole are numbered, to meet one plan row each.
+    Texts move to their plan rows, where they are written, and then to their positions, so that the disk never holds both
+    moves. Only rows that repeat as a whole are numbered, to meet one plan row each.
     """
     slopes = tuple(options.get("slopes", SLOPES))
     assert all(abs(s) < 1 for s in slopes)
@@ -199,6 +200,7 @@ def mix(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     joined = meet(left, among(p, "left_anti")).unionByName(
         meet(numbered(among(left, "left_semi"), F.lit(0)), numbered(among(p, "left_semi"), "first_position"), "r")
     )
+    joined = scratch.write(joined)
     once = F.array("first_position")
     places = F.explode(F.when(F.col("copies") > 1, F.array("first_position", "last_position")).otherwise(once)).alias("position")
     return joined.select("row", *ident, places).orderBy("position", "source", "doc_id", "x").select("row.*")

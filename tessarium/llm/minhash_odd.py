@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -340,10 +340,10 @@ class _Search:
         return found
 
     def labels(self) -> DataFrame:
-        edges = self.edges[0]
-        for e in self.edges[1:]:
-            edges = edges.unionByName(e)
-        return components(edges, self.scratch)
+        """The components of all links; those found before stand for the links that made them."""
+        out = components(reduce(DataFrame.unionByName, self.edges), self.scratch)
+        self.edges = [out.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+        return out
 
     def run(self) -> DataFrame:
         """node, component of every node that has a link."""
@@ -482,7 +482,7 @@ def deduplicate(docs: DataFrame, scratch: Scratch, width: int = SHINGLE) -> Data
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         row_hash(docs).alias("order"), id_.alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"),
     )
-    # ids with several texts and keys of several rows are written, so that Spark knows how few they are
+    # ids with several texts are written, so that Spark knows how few they are
     several = rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
     several = scratch.write(several.filter("first <> last").select("id", "first"))
     stand_in = F.lit(NO_ID) + F.pmod(F.xxhash64("id", "mark"), F.lit(1 << 61))
@@ -490,7 +490,6 @@ def deduplicate(docs: DataFrame, scratch: Scratch, width: int = SHINGLE) -> Data
     keyed = rows.join(several, "id", "left").withColumn("key", F.when(own, F.col("id")).otherwise(stand_in))
     kept = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"), scratch, width=width).filter("kept")
     keyed = keyed.select("key", "order", "row").join(scratch.write(kept.select(F.col("doc_id").alias("key")).distinct()), "key", "left_semi")
-    repeated = scratch.write(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    # texts move once, by their keys
     one = Window.partitionBy("key").orderBy("order")
-    first = keyed.join(repeated, "key", "left_semi").withColumn("n", F.row_number().over(one)).filter("n = 1")
-    return keyed.join(repeated, "key", "left_anti").select("row.*").unionByName(first.select("row.*"))
+    return keyed.withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tessarium.llm import additive, curriculum, linkgraph, mtree
+from tessarium.llm import additive, curriculum, linkgraph, minhash_odd, mtree
 from tessarium.llm.common import Scratch
 
 EMB = "vec_id long, embedding array<double>"
@@ -68,6 +68,26 @@ def test_curriculum_mixes_rows_that_repeat_or_differ_in_other_columns(spark):
     assert len(got[0]) == sum(r.copies for r in plan)
 
 
+def test_texts_move_once_in_the_last_step_of_a_stage(spark, tmp_path):
+    docs = [(i, f"one two three four five six seven {i // 2}", "s") for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/d")
+    df = spark.read.parquet(f"{tmp_path}/d")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    # no second join by the keys of repeated rows; the places are sorted from a table, not from the join
+    assert plan(minhash_odd.deduplicate(df, Scratch(spark, "t"), width=5)).count("Join") == 2
+    assert "Join" not in plan(curriculum.mix(df, Scratch(spark, "t")))
+
+
+def test_links_that_were_labelled_are_carried_as_labels(spark):
+    search = minhash_odd._Search(spark.createDataFrame([(1, "a")], "doc_id long, text string"), Scratch(spark, "t"), 80, 100, 4)
+    made = lambda *pairs: spark.createDataFrame(pairs, "a long, b long")
+    search.edges = [made((2, 1), (3, 1), (3, 2), (6, 5), (7, 6))]
+    assert {tuple(r) for r in search.labels().collect()} == {(2, 1), (3, 1), (6, 5), (7, 5)}
+    assert len(search.edges) == 1 and search.edges[0].count() == 4
+    search.edges.append(made((7, 3)))
+    assert {tuple(r) for r in search.labels().collect()} == {(i, 1) for i in (2, 3, 5, 6, 7)}
+
+
 def test_propagation_reaches_the_fixed_point(spark):
     rng = np.random.default_rng(5)
     names = [f"h{i}" for i in range(12)]
