@@ -202,7 +202,7 @@ class Model:
         self.pairs = pack(*(c.astype("<i8") for c in pairs))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("unigrams", "id", "known")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("unigrams", "id", "cores")}
 
     @cached_property
     def unigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,9 +222,28 @@ class Model:
         return {w: i + UNKNOWN + 1 for i, w in enumerate(self.words)}
 
     @cached_property
-    def known(self) -> set[bytes]:
-        """The vocabulary's cores."""
-        return {core(w.translate(LOWER)) for w in self.id if not w.startswith(b"\x00")}
+    def cores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each id: whether it is a word (no shape, start, end or UNKNOWN), and its core's slot; and the sorted hashes of the words' cores."""
+        plain, slots, known = np.zeros(self.size, bool), np.zeros(self.size, np.int64), np.zeros(self.size, np.uint64)
+        for w, i in self.id.items():
+            if not w.startswith(b"\x00"):
+                c = core(w.translate(LOWER))
+                plain[i], slots[i], known[i] = True, xxhash.xxh32_intdigest(c) % SLOTS, xxhash.xxh64_intdigest(c)
+        return plain, slots, distinct(known[plain])
+
+    def foreign(self, words: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words with these ids: the hash of each one's core (48 bits; 0 if known or without letters or digits), and its slot."""
+        plain, slots, known = self.cores
+        hashes, slots = np.zeros(len(words), np.int64), slots[ids]
+        odd = np.flatnonzero(~plain[ids])
+        cores = [core(words[i].translate(LOWER)) for i in odd.tolist()]
+        h = np.fromiter(map(xxhash.xxh64_intdigest, cores), np.uint64, len(cores))
+        strange = np.fromiter(map(bool, cores), bool, len(cores))
+        if len(known):
+            strange &= known[np.minimum(np.searchsorted(known, h), len(known) - 1)] != h
+        hashes[odd] = np.where(strange, h >> np.uint64(16), np.uint64(0)).astype(np.int64)
+        slots[odd] = np.fromiter(map(xxhash.xxh32_intdigest, cores), np.int64, len(cores)) % SLOTS
+        return hashes, slots
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """The ids of words of the vocabulary; other words have their shape's, or UNKNOWN."""
@@ -319,7 +338,7 @@ class Chunk:
     def __init__(self, texts: pa.ChunkedArray, ids: Callable[[list[bytes]], np.ndarray]):
         words, flat, n = tokens(texts)
         self.words, self.flat, self.n = words.to_numpy(zero_copy_only=False).tolist(), flat, n
-        of = ids(self.words)
+        self.of = of = ids(self.words)
         self.ids = np.empty(len(flat) + 3 * len(n), np.int64)
         first = np.cumsum(n + 3) - (n + 3)
         inside = np.ones(len(self.ids), bool)
@@ -394,8 +413,9 @@ def _by_blob(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, byte
 
 
 @lean
-def _grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _grams(batches: Iterator[pa.RecordBatch], held, token: str) -> Iterator[pa.RecordBatch]:
     """Trigrams of chunks with their counts, dealt by their first two words."""
+    model = _model(held, token)
     for texts in chunks(batches, model.chunk):
         made = Chunk(texts.column("text"), model.ids)
         found, n = np.unique(trigrams(made.ids, made.n), return_counts=True)
@@ -405,6 +425,7 @@ def _grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 @lean
 def _three(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by shard: each shard's trigrams, their contexts (of the same shard), and parts of the bigrams' counts as ends."""
+    _MODEL.clear()  # that of _grams
     ends = Sums(1)
     for shard, rows in groupby(_by_blob(batches), key=lambda r: r[1]):
         sums = Sums(1)
@@ -553,7 +574,10 @@ def train(docs: DataFrame, good: DataFrame, scratch: Scratch) -> tuple[Model, Da
     scratch.drop(counted)
     bare = Model(words, discounts([0]), discounts([0]), nothing, shards, Grid(0))
     dealt_by = lambda rows: rows.repartition(parts, "shard").sortWithinPartitions("shard")
-    made = scratch.write(dealt_by(texts.mapInArrow(partial(_grams, model=bare), BLOB)).mapInArrow(partial(_three, shards=shards), BLOB), by="kind")
+    held = docs.sparkSession.sparkContext.broadcast(bare)
+    grams = texts.mapInArrow(partial(_grams, held=held, token=uuid.uuid4().hex), BLOB)
+    made = scratch.write(dealt_by(grams).mapInArrow(partial(_three, shards=shards), BLOB), by="kind")
+    held.destroy()
     scratch.drop(texts)
     kept = lambda df, *kinds: df.filter(F.col("kind").isin(*kinds)).select("kind", "shard", "x")
     two = scratch.write(dealt_by(kept(made, CONTEXTS, ENDS)).mapInArrow(_two, BLOB))
@@ -616,7 +640,6 @@ def _encode(batches: Iterator[pa.RecordBatch], held, token: str, turn: int = 0)
 
     model = _model(held, token)
     uid = turn << 56 | TaskContext.get().partitionId() << 32
-    known = model.known
     # unknown words with a slot each, and those that trusted texts hold
     met: list[np.ndarray] = []
     seen: list[np.ndarray] = []
@@ -633,10 +656,7 @@ def _encode(batches: Iterator[pa.RecordBatch], held, token: str, turn: int = 0)
 
     for rows in chunks(batches, model.chunk):
         made = Chunk(rows.column("text"), model.ids)
-        # of each word: the hash of its core (48 bits; 0 if known or without letters or digits), and its slot
-        cores = [core(w.translate(LOWER)) for w in made.words]
-        hashes = np.fromiter([0 if not c or c in known else xxhash.xxh64_intdigest(c) >> 16 for c in cores], np.int64, len(cores))
-        slots = np.fromiter(map(xxhash.xxh32_intdigest, cores), np.int64, len(cores)) % SLOTS
+        hashes, slots = model.foreign(made.words, made.of)
         strange = distinct(hashes[hashes != 0])
         # tokens that are unknown words: their hashes' places, the texts that hold them, the slots of the words before
         h = hashes[made.flat]
@@ -644,8 +664,9 @@ def _encode(batches: Iterator[pa.RecordBatch], held, token: str, turn: int = 0)
         text_of = np.repeat(np.arange(len(made.n)), made.n)
         which = np.searchsorted(strange, hashes)[made.flat[at]]
         before = np.where(at > 0, slots[made.flat[at - 1]], 0) if len(at) else at
-        first = np.cumsum(made.n) - made.n
-        before = np.where(np.isin(at, first), 0, before)
+        starts = np.zeros(len(made.flat) + 1, bool)
+        starts[np.cumsum(made.n) - made.n] = True
+        before = np.where(starts[at], 0, before)
         met.append(distinct(h[at] * SLOTS + before))
         good = rows.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
         seen.append(distinct(h[at][good[text_of[at]]]))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessarium.llm import kneser_ney as kn
-from tessarium.llm.common import KEPT, Scratch
+from tessarium.llm.common import KEPT, Scratch, lean
 
 
 def corpus(n=140, seed=3):
@@ -197,6 +197,30 @@ def test_a_large_vocabulary_travels_small():
     assert list(pickle.loads(sent).words) == words
 
 
+def test_foreign_words_are_those_whose_core_no_word_of_the_vocabulary_has():
+    vocabulary = [b"the", b"Kot,", b"(end)", b"--", b"\x00\x03", b"\x00\x02\x03"]
+    zero = np.zeros(len(vocabulary) + 3, np.int64)
+    model = kn.Model(kn.Words(pa.array(vocabulary, pa.large_binary())), kn.discounts([0]), kn.discounts([0]), (zero,) * 5, 1, kn.Grid(0))
+    words = [*vocabulary, b"THE!", b"kot", b"Ende", b"...", b"new", b"New", "stra\u00dfe".encode()]
+    hashes, slots = model.foreign(words, model.ids(words))
+    known = {kn.core(w.translate(kn.LOWER)) for w in vocabulary if not w.startswith(b"\x00")}
+    cores = [kn.core(w.translate(kn.LOWER)) for w in words]
+    assert hashes.tolist() == [0 if not c or c in known else kn.xxhash.xxh64_intdigest(c) >> 16 for c in cores]
+    assert slots.tolist() == [kn.xxhash.xxh32_intdigest(c) % kn.SLOTS for c in cores]
+
+
+def test_a_worker_looks_once_through_what_it_has_imported(spark):
+    @lean
+    def aside(batches):
+        import gc
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([gc.get_freeze_count()])], names=["n"])
+
+    run = lambda: max(r.n for r in spark.range(4).coalesce(1).mapInArrow(aside, "n long").collect())
+    assert run() >= 0 and max(run() for _ in range(3)) > 1000
+
+
 def test_a_worker_keeps_one_model():
     class Held:
         value = "first"
